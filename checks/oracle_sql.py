@@ -218,3 +218,291 @@ FROM purchases GROUP BY purchase_details_payment_method""")
 Q["top_stores"] = with_(base(*visits_ctes("store_day")), """
 SELECT store_id, count(*) AS visit_count, count(DISTINCT person_id) AS unique_visitors
 FROM visits GROUP BY store_id ORDER BY visit_count DESC, store_id ASC NULLS FIRST LIMIT 5""")
+
+# ---------------------------------------------------------------- stage 2
+
+def _from(sql: str, src: str) -> str:
+    return sql.replace("FROM sales", f"FROM {src}")
+
+
+PERSON_T = """
+SELECT id, coalesce(gender, '0') AS gender, coalesce(birth_date, '') AS birth_date,
+ coalesce(location_prefecture, '') AS prefecture, coalesce(location_zip_code, '') AS zip_code,
+ coalesce(location_coordinates_latitude, '') AS latitude, coalesce(location_coordinates_longitude, '') AS longitude,
+ coalesce(membership_member_id, '') AS member_id, coalesce(membership_status, '') AS status
+FROM {src} WHERE id IS NOT NULL"""
+
+PRODUCT_T = """
+SELECT id, coalesce(name, '') AS name, coalesce(name_kana, '') AS name_kana,
+ coalesce(categories_major_category, '') AS major_category,
+ coalesce(categories_medium_category, '') AS medium_category,
+ coalesce(categories_minor_category, '') AS minor_category,
+ coalesce(categories_group_code, '') AS group_code, coalesce(categories_group_name, '') AS group_name,
+ coalesce(categories_department_code, '') AS department_code,
+ coalesce(categories_department_name, '') AS department_name,
+ coalesce(pricing_master_price, CAST(0 AS DECIMAL(14,2))) AS price,
+ CAST(coalesce(pricing_tax_rate, 0) AS INTEGER) AS tax_rate
+FROM {src} WHERE id IS NOT NULL"""
+
+PURCHASE_T_ORDER = ["store_id", "datetime", "quantity", "amount", "amount_without_tax", "payment_method",
+                    "payment_type", "discount_amount", "price_down_amount", "discount_type1",
+                    "discount_type2", "discount_type3"]
+
+
+def purchase_flat(src: str, person_t: str, product_t: str) -> str:
+    return f"""
+SELECT person_id, product_id, id, purchase_details_store_id AS store_id, "datetime",
+ coalesce(purchase_details_quantity, CAST(0 AS DECIMAL(18,3))) AS quantity,
+ coalesce(purchase_details_amount, CAST(0 AS DECIMAL(18,2))) AS amount,
+ coalesce(purchase_details_amount_without_tax, CAST(0 AS DECIMAL(18,2))) AS amount_without_tax,
+ coalesce(purchase_details_payment_method, '') AS payment_method,
+ coalesce(purchase_details_payment_type, '') AS payment_type,
+ coalesce(discount_info_discount_amount, CAST(0 AS DECIMAL(18,2))) AS discount_amount,
+ coalesce(discount_info_price_down_amount, CAST(0 AS DECIMAL(18,2))) AS price_down_amount,
+ coalesce(discount_info_discount_type1, '') AS discount_type1,
+ coalesce(discount_info_discount_type2, '') AS discount_type2,
+ coalesce(discount_info_discount_type3, '') AS discount_type3
+FROM {src}
+WHERE id IS NOT NULL AND person_id IS NOT NULL AND product_id IS NOT NULL
+ AND purchase_details_store_id IS NOT NULL AND "datetime" IS NOT NULL
+ AND person_id IN (SELECT id FROM {person_t}) AND product_id IN (SELECT id FROM {product_t})"""
+
+
+def purchase_t(src: str, person_t: str = "person_t", product_t: str = "product_t") -> str:
+    return keep_one(f"({purchase_flat(src, person_t, product_t)})",
+                    ["person_id", "product_id", "id"], PURCHASE_T_ORDER)
+
+
+VISIT_T = keep_one("""(
+SELECT person_id, store_id, id, try_strptime("datetime", '%Y%m%dT%H%M%S') AS "datetime",
+ coalesce(visit_details_company_id, '') AS company_id, coalesce(visit_details_register_no, '') AS register_no,
+ coalesce(visit_details_conversion_converted, false) AS is_converted,
+ coalesce(visit_details_conversion_purchase_id, '') AS purchase_id
+FROM visits
+WHERE id IS NOT NULL AND person_id IS NOT NULL AND store_id IS NOT NULL AND "datetime" IS NOT NULL
+ AND person_id IN (SELECT id FROM person_t) AND store_id IN (SELECT id FROM store_t))""",
+                   ["person_id", "store_id", "id"],
+                   ["datetime", "company_id", "register_no", "is_converted", "purchase_id"])
+
+
+def graph_ctes() -> list[tuple[str, str]]:
+    """Graph tables at line grain, as the stored graph is built."""
+    return base(
+        ("person_lines", PERSON_LINES), ("persons", PERSONS),
+        ("product_lines", PRODUCT_LINES), ("products", PRODUCTS),
+        ("person_t", PERSON_T.format(src="persons")),
+        ("product_t", PRODUCT_T.format(src="products")),
+        ("store_t", STORES),
+        ("plines", purchase_lines("line")),
+        ("purchase_t", purchase_t("plines")),
+        *visits_ctes("store_day"),
+        ("visit_t", VISIT_T),
+    )
+
+
+def g(body: str, *extra: tuple[str, str]) -> str:
+    return with_(graph_ctes() + list(extra), body)
+
+
+Q["person_props"] = g("SELECT * FROM person_t")
+Q["product_props"] = g("SELECT * FROM product_t")
+Q["store_props"] = g("SELECT * FROM store_t")
+Q["purchase_edges"] = g("SELECT * FROM purchase_t")
+Q["visit_edges"] = g("SELECT * FROM visit_t")
+Q["graph_counts"] = g("""
+SELECT 'Person nodes' AS name, count(*) AS "count" FROM person_t
+UNION ALL SELECT 'Product nodes', count(*) FROM product_t
+UNION ALL SELECT 'Store nodes', count(*) FROM store_t
+UNION ALL SELECT 'Purchase relationships', count(*) FROM purchase_t
+UNION ALL SELECT 'Visit relationships', count(*) FROM visit_t""")
+Q["unique_violations"] = g("""
+SELECT 'person' AS label, id, count(*) AS "count" FROM person_t GROUP BY id HAVING count(*) > 1
+UNION ALL SELECT 'product', id, count(*) FROM product_t GROUP BY id HAVING count(*) > 1
+UNION ALL SELECT 'store', id, count(*) FROM store_t GROUP BY id HAVING count(*) > 1""")
+
+_RECEIPT_GRAPH = base(
+    ("person_lines", PERSON_LINES), ("persons", PERSONS),
+    ("product_lines", PRODUCT_LINES), ("products", PRODUCTS),
+    ("person_t", PERSON_T.format(src="persons")),
+    ("product_t", PRODUCT_T.format(src="products")),
+    *purchases_ctes("receipt"),
+    *visits_ctes("store_day"),
+)
+Q["json_roundtrip"] = with_(_RECEIPT_GRAPH, """
+SELECT 'persons' AS name, count(*) AS "count" FROM persons
+UNION ALL SELECT 'products', count(*) FROM products
+UNION ALL SELECT 'stores', count(*) FROM (""" + STORES + """)
+UNION ALL SELECT 'purchases', count(*) FROM purchases
+UNION ALL SELECT 'visits', count(*) FROM visits""")
+Q["json_lines_load"] = with_(_RECEIPT_GRAPH, "SELECT * FROM (" + purchase_t("purchases") + ")")
+
+_EARLY = "(SELECT * FROM sales WHERE SALES_YMD < 19980101)"
+_LATE = "(SELECT * FROM sales WHERE SALES_YMD >= 19970101)"
+_PROD_ORDER = ["name", "name_kana", "major_category", "medium_category", "minor_category", "group_code",
+               "group_name", "department_code", "department_name", "price", "tax_rate"]
+
+
+def _products_of(src: str) -> str:
+    lines = f"({_from(PRODUCT_LINES, src)})"
+    return PRODUCT_T.format(src=f"({keep_one(lines + ' WHERE id IS NOT NULL', ['id'], PRODUCT_COLS[1:])})")
+
+
+Q["upsert_nodes"] = with_(base(
+    ("p_early", _products_of(_EARLY)), ("p_late", _products_of(_LATE))), """
+SELECT * FROM p_late UNION ALL
+SELECT * FROM p_early WHERE id NOT IN (SELECT id FROM p_late)""")
+
+
+def _persons_of(src: str) -> str:
+    lines = f"({_from(PERSON_LINES, src)})"
+    return PERSON_T.format(src=f"({keep_one(lines + ' WHERE id IS NOT NULL', ['id'], PERSON_COLS[1:])})")
+
+
+Q["upsert_edges"] = with_(base(
+    ("person_t", _persons_of("sales")), ("product_t", _products_of("sales")),
+    ("person_e", _persons_of(_EARLY)), ("product_e", _products_of(_EARLY)),
+    ("lines_e", _from(purchase_lines("line"), _EARLY)),
+    ("lines_l", _from(purchase_lines("line"), _LATE)),
+    ("base_t", purchase_t("lines_e", "person_e", "product_e")),
+    ("upd_t", purchase_t("lines_l")),
+), """
+SELECT * FROM upd_t UNION ALL
+SELECT * FROM base_t b WHERE NOT EXISTS (
+  SELECT 1 FROM upd_t u WHERE u.person_id = b.person_id AND u.product_id = b.product_id AND u.id = b.id)""")
+
+# ---------------------------------------------------------------- stage 3
+
+_NEWEST = '"datetime" DESC NULLS FIRST'
+_RANGE = f'"datetime" >= \'{DT_FROM}\' AND "datetime" <= \'{DT_TO}\''
+
+Q["person_purchases"] = g(f"""
+SELECT e.product_id, p.name AS product_name, e."datetime" AS purchase_date, e.quantity, e.amount,
+ e.payment_method, e.store_id
+FROM purchase_t e JOIN product_t p ON p.id = e.product_id
+WHERE e.person_id = '{TARGET_PERSON}' AND {_RANGE.replace('"datetime"', 'e."datetime"')}
+ORDER BY e.{_NEWEST}, e.product_id ASC NULLS FIRST, e.id ASC NULLS FIRST LIMIT 10""")
+Q["person_purchases_all"] = g(f"""
+SELECT person_id, product_id, product_name, purchase_date, quantity, amount, payment_method, store_id FROM (
+ SELECT e.person_id, e.product_id, p.name AS product_name, e."datetime" AS purchase_date, e.quantity, e.amount,
+  e.payment_method, e.store_id,
+  row_number() OVER (PARTITION BY e.person_id ORDER BY e.{_NEWEST}, e.product_id ASC NULLS FIRST,
+                     e.id ASC NULLS FIRST) AS rn
+ FROM purchase_t e JOIN product_t p ON p.id = e.product_id) WHERE rn <= 10""")
+Q["product_purchasers"] = g(f"""
+SELECT e.person_id, p.gender, p.prefecture, e."datetime" AS purchase_date, e.quantity, e.amount, e.store_id
+FROM purchase_t e JOIN person_t p ON p.id = e.person_id
+WHERE e.product_id = '{TARGET_PRODUCT}' AND {_RANGE.replace('"datetime"', 'e."datetime"')}
+ORDER BY e.{_NEWEST}, e.person_id ASC NULLS FIRST, e.id ASC NULLS FIRST LIMIT 10""")
+Q["product_purchasers_all"] = g(f"""
+SELECT product_id, person_id, gender, prefecture, purchase_date, quantity, amount, store_id FROM (
+ SELECT e.product_id, e.person_id, p.gender, p.prefecture, e."datetime" AS purchase_date, e.quantity,
+  e.amount, e.store_id,
+  row_number() OVER (PARTITION BY e.product_id ORDER BY e.{_NEWEST}, e.person_id ASC NULLS FIRST,
+                     e.id ASC NULLS FIRST) AS rn
+ FROM purchase_t e JOIN person_t p ON p.id = e.person_id) WHERE rn <= 10""")
+
+_STATS = """count(*) AS total_purchases,
+ CAST(coalesce(sum(e.quantity), 0) AS DECIMAL(28,3)) AS total_quantity,
+ CAST(coalesce(sum(e.amount), 0) AS DECIMAL(28,2)) AS total_amount,
+ round(CAST(sum(e.amount) AS DOUBLE) / CAST(count(*) AS DOUBLE), 6) AS avg_amount"""
+_CATS = "coalesce(array_to_string(list_sort(list_distinct(list(p.major_category))), '|'), '') AS categories"
+
+Q["person_statistics"] = g(f"""
+SELECT {_STATS}, {_CATS}
+FROM purchase_t e JOIN product_t p ON p.id = e.product_id WHERE e.person_id = '{TARGET_PERSON}'""")
+Q["product_statistics"] = g(f"""
+SELECT {_STATS}, count(DISTINCT e.person_id) AS unique_customers
+FROM purchase_t e JOIN person_t p ON p.id = e.person_id WHERE e.product_id = '{TARGET_PRODUCT}'""")
+Q["person_statistics_all"] = g(f"""
+SELECT n.id AS person_id, coalesce(s.total_purchases, 0) AS total_purchases,
+ coalesce(s.total_quantity, CAST(0 AS DECIMAL(28,3))) AS total_quantity,
+ coalesce(s.total_amount, CAST(0 AS DECIMAL(28,2))) AS total_amount, s.avg_amount,
+ coalesce(s.categories, '') AS categories
+FROM person_t n LEFT JOIN (
+ SELECT e.person_id, {_STATS}, {_CATS}
+ FROM purchase_t e JOIN product_t p ON p.id = e.product_id GROUP BY e.person_id) s ON s.person_id = n.id""")
+Q["product_statistics_all"] = g(f"""
+SELECT n.id AS product_id, coalesce(s.total_purchases, 0) AS total_purchases,
+ coalesce(s.total_quantity, CAST(0 AS DECIMAL(28,3))) AS total_quantity,
+ coalesce(s.total_amount, CAST(0 AS DECIMAL(28,2))) AS total_amount, s.avg_amount,
+ coalesce(s.unique_customers, 0) AS unique_customers
+FROM product_t n LEFT JOIN (
+ SELECT e.product_id, {_STATS}, count(DISTINCT e.person_id) AS unique_customers
+ FROM purchase_t e JOIN person_t p ON p.id = e.person_id GROUP BY e.product_id) s ON s.product_id = n.id""")
+
+_B = ("b", "SELECT DISTINCT person_id, product_id FROM purchase_t")
+
+Q["related_products"] = g(f"""
+SELECT b.product_id, p.name AS product_name, p.major_category AS category, count(*) AS frequency
+FROM b JOIN product_t p ON p.id = b.product_id
+WHERE b.person_id IN (SELECT person_id FROM b WHERE product_id = '{TARGET_PRODUCT}')
+  AND b.product_id <> '{TARGET_PRODUCT}'
+GROUP BY b.product_id, p.name, p.major_category
+ORDER BY frequency DESC, b.product_id ASC NULLS FIRST LIMIT 5""", _B)
+
+Q["user_recommendations"] = g(f"""
+SELECT top.product_id, p.name AS product_name, p.major_category AS category, top.recommendation_score,
+ top.purchase_count, cand.person_id AS similar_user_id, round(cand.similarity, 6) AS similarity
+FROM top JOIN cand ON cand.product_id = top.product_id JOIN product_t p ON p.id = top.product_id""",
+    _B,
+    ("tgt", f"SELECT product_id FROM b WHERE person_id = '{TARGET_PERSON}'"),
+    ("tsz", "SELECT count(*) AS t FROM tgt"),
+    ("oth", f"""SELECT person_id, count(*) AS o,
+      count(*) FILTER (WHERE product_id IN (SELECT product_id FROM tgt)) AS c
+      FROM b WHERE person_id <> '{TARGET_PERSON}' GROUP BY person_id"""),
+    ("sim", """SELECT person_id, CASE WHEN t + o - c > 0 THEN CAST(c AS DOUBLE) / CAST(t + o - c AS DOUBLE)
+      ELSE 0.0 END AS similarity FROM oth CROSS JOIN tsz WHERE t > 0"""),
+    ("cand", """SELECT b.product_id, s.person_id, s.similarity FROM b JOIN sim s ON s.person_id = b.person_id
+      WHERE s.similarity >= 0.0 AND b.product_id NOT IN (SELECT product_id FROM tgt)"""),
+    ("agg", """SELECT product_id, count(*) AS purchase_count,
+      round(sum(similarity) * ln(count(*) + 1), 6) AS recommendation_score FROM cand GROUP BY product_id"""),
+    ("top", """SELECT * FROM agg ORDER BY recommendation_score DESC NULLS LAST, product_id ASC NULLS FIRST
+      LIMIT 10"""),
+)
+
+Q["item_recommendations"] = g("""
+SELECT a.product_id, p.name AS product_name, p.major_category AS category, a.recommendation_score,
+ a.related_items_count
+FROM agg a JOIN product_t p ON p.id = a.product_id
+ORDER BY a.recommendation_score DESC NULLS LAST, a.product_id ASC NULLS FIRST LIMIT 10""",
+    ("em", "SELECT person_id, product_id, count(*) AS m FROM purchase_t GROUP BY person_id, product_id"),
+    ("deg", "SELECT product_id, count(*) AS deg FROM purchase_t GROUP BY product_id"),
+    ("hrows", f"""SELECT product_id FROM purchase_t WHERE person_id = '{TARGET_PERSON}'
+      ORDER BY {_NEWEST}, product_id ASC NULLS FIRST, id ASC NULLS FIRST LIMIT 10"""),
+    ("hist", "SELECT product_id AS h, count(*) AS rep FROM hrows GROUP BY product_id"),
+    ("walks", """SELECT hist.h, e2.product_id AS c, hist.rep * e1.m * e2.m AS w
+      FROM hist JOIN em e1 ON e1.product_id = hist.h JOIN em e2 ON e2.person_id = e1.person_id
+      WHERE e2.product_id NOT IN (SELECT h FROM hist)"""),
+    ("paths", "SELECT h, c, sum(w) AS paths FROM walks GROUP BY h, c"),
+    ("sims", """SELECT c, CAST(paths AS DOUBLE) / NULLIF(CAST(dh.deg + dc.deg - paths AS DOUBLE), 0) AS s
+      FROM paths JOIN deg dh ON dh.product_id = h JOIN deg dc ON dc.product_id = c"""),
+    ("agg", """SELECT c AS product_id, count(*) AS related_items_count,
+      round(sum(s) * ln(count(*) + 1), 6) AS recommendation_score FROM sims WHERE s >= 0.02 GROUP BY c"""),
+)
+
+
+def _rules(limit: str) -> str:
+    return g(f"""
+SELECT r.antecedent_id, p1.name AS antecedent_name, r.consequent_id, p2.name AS consequent_name,
+ r.support, r.confidence, r.lift
+FROM r JOIN product_t p1 ON p1.id = r.antecedent_id JOIN product_t p2 ON p2.id = r.consequent_id
+ORDER BY r.lift DESC NULLS LAST, r.antecedent_id ASC NULLS FIRST, r.consequent_id ASC NULLS FIRST {limit}""",
+        _B,
+        ("tot", "SELECT CAST(count(*) AS DOUBLE) AS n FROM person_t"),
+        ("deg", "SELECT product_id, count(*) AS cnt FROM purchase_t GROUP BY product_id"),
+        ("pairs", """SELECT b1.product_id AS a, b2.product_id AS bb, count(*) AS n_both
+          FROM b b1 JOIN b b2 ON b1.person_id = b2.person_id AND b1.product_id < b2.product_id
+          GROUP BY b1.product_id, b2.product_id"""),
+        ("m", """SELECT a, bb, CAST(n_both AS DOUBLE) / tot.n AS support,
+          CAST(n_both AS DOUBLE) / CAST(d1.cnt AS DOUBLE) AS conf_ab,
+          CAST(n_both AS DOUBLE) / CAST(d2.cnt AS DOUBLE) AS conf_ba,
+          CAST(d2.cnt AS DOUBLE) / tot.n AS share_b
+          FROM pairs JOIN deg d1 ON d1.product_id = a JOIN deg d2 ON d2.product_id = bb CROSS JOIN tot"""),
+        ("r", """SELECT a AS antecedent_id, bb AS consequent_id, round(support, 6) AS support,
+          round(conf_ab, 6) AS confidence, round(conf_ab / share_b, 6) AS lift
+          FROM m WHERE support >= 0.001 AND (conf_ab >= 0.1 OR conf_ba >= 0.1)"""),
+    )
+
+
+Q["association_rules"] = _rules("LIMIT 10")
+Q["association_rules_all"] = _rules("")

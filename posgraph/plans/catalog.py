@@ -10,8 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from posgraph.operators import edges, nodes, reports
+from posgraph.operators import edges, graph, lookups, nodes, recommend, reports
+from posgraph.plans import pipeline
+from posgraph.plans.fixture import stored_graph
+from posgraph.session import scratch_path
+from posgraph.sources import jsonl, store
 from posgraph.sources import pos as pos_src
 from posgraph.sources.tpch import pos_from_tpch
 
@@ -77,6 +82,164 @@ def q_top_stores(spark, sf_dir):
     return reports.top_stores(edges.visits(sales(spark, sf_dir), "store_day"))
 
 
+# ---------------------------------------------------------------- stage 2
+
+def _graph_from_pos(spark, sf_dir):
+    g, _ = pipeline.graph_from_pos(sales(spark, sf_dir), "line")
+    return g
+
+
+def q_person_props(spark, sf_dir):
+    return _graph_from_pos(spark, sf_dir).person
+
+
+def q_product_props(spark, sf_dir):
+    return _graph_from_pos(spark, sf_dir).product
+
+
+def q_store_props(spark, sf_dir):
+    return _graph_from_pos(spark, sf_dir).store
+
+
+def q_purchase_edges(spark, sf_dir):
+    return _graph_from_pos(spark, sf_dir).purchase
+
+
+def q_visit_edges(spark, sf_dir):
+    return _graph_from_pos(spark, sf_dir).visit
+
+
+def q_graph_counts(spark, sf_dir):
+    return graph.graph_counts(stored_graph(spark, sf_dir))
+
+
+def q_unique_violations(spark, sf_dir):
+    return graph.unique_violations(stored_graph(spark, sf_dir))
+
+
+def _stage1_files(spark, sf_dir):
+    """Run stage 1 into fresh JSON directories; return (node_dir, relation_dir)."""
+    root = scratch_path(spark, "json")
+    node_dir, rel_dir = f"{root}/node", f"{root}/relation"
+    pipeline.pos_to_files(sales(spark, sf_dir), node_dir, rel_dir)
+    return node_dir, rel_dir
+
+
+def q_json_roundtrip(spark, sf_dir):
+    """Stage-1 frames written as JSON lines and read back: row count per set."""
+    node_dir, rel_dir = _stage1_files(spark, sf_dir)
+    parts = []
+    for kind, d in (("persons", node_dir), ("products", node_dir), ("stores", node_dir),
+                    ("purchases", rel_dir), ("visits", rel_dir)):
+        good, _ = jsonl.read_json_lines(spark, f"{d}/{kind}.json", kind)
+        parts.append(good.agg(F.count(F.lit(1)).alias("count")).select(F.lit(kind).alias("name"), "count"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_json_lines_load(spark, sf_dir):
+    """The file-based chain end to end: stage-1 JSON lines -> purchase table."""
+    node_dir, rel_dir = _stage1_files(spark, sf_dir)
+    g, _ = pipeline.graph_from_files(spark, node_dir, rel_dir)
+    return g.purchase
+
+
+UPSERT_BASE_BEFORE = 19980101
+UPSERT_UPDATE_FROM = 19970101
+
+
+def _split_days(spark, sf_dir):
+    s = sales(spark, sf_dir)
+    return (s.where(F.col("SALES_YMD") < UPSERT_BASE_BEFORE),
+            s.where(F.col("SALES_YMD") >= UPSERT_UPDATE_FROM))
+
+
+def q_upsert_nodes(spark, sf_dir):
+    """Products: base table from the early days, upserted with a later batch."""
+    early, late = _split_days(spark, sf_dir)
+    base, _ = graph.product_props(nodes.products(early))
+    updates, _ = graph.product_props(nodes.products(late))
+    root = scratch_path(spark, "upsert")
+    store.write_table(base, f"{root}/v1/product", "product")
+    return store.upsert_table(spark, f"{root}/v1", f"{root}/v2", "product", updates)
+
+
+def q_upsert_edges(spark, sf_dir):
+    """Purchase edges: base from the early days, upserted with a later batch."""
+    early, late = _split_days(spark, sf_dir)
+    g_base, _ = pipeline.graph_from_pos(early, "line")
+    g_all, _ = pipeline.graph_from_pos(sales(spark, sf_dir), "line")
+    updates, _ = graph.purchase_edges(edges.purchase_lines(late, "line"), g_all.person, g_all.product)
+    root = scratch_path(spark, "upsert")
+    store.write_table(g_base.purchase, f"{root}/v1/purchase", "purchase")
+    return store.upsert_table(spark, f"{root}/v1", f"{root}/v2", "purchase", updates)
+
+
+# ---------------------------------------------------------------- stage 3
+
+def q_person_purchases(spark, sf_dir):
+    return lookups.person_purchases(stored_graph(spark, sf_dir), TARGET_PERSON, 10, DATE_FROM, DATE_TO)
+
+
+def q_person_purchases_all(spark, sf_dir):
+    return lookups.person_purchases_all(stored_graph(spark, sf_dir), 10)
+
+
+def q_product_purchasers(spark, sf_dir):
+    return lookups.product_purchasers(stored_graph(spark, sf_dir), TARGET_PRODUCT, 10, DATE_FROM, DATE_TO)
+
+
+def q_product_purchasers_all(spark, sf_dir):
+    return lookups.product_purchasers_all(stored_graph(spark, sf_dir), 10)
+
+
+def _joined_categories(df):
+    return df.withColumn("categories", F.array_join("categories", "|"))
+
+
+def _round_avg(df):
+    return df.withColumn("avg_amount", F.round("avg_amount", 6))
+
+
+def q_person_statistics(spark, sf_dir):
+    return _round_avg(_joined_categories(lookups.person_statistics(stored_graph(spark, sf_dir), TARGET_PERSON)))
+
+
+def q_product_statistics(spark, sf_dir):
+    return _round_avg(lookups.product_statistics(stored_graph(spark, sf_dir), TARGET_PRODUCT))
+
+
+def q_person_statistics_all(spark, sf_dir):
+    return _round_avg(_joined_categories(lookups.person_statistics_all(stored_graph(spark, sf_dir))))
+
+
+def q_product_statistics_all(spark, sf_dir):
+    return _round_avg(lookups.product_statistics_all(stored_graph(spark, sf_dir)))
+
+
+def q_related_products(spark, sf_dir):
+    return recommend.related_products(stored_graph(spark, sf_dir), TARGET_PRODUCT, 5)
+
+
+def q_user_recommendations(spark, sf_dir):
+    return recommend.user_recommendations(stored_graph(spark, sf_dir), TARGET_PERSON, 10, 0.0)
+
+
+def q_item_recommendations(spark, sf_dir):
+    return recommend.item_recommendations(stored_graph(spark, sf_dir), TARGET_PERSON, 10, 0.02, 10)
+
+
+def q_association_rules(spark, sf_dir):
+    return recommend.association_rules(stored_graph(spark, sf_dir), 0.001, 0.1, 10)
+
+
+def q_association_rules_all(spark, sf_dir):
+    """Every rule passing the default thresholds (no top-k)."""
+    return recommend.association_rules(stored_graph(spark, sf_dir), 0.001, 0.1, None)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pos_sales": q_pos_sales,
     "pos_day_range": q_pos_day_range,
@@ -90,5 +253,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_products": q_top_products,
     "payment_mix": q_payment_mix,
     "top_stores": q_top_stores,
+    "person_props": q_person_props,
+    "product_props": q_product_props,
+    "store_props": q_store_props,
+    "purchase_edges": q_purchase_edges,
+    "visit_edges": q_visit_edges,
+    "graph_counts": q_graph_counts,
+    "unique_violations": q_unique_violations,
+    "json_roundtrip": q_json_roundtrip,
+    "json_lines_load": q_json_lines_load,
+    "upsert_nodes": q_upsert_nodes,
+    "upsert_edges": q_upsert_edges,
+    "person_purchases": q_person_purchases,
+    "person_purchases_all": q_person_purchases_all,
+    "product_purchasers": q_product_purchasers,
+    "product_purchasers_all": q_product_purchasers_all,
+    "person_statistics": q_person_statistics,
+    "product_statistics": q_product_statistics,
+    "person_statistics_all": q_person_statistics_all,
+    "product_statistics_all": q_product_statistics_all,
+    "related_products": q_related_products,
+    "user_recommendations": q_user_recommendations,
+    "item_recommendations": q_item_recommendations,
+    "association_rules": q_association_rules,
+    "association_rules_all": q_association_rules_all,
 }
 FLAGSHIP = "top_products"
