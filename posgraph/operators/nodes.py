@@ -74,25 +74,48 @@ def store_lines(pos: DataFrame) -> DataFrame:
     return pos.select(F.col("SHOP_CD").alias("id"), F.col("COMPANY_CD_UNIQUE").alias("company_id"))
 
 
-def _nodes(lines: DataFrame, keys: list[str], keep_null_ids: bool) -> DataFrame:
+PERSON_SOURCE = [
+    "CUSTOMER_ID", "SEX", "BIRTHDAY_Y", "BIRTHDAY_M", "BIRTHDAY_D", "ZIP_CODE", "PREFECTURE",
+    "LATITUDE", "LONGITUDE", "DM_STOP_TYPE", "EMAIL_STOP_TYPE", "TEL_STOP_TYPE", "MAIL_PC_FLG",
+    "MAIL_MOBILE_FLG", "MEMBER_ID", "CARD_ID", "CARD_STS", "START_DATE", "END_DATE",
+    "EXPIRATION_DATE", "REGIST_YMD"]
+PRODUCT_SOURCE = [
+    "ITEM_CD_UNIQUE", "PD_NM", "PD_NM_KANA", "ITEM_CATEGORY_LV1_CD", "ITEM_CATEGORY_LV2_CD",
+    "ITEM_CATEGORY_LV3_CD", "GRP_CD", "GRP_KJ", "GRP_KN", "DEPT_CD", "DEPT_KJ", "DEPT_KN",
+    "CLR_CD", "CLR_NM", "SZ_CD", "SZ_NM", "MFC_CD", "SSN_CD", "VARIATION_PRODUCT_NO",
+    "MASTER_PRICE", "SCHEDULE_PRICE", "HYOUJUN_BAITANKA", "HYOUJUN_GENTANKA", "ZEIRITSU"]
+
+
+def _nodes(pos: DataFrame, source: list[str], id_col: str, project, keep_null_ids: bool) -> DataFrame:
+    """Distinct source rows first, then derive and keep one row per id.
+
+    Node attributes repeat on every line of a customer or item, so the
+    ``distinct`` (a hash aggregate, combined map-side before its shuffle)
+    shrinks the data to about one row per node before any parsing or
+    sorting.  Exact: identical source rows derive identical node rows.
+    """
+    src = pos.select(*source)
     if not keep_null_ids:
-        lines = lines.where(F.col("id").isNotNull())
-    return keep_one(lines, keys)
+        src = src.where(F.col(id_col).isNotNull())
+    return keep_one(project(src.distinct()), ["id"])
 
 
 def persons(pos: DataFrame, keep_null_ids: bool = False) -> DataFrame:
     """One row per customer id (flat).  Anonymous lines give no person."""
-    return _nodes(person_lines(pos), ["id"], keep_null_ids)
+    return _nodes(pos, PERSON_SOURCE, "CUSTOMER_ID", person_lines, keep_null_ids)
 
 
 def products(pos: DataFrame, keep_null_ids: bool = False) -> DataFrame:
     """One row per item code (flat)."""
-    return _nodes(product_lines(pos), ["id"], keep_null_ids)
+    return _nodes(pos, PRODUCT_SOURCE, "ITEM_CD_UNIQUE", product_lines, keep_null_ids)
 
 
 def stores(pos: DataFrame, keep_null_ids: bool = False) -> DataFrame:
     """Distinct (store, company) pairs."""
-    return _nodes(store_lines(pos), ["id", "company_id"], keep_null_ids)
+    lines = store_lines(pos)
+    if not keep_null_ids:
+        lines = lines.where(F.col("id").isNotNull())
+    return lines.distinct()
 
 
 def nested(flat: DataFrame, kind: str) -> DataFrame:

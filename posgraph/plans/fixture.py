@@ -13,7 +13,7 @@ import os
 from pyspark.sql import SparkSession
 
 from posgraph.operators.graph import Graph
-from posgraph.plans.pipeline import graph_from_pos
+from posgraph.plans.pipeline import materialize_graph
 from posgraph.session import path_exists, scratch_path
 from posgraph.sources import pos as pos_src
 from posgraph.sources import store
@@ -30,8 +30,7 @@ def graph_root(spark: SparkSession, sf_dir: str, purchase_grain: str = "line") -
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), purchase_grain)
     root = _BUILT.get(key)
     if root is None or not path_exists(spark, os.path.join(root, "visit")):
-        g, _ = graph_from_pos(sales(spark, sf_dir), purchase_grain)
-        root = store.write_graph(g, scratch_path(spark, "graph"))
+        root = materialize_graph(sales(spark, sf_dir), scratch_path(spark, "graph"), purchase_grain)
         _BUILT[key] = root
     return root
 

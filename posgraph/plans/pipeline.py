@@ -69,3 +69,42 @@ def graph_from_pos(pos: DataFrame, purchase_grain: str = "line",
         purchases = edges.purchases(pos, purchase_grain)
     return build_graph(nodes.persons(pos), nodes.products(pos), nodes.stores(pos),
                        purchases, edges.visits(pos, visit_grain))
+
+
+def materialize_graph(pos: DataFrame, root: str, purchase_grain: str = "line",
+                      visit_grain: str = "store_day") -> str:
+    """Build and write the graph tables under ``root`` in stages.
+
+    1. the sales lines are written once (``{root}/_lines``): the expensive
+       upstream plan (scan + joins) runs a single time and the write is a
+       durable cut of lineage — a lost executor re-reads it;
+    2. node tables are derived from the lines and written;
+    3. edge tables semi-join against the *stored* node tables, so the node
+       deduplication is not recomputed for the integrity joins.
+    """
+    from posgraph.operators import graph as G
+    from posgraph.sources import store
+
+    spark = pos.sparkSession
+    lines_path = f"{root}/_lines"
+    pos.write.mode("overwrite").parquet(lines_path)
+    lines = spark.read.parquet(lines_path)
+
+    person, _ = G.person_props(nodes.persons(lines))
+    product, _ = G.product_props(nodes.products(lines))
+    store_t, _ = G.store_props(nodes.stores(lines))
+    for name, df in (("person", person), ("product", product), ("store", store_t)):
+        store.write_table(df, f"{root}/{name}", name)
+    person = store.read_table(spark, root, "person")
+    product = store.read_table(spark, root, "product")
+    store_t = store.read_table(spark, root, "store")
+
+    if purchase_grain == "line":
+        purchases = edges.purchase_lines(lines, "line")
+    else:
+        purchases = edges.purchases(lines, purchase_grain)
+    purchase, _ = G.purchase_edges(purchases, person, product)
+    store.write_table(purchase, f"{root}/purchase", "purchase")
+    visit, _ = G.visit_edges(edges.visits(lines, visit_grain), person, store_t)
+    store.write_table(visit, f"{root}/visit", "visit")
+    return root
