@@ -1,0 +1,5 @@
+"""Incremental (streaming) form of the graph load; see ``daily_load``."""
+
+from posgraph.streaming.daily_load import apply_batch, read_current, start_daily_load
+
+__all__ = ["apply_batch", "read_current", "start_daily_load"]
