@@ -1,0 +1,25 @@
+"""Size-checked broadcast.
+
+A side is broadcast only after its row count has been checked against a
+limit; beyond the limit the plan keeps the shuffle join.  The check counts at
+most ``limit + 1`` rows, so it stops early on a large side.  The limit comes
+from ``posgraph.broadcast.maxRows`` (default 1,000,000 rows — id rows of a few
+tens of bytes, i.e. tens of MB per executor).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 1_000_000
+
+
+def max_broadcast_rows(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("posgraph.broadcast.maxRows", str(DEFAULT_MAX_ROWS)))
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    limit = max_rows if max_rows is not None else max_broadcast_rows(df)
+    n = df.limit(limit + 1).count()
+    return F.broadcast(df) if n <= limit else df
