@@ -4,7 +4,7 @@ Prints one JSON line:
 {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
 ``graph_build`` is the import: POS adapter -> five graph tables written as
-parquet.  Every other query reads the stored tables (as graph queries run on
+parquet (staged: sales lines, then nodes, then edges).  Every other query reads the stored tables (as graph queries run on
 a loaded graph) and is executed in full through the ``noop`` sink, so the
 timing covers the whole plan but no transfer of rows to Python.  Each query
 runs twice; the faster run is reported.
@@ -23,8 +23,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from posgraph.operators import lookups, recommend, reports  # noqa: E402
 from posgraph.operators.graph import graph_counts  # noqa: E402
 from posgraph.plans import catalog as C  # noqa: E402
-from posgraph.plans.fixture import graph_root  # noqa: E402
-from posgraph.session import get_session  # noqa: E402
+from posgraph.plans.pipeline import materialize_graph  # noqa: E402
+from posgraph.session import get_session, scratch_path  # noqa: E402
 from posgraph.sources import store  # noqa: E402
 
 
@@ -52,10 +52,11 @@ def main() -> None:
     spark.range(100000).selectExpr("sum(id)", "count(distinct id % 7)").collect()
 
     q: dict[str, float] = {}
-    t = time.perf_counter()
-    root = graph_root(spark, sf_dir)
-    q["graph_build"] = round(time.perf_counter() - t, 3)
-    g = store.read_graph(spark, root)
+    # Graph build (the import): best of two full builds into fresh roots.
+    roots: list[str] = []
+    q["graph_build"] = timed(lambda: roots.append(
+        materialize_graph(C.sales(spark, sf_dir), scratch_path(spark, "graph"))))
+    g = store.read_graph(spark, roots[-1])
 
     def sales():
         return C.sales(spark, sf_dir)

@@ -71,6 +71,18 @@ def graph_from_pos(pos: DataFrame, purchase_grain: str = "line",
                        purchases, edges.visits(pos, visit_grain))
 
 
+def _write_all(tables: dict[str, DataFrame], root: str) -> None:
+    """Write independent tables as concurrent Spark jobs (one driver thread each)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from posgraph.sources import store
+
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        futures = [pool.submit(store.write_table, df, f"{root}/{name}", name) for name, df in tables.items()]
+        for f in futures:
+            f.result()
+
+
 def materialize_graph(pos: DataFrame, root: str, purchase_grain: str = "line",
                       visit_grain: str = "store_day") -> str:
     """Build and write the graph tables under ``root`` in stages.
@@ -81,6 +93,8 @@ def materialize_graph(pos: DataFrame, root: str, purchase_grain: str = "line",
     2. node tables are derived from the lines and written;
     3. edge tables semi-join against the *stored* node tables, so the node
        deduplication is not recomputed for the integrity joins.
+
+    Tables of one step are independent and are written as concurrent jobs.
     """
     from posgraph.operators import graph as G
     from posgraph.sources import store
@@ -93,8 +107,7 @@ def materialize_graph(pos: DataFrame, root: str, purchase_grain: str = "line",
     person, _ = G.person_props(nodes.persons(lines))
     product, _ = G.product_props(nodes.products(lines))
     store_t, _ = G.store_props(nodes.stores(lines))
-    for name, df in (("person", person), ("product", product), ("store", store_t)):
-        store.write_table(df, f"{root}/{name}", name)
+    _write_all({"person": person, "product": product, "store": store_t}, root)
     person = store.read_table(spark, root, "person")
     product = store.read_table(spark, root, "product")
     store_t = store.read_table(spark, root, "store")
@@ -104,7 +117,6 @@ def materialize_graph(pos: DataFrame, root: str, purchase_grain: str = "line",
     else:
         purchases = edges.purchases(lines, purchase_grain)
     purchase, _ = G.purchase_edges(purchases, person, product)
-    store.write_table(purchase, f"{root}/purchase", "purchase")
     visit, _ = G.visit_edges(edges.visits(lines, visit_grain), person, store_t)
-    store.write_table(visit, f"{root}/visit", "visit")
+    _write_all({"purchase": purchase, "visit": visit}, root)
     return root
