@@ -4,7 +4,9 @@ Each query has a single-id form (the original call) and an all-ids form that
 answers every person/product in one distributed job:
 
 * single id: a point filter on the edge table (row-group skipping on the
-  person-clustered files), a join to the node table, and ``orderBy + limit``
+  person-clustered files), a join to the node table (the filtered edges are
+  broadcast after a size check, so the node table is scanned, not shuffled),
+  and ``orderBy + limit``
   which plans as ``TakeOrderedAndProject`` (per-task top-k, then merge);
 * all ids: ``row_number() over (partition by id ...) <= k`` — the planner
   puts a partial ``WindowGroupLimit`` before the shuffle, so a person with a
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 
 from posgraph.functions.dates import date_bounds
 from posgraph.operators.graph import Graph
+from posgraph.operators.sizing import broadcast_if_small
 
 
 def _in_range(edges: DataFrame, start_date: str | None, end_date: str | None) -> DataFrame:
@@ -60,7 +63,7 @@ def person_purchases(g: Graph, person_id: str, limit: int | None = 10,
                      start_date: str | None = None, end_date: str | None = None) -> DataFrame:
     """One person's purchases, newest first."""
     e = _in_range(g.purchase.where(F.col("person_id") == F.lit(person_id)), start_date, end_date)
-    rows = _person_purchase_rows(g, e)
+    rows = _person_purchase_rows(g, broadcast_if_small(e))
     rows = _top(rows, _newest_first("product_id", "id"), limit, None)
     return rows.select(*PERSON_PURCHASE_COLS[:2], F.col("datetime").alias("purchase_date"),
                        *PERSON_PURCHASE_COLS[3:])
@@ -87,7 +90,7 @@ def product_purchasers(g: Graph, product_id: str, limit: int | None = 10,
                        start_date: str | None = None, end_date: str | None = None) -> DataFrame:
     """Buyers of one product, newest purchase first."""
     e = _in_range(g.purchase.where(F.col("product_id") == F.lit(product_id)), start_date, end_date)
-    rows = _top(_purchaser_rows(g, e), _newest_first("person_id", "id"), limit, None)
+    rows = _top(_purchaser_rows(g, broadcast_if_small(e)), _newest_first("person_id", "id"), limit, None)
     return rows.select(*PURCHASER_COLS[:3], F.col("datetime").alias("purchase_date"), *PURCHASER_COLS[4:])
 
 
@@ -117,14 +120,14 @@ def _categories(c: str = "major_category") -> Column:
 
 def person_statistics(g: Graph, person_id: str) -> DataFrame:
     """A5 (person): exactly one row; zeros and null average for a person without purchases."""
-    e = g.purchase.where(F.col("person_id") == F.lit(person_id))
+    e = broadcast_if_small(g.purchase.where(F.col("person_id") == F.lit(person_id)))
     rows = e.join(g.product.select(F.col("id").alias("product_id"), "major_category"), "product_id")
     return rows.agg(*_stats_aggs(), _categories())
 
 
 def product_statistics(g: Graph, product_id: str) -> DataFrame:
     """A5 (product): exactly one row, with the number of distinct buyers."""
-    e = g.purchase.where(F.col("product_id") == F.lit(product_id))
+    e = broadcast_if_small(g.purchase.where(F.col("product_id") == F.lit(product_id)))
     rows = e.join(g.person.select(F.col("id").alias("person_id")), "person_id")
     return rows.agg(*_stats_aggs(), F.countDistinct("person_id").alias("unique_customers"))
 

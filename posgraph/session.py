@@ -29,6 +29,16 @@ DEFAULT_CONF = {
 def get_session(master: str | None = None, app_name: str = "posgraph",
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
+    """The active session if there is one (left as configured), else a new one.
+
+    A new session gets ``DEFAULT_CONF`` and ``extra``; an existing session
+    (a cluster's) is never reconfigured, except that a checkpoint directory is
+    set when none is named.
+    """
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ensure_checkpoint_dir(active)
+        return active
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -41,13 +51,26 @@ def get_session(master: str | None = None, app_name: str = "posgraph",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
-    for k, v in DEFAULT_CONF.items():
-        if k != "spark.sql.ansi.enabled":
-            spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def recommended_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle sizing for a given input volume (to pass as ``extra`` or cluster conf).
+
+    Initial shuffle partitions are sized so one partition holds about
+    ``target_partition_bytes`` of input (at least 200); AQE then coalesces small
+    partitions towards the same advisory size and splits skewed ones.
+    """
+    parts = max(200, int(input_bytes // target_partition_bytes) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory, creating a private one only if unset."""
     current = spark.sparkContext.getCheckpointDir()
