@@ -129,3 +129,15 @@ def test_stored_graph_has_no_dangling_edges(spark):
     assert store.edge_ends_missing(g).count() == 0
     assert graph.unique_violations(g).count() == 0
     assert g.purchase.count() == 12
+
+
+def test_hot_person_is_spread_over_several_files(spark):
+    rows = [{"person_id": "H", "product_id": f"P{i:04d}", "id": str(i), "store_id": "S1",
+             "datetime": "20240101T000000"} for i in range(400)]
+    rows += [{"person_id": f"C{i}", "product_id": "P0000", "id": f"c{i}", "store_id": "S1",
+              "datetime": "20240101T000000"} for i in range(40)]
+    path = os.path.join(_tmp(), "purchase")
+    store.write_table(table(spark, "purchase", rows), path, "purchase")
+    files = (spark.read.parquet(path).where(F.col("person_id") == "H")
+             .select(F.input_file_name().alias("f")).distinct().count())
+    assert files > 1
