@@ -19,7 +19,10 @@ def max_broadcast_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("posgraph.broadcast.maxRows", str(DEFAULT_MAX_ROWS)))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     limit = max_rows if max_rows is not None else max_broadcast_rows(df)
-    n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
+    return df.limit(limit + 1).count() <= limit
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df

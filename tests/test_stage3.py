@@ -204,3 +204,41 @@ def test_related_products_counts_distinct_buyers(spark):
     ])
     r = recommend.related_products(g, "X").collect()
     assert [(x.product_id, x.frequency) for x in r] == [("Y", 2), ("Z", 1)]
+
+
+def test_salted_join_equals_plain_join(spark):
+    from posgraph.operators.skew import salted_join
+    rnd = random.Random(11)
+    big = spark.createDataFrame([(f"k{rnd.randrange(3) if i % 2 else 0}", i) for i in range(60)],
+                                "k string, v int")
+    small = spark.createDataFrame([("k0", "a"), ("k1", "b"), ("k9", "z")], "k string, s string")
+    counts = big.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    want = sorted(tuple(r) for r in big.join(small, "k").collect())
+    for per_task in (1, 4, 1000):
+        got = sorted(tuple(r) for r in salted_join(big, small, "k", counts, per_task=per_task).collect())
+        assert got == want
+    semi = salted_join(big, small, "k", counts, how="left_semi", per_task=3)
+    assert sorted(tuple(r) for r in semi.collect()) == sorted(tuple(r) for r in big.join(small, "k", "left_semi").collect())
+
+
+def test_skew_and_fallback_paths_give_the_same_answers(spark):
+    rows = _random_graph(5) + [("U99", f"I{k:02d}", f"x{k}", "20240301T000000") for k in range(8)]
+    g = graph_of(spark, rows)
+    target = "U99"
+    runs = {
+        "user": lambda: recommend.user_recommendations(g, target, limit=None),
+        "item": lambda: recommend.item_recommendations(g, "U01", limit=None, similarity_threshold=0.0),
+        "related": lambda: recommend.related_products(g, "I00", limit=None),
+        "rules": lambda: recommend.association_rules(g, 0.05, 0.1, limit=None),
+        "lookup": lambda: lookups.person_purchases(g, target, limit=None),
+    }
+    plain = {k: sorted(tuple(r) for r in f().collect()) for k, f in runs.items()}
+    spark.conf.set("posgraph.skew.rowsPerTask", "2")
+    spark.conf.set("posgraph.broadcast.maxRows", "0")
+    try:
+        forced = {k: sorted(tuple(r) for r in f().collect()) for k, f in runs.items()}
+    finally:
+        spark.conf.unset("posgraph.skew.rowsPerTask")
+        spark.conf.unset("posgraph.broadcast.maxRows")
+    for k in runs:
+        assert forced[k] == plain[k], k
