@@ -242,3 +242,22 @@ def test_skew_and_fallback_paths_give_the_same_answers(spark):
         spark.conf.unset("posgraph.broadcast.maxRows")
     for k in runs:
         assert forced[k] == plain[k], k
+
+
+@pytest.mark.parametrize("parts", [3, 11])
+def test_results_do_not_depend_on_partition_count(spark, parts):
+    rows = _random_graph(9)
+    g = graph_of(spark, rows)
+    runs = {
+        "rules": lambda: recommend.association_rules(g, 0.05, 0.1, limit=None),
+        "user": lambda: recommend.user_recommendations(g, rows[0][0], limit=3),
+        "all": lambda: lookups.person_purchases_all(g, 2),
+    }
+    before = {k: sorted(tuple(r) for r in f().collect()) for k, f in runs.items()}
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        after = {k: sorted(tuple(r) for r in f().collect()) for k, f in runs.items()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert before == after
