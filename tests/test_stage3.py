@@ -261,3 +261,13 @@ def test_results_do_not_depend_on_partition_count(spark, parts):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert before == after
+
+
+@pytest.mark.parametrize("seed", [12, 13])
+def test_buyer_counting_similarity_is_a_jaccard_index(spark, seed):
+    rows = _random_graph(seed)
+    g = graph_of(spark, rows)
+    s = [r.s for r in recommend.item_similarity(g, rows[0][0], 5, counting="buyers").collect()]
+    assert s and all(x is not None and 0.0 < x <= 1.0 for x in s)
+    us = [r.similarity for r in recommend.user_similarity(g, rows[0][0]).collect()]
+    assert us and all(0.0 <= x <= 1.0 for x in us)
