@@ -133,6 +133,13 @@ class Graph:
     store: DataFrame
     purchase: DataFrame
     visit: DataFrame
+    # Optional copy of ``purchase`` clustered by product (the reverse
+    # adjacency); product-filtered reads use it when present.
+    purchase_by_product: DataFrame | None = None
+
+    def purchases_of_products(self) -> DataFrame:
+        """Purchase edges for reads filtered by product id."""
+        return self.purchase_by_product if self.purchase_by_product is not None else self.purchase
 
     def tables(self) -> dict[str, DataFrame]:
         return {"person": self.person, "product": self.product, "store": self.store,

@@ -4,7 +4,7 @@ Each query has a single-id form (the original call) and an all-ids form that
 answers every person/product in one distributed job:
 
 * single id: a point filter on the edge table (row-group skipping on the
-  person-clustered files), a join to the node table (the filtered edges are
+  person-clustered files, or on the product-clustered copy for a product), a join to the node table (the filtered edges are
   broadcast after a size check, so the node table is scanned, not shuffled),
   and ``orderBy + limit``
   which plans as ``TakeOrderedAndProject`` (per-task top-k, then merge);
@@ -89,7 +89,7 @@ PURCHASER_COLS = ["person_id", "gender", "prefecture", "purchase_date", "quantit
 def product_purchasers(g: Graph, product_id: str, limit: int | None = 10,
                        start_date: str | None = None, end_date: str | None = None) -> DataFrame:
     """Buyers of one product, newest purchase first."""
-    e = _in_range(g.purchase.where(F.col("product_id") == F.lit(product_id)), start_date, end_date)
+    e = _in_range(g.purchases_of_products().where(F.col("product_id") == F.lit(product_id)), start_date, end_date)
     rows = _top(_purchaser_rows(g, broadcast_if_small(e)), _newest_first("person_id", "id"), limit, None)
     return rows.select(*PURCHASER_COLS[:3], F.col("datetime").alias("purchase_date"), *PURCHASER_COLS[4:])
 
@@ -127,7 +127,7 @@ def person_statistics(g: Graph, person_id: str) -> DataFrame:
 
 def product_statistics(g: Graph, product_id: str) -> DataFrame:
     """A5 (product): exactly one row, with the number of distinct buyers."""
-    e = broadcast_if_small(g.purchase.where(F.col("product_id") == F.lit(product_id)))
+    e = broadcast_if_small(g.purchases_of_products().where(F.col("product_id") == F.lit(product_id)))
     rows = e.join(g.person.select(F.col("id").alias("person_id")), "person_id")
     return rows.agg(*_stats_aggs(), F.countDistinct("person_id").alias("unique_customers"))
 

@@ -92,7 +92,9 @@ def materialize_graph(pos: DataFrame, root: str, purchase_grain: str = "line",
        durable cut of lineage — a lost executor re-reads it;
     2. node tables are derived from the lines and written;
     3. edge tables semi-join against the *stored* node tables, so the node
-       deduplication is not recomputed for the integrity joins.
+       deduplication is not recomputed for the integrity joins;
+    4. the stored purchase edges are copied clustered by product (the
+       reverse adjacency used by product-filtered reads).
 
     Tables of one step are independent and are written as concurrent jobs.
     """
@@ -119,4 +121,5 @@ def materialize_graph(pos: DataFrame, root: str, purchase_grain: str = "line",
     purchase, _ = G.purchase_edges(purchases, person, product)
     visit, _ = G.visit_edges(edges.visits(lines, visit_grain), person, store_t)
     _write_all({"purchase": purchase, "visit": visit}, root)
+    store.write_purchases_by_product(store.read_table(spark, root, "purchase"), root)
     return root

@@ -6,6 +6,9 @@ lookup on a person reads few files and row groups, and the tables written by one
 build are a durable cut of lineage: a lost executor re-reads them instead of
 recomputing the POS joins.
 
+A second copy of the purchase edges, clustered by (product, person), is
+the reverse adjacency: reads filtered by product skip most row groups there.
+
 Upserts never overwrite the table being read: the merged table is written to
 a new root and the caller moves on to it (insert-or-replace by key, the last
 batch wins, like MERGE ... SET).
@@ -21,21 +24,30 @@ from pyspark.sql import functions as F
 from posgraph.operators.dedupe import keep_one
 from posgraph.operators.graph import Graph, conform_table
 from posgraph.schemas import TABLE_KEYS, TABLES
+from posgraph.session import path_exists
 
 CLUSTER = {"purchase": ["person_id", "product_id"], "visit": ["person_id", "store_id"]}
+BY_PRODUCT = "purchase_by_product"
+BY_PRODUCT_CLUSTER = ["product_id", "person_id"]
 
 
-def write_table(df: DataFrame, path: str, name: str) -> str:
+def write_table(df: DataFrame, path: str, name: str, cluster: list[str] | None = None) -> str:
     df = conform_table(df, name)
-    if name in CLUSTER:
-        # Range partitioning on (person, second key): files hold contiguous
-        # person ranges, and a person with a third of all edges is split over
-        # several files by the second key instead of landing in one task.
-        df = df.repartitionByRange(*CLUSTER[name]).sortWithinPartitions(*CLUSTER[name])
+    cluster = cluster or CLUSTER.get(name)
+    if cluster:
+        # Range partitioning on (key, second key): files hold contiguous key
+        # ranges, and a key with a third of all edges is split over several
+        # files by the second key instead of landing in one task.
+        df = df.repartitionByRange(*cluster).sortWithinPartitions(*cluster)
     df.write.mode("overwrite").parquet(path)
     return path
 
 
+def write_purchases_by_product(purchase: DataFrame, root: str) -> str:
+    """The reverse adjacency: purchase edges clustered by (product, person)."""
+    return write_table(purchase, os.path.join(root, BY_PRODUCT), "purchase", BY_PRODUCT_CLUSTER)
+
+
 def write_graph(g: Graph, root: str) -> str:
     """S9 + load: replace every table under ``root``."""
     for name, df in g.tables().items():
@@ -48,7 +60,11 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def read_graph(spark: SparkSession, root: str) -> Graph:
-    return Graph(*[read_table(spark, root, n) for n in ("person", "product", "store", "purchase", "visit")])
+    g = Graph(*[read_table(spark, root, n) for n in ("person", "product", "store", "purchase", "visit")])
+    by_product = os.path.join(root, BY_PRODUCT)
+    if path_exists(spark, by_product):
+        g.purchase_by_product = spark.read.schema(TABLES["purchase"]).parquet(by_product)
+    return g
 
 
 def upsert(base: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:

@@ -59,3 +59,29 @@ def test_visit_join_reuses_the_key_partitioning(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_product_reads_use_the_product_clustered_copy(spark):
+    from posgraph.operators import lookups, recommend
+    from posgraph.plans import pipeline
+    from posgraph.sources import store
+    df = pos_frame(spark, [{"CUSTOMER_ID": f"C{i % 3}", "ITEM_CD_UNIQUE": f"P{i % 4}",
+                            "RECEIPT_NO": str(i), "SALES_HMS": f"10{i:02d}00"} for i in range(12)])
+    root = pipeline.materialize_graph(df, tempfile.mkdtemp(prefix="pos-rev-", dir="/tmp"))
+    g = store.read_graph(spark, root)
+    assert g.purchase_by_product is not None
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        p = plan(lookups.product_purchasers(g, "P1"))
+        assert "purchase_by_product" in p and "EqualTo(product_id,P1)" in p
+        p = plan(recommend.item_recommendations(g, "C1", similarity_threshold=0.0))
+        assert "purchase_by_product" in p and "In(product_id" in p
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    # same answers as reading the person-clustered table
+    g2 = store.read_graph(spark, root)
+    g2.purchase_by_product = None
+    for f in (lambda x: lookups.product_purchasers(x, "P1"),
+              lambda x: recommend.item_recommendations(x, "C1", similarity_threshold=0.0),
+              lambda x: recommend.related_products(x, "P2")):
+        assert sorted(f(g).collect()) == sorted(f(g2).collect())
