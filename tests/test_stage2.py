@@ -146,3 +146,27 @@ def test_hot_person_is_spread_over_several_files(spark):
     files = (spark.read.parquet(path).where(F.col("person_id") == "H")
              .select(F.input_file_name().alias("f")).distinct().count())
     assert files > 1
+
+
+def test_pipeline_entry_points_and_query_api(spark):
+    import pytest
+    from posgraph.plans.api import PurchaseGraphQueries, import_graph, transform_pos
+    df = pos_frame(spark, [{"CUSTOMER_ID": f"C{i % 3}", "ITEM_CD_UNIQUE": f"P{i % 4}",
+                            "RECEIPT_NO": str(i // 2), "SALES_DETAIL_NO": str(i),
+                            "SALES_AMT": i + 1} for i in range(12)])
+    root = _tmp()
+    reports = transform_pos(df, f"{root}/node", f"{root}/relation")
+    assert set(reports) == {"top_products", "payment_mix", "top_stores"}
+    counts, rejects = import_graph(spark, f"{root}/node", f"{root}/relation", f"{root}/graph")
+    got = {r.name: r["count"] for r in counts.collect()}
+    assert got["Person nodes"] == 3 and got["Purchase relationships"] == 6   # receipt grain
+    assert rejects["purchase"].count() == 0
+    q = PurchaseGraphQueries.open(spark, f"{root}/graph")
+    assert q.get_person_purchases("C0").count() > 0
+    assert q.get_purchase_statistics("P1", "product").first().total_purchases > 0
+    with pytest.raises(ValueError):
+        q.get_purchase_statistics("P1", "store")
+    for df_ in (q.get_product_purchasers("P1"), q.get_related_products("P1"),
+                q.get_user_based_recommendations("C0"), q.get_item_based_recommendations("C0"),
+                q.get_association_rules(min_support=0.0)):
+        df_.collect()
