@@ -136,6 +136,22 @@ class Graph:
     # Optional copy of ``purchase`` clustered by product (the reverse
     # adjacency); product-filtered reads use it when present.
     purchase_by_product: DataFrame | None = None
+    # Optional degree index written by the graph build:
+    # person_degree (person_id, n) and product_degree (product_id, edges, buyers).
+    person_degree: DataFrame | None = None
+    product_degree: DataFrame | None = None
+
+    def person_edge_counts(self) -> DataFrame:
+        """(person_id, n): purchase edges per person (stored index or computed)."""
+        if self.person_degree is not None:
+            return self.person_degree
+        return person_degree(self.purchase)
+
+    def product_edge_stats(self) -> DataFrame:
+        """(product_id, edges, buyers): purchase edges and distinct buyers per product."""
+        if self.product_degree is not None:
+            return self.product_degree
+        return product_degree(self.purchase)
 
     def purchases_of_products(self) -> DataFrame:
         """Purchase edges for reads filtered by product id."""
@@ -146,6 +162,17 @@ class Graph:
                 "purchase": self.purchase, "visit": self.visit}
 
 
+def person_degree(purchase: DataFrame) -> DataFrame:
+    return purchase.groupBy("person_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def product_degree(purchase: DataFrame) -> DataFrame:
+    """Edges and distinct buyers per product: two aggregation levels, both
+    combined map-side (a hot product never gathers its buyers in one buffer)."""
+    m = purchase.groupBy("person_id", "product_id").agg(F.count(F.lit(1)).alias("m"))
+    return m.groupBy("product_id").agg(F.sum("m").alias("edges"), F.count(F.lit(1)).alias("buyers"))
+
+
 def build_graph(persons: DataFrame, products: DataFrame, stores: DataFrame,
                 purchases: DataFrame, visits: DataFrame) -> tuple[Graph, dict[str, DataFrame]]:
     """C7 core: nodes before edges (edges need them).  Returns (graph, rejects)."""

@@ -94,7 +94,8 @@ def materialize_graph(pos: DataFrame, root: str, purchase_grain: str = "line",
     3. edge tables semi-join against the *stored* node tables, so the node
        deduplication is not recomputed for the integrity joins;
     4. the stored purchase edges are copied clustered by product (the
-       reverse adjacency used by product-filtered reads).
+       reverse adjacency used by product-filtered reads), and the degree
+       index (edges per person, edges and buyers per product) is written.
 
     Tables of one step are independent and are written as concurrent jobs.
     """
@@ -121,5 +122,7 @@ def materialize_graph(pos: DataFrame, root: str, purchase_grain: str = "line",
     purchase, _ = G.purchase_edges(purchases, person, product)
     visit, _ = G.visit_edges(edges.visits(lines, visit_grain), person, store_t)
     _write_all({"purchase": purchase, "visit": visit}, root)
-    store.write_purchases_by_product(store.read_table(spark, root, "purchase"), root)
+    stored = store.read_table(spark, root, "purchase")
+    store.write_purchases_by_product(stored, root)
+    store.write_degrees(stored, root)
     return root

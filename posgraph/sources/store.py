@@ -43,6 +43,17 @@ def write_table(df: DataFrame, path: str, name: str, cluster: list[str] | None =
     return path
 
 
+DEGREE_SCHEMAS = {"person_degree": "person_id string, n bigint",
+                  "product_degree": "product_id string, edges bigint, buyers bigint"}
+
+
+def write_degrees(purchase: DataFrame, root: str) -> None:
+    """The degree index: edges per person, edges and buyers per product."""
+    from posgraph.operators.graph import person_degree, product_degree
+    person_degree(purchase).write.mode("overwrite").parquet(os.path.join(root, "person_degree"))
+    product_degree(purchase).write.mode("overwrite").parquet(os.path.join(root, "product_degree"))
+
+
 def write_purchases_by_product(purchase: DataFrame, root: str) -> str:
     """The reverse adjacency: purchase edges clustered by (product, person)."""
     return write_table(purchase, os.path.join(root, BY_PRODUCT), "purchase", BY_PRODUCT_CLUSTER)
@@ -64,6 +75,10 @@ def read_graph(spark: SparkSession, root: str) -> Graph:
     by_product = os.path.join(root, BY_PRODUCT)
     if path_exists(spark, by_product):
         g.purchase_by_product = spark.read.schema(TABLES["purchase"]).parquet(by_product)
+    for name, schema in DEGREE_SCHEMAS.items():
+        path = os.path.join(root, name)
+        if path_exists(spark, path):
+            setattr(g, name, spark.read.schema(schema).parquet(path))
     return g
 
 

@@ -170,3 +170,24 @@ def test_pipeline_entry_points_and_query_api(spark):
                 q.get_user_based_recommendations("C0"), q.get_item_based_recommendations("C0"),
                 q.get_association_rules(min_support=0.0)):
         df_.collect()
+
+
+def test_degree_index_matches_computed_and_answers_agree(spark):
+    from posgraph.operators import recommend
+    from posgraph.operators.graph import person_degree, product_degree
+    df = pos_frame(spark, [{"CUSTOMER_ID": f"C{i % 4}", "ITEM_CD_UNIQUE": f"P{(i * 7) % 5}",
+                            "RECEIPT_NO": str(i // 3), "SALES_DETAIL_NO": str(i % 2),
+                            "SALES_HMS": f"1{i % 10}0000"} for i in range(30)])
+    root = pipeline.materialize_graph(df, _tmp())
+    g = store.read_graph(spark, root)
+    assert g.person_degree is not None and g.product_degree is not None
+    assert sorted(g.person_degree.collect()) == sorted(person_degree(g.purchase).collect())
+    assert sorted(g.product_degree.collect()) == sorted(product_degree(g.purchase).collect())
+    bare = store.read_graph(spark, root)
+    bare.person_degree = bare.product_degree = bare.purchase_by_product = None
+    for f in (lambda x: recommend.item_recommendations(x, "C1", limit=None, similarity_threshold=0.0),
+              lambda x: recommend.item_recommendations(x, "C2", limit=None, similarity_threshold=0.0,
+                                                       counting="buyers"),
+              lambda x: recommend.association_rules(x, 0.0, 0.0, limit=None, basis="buyers"),
+              lambda x: recommend.association_rules(x, 0.0, 0.0, limit=None)):
+        assert sorted(f(g).collect()) == sorted(f(bare).collect())
