@@ -71,7 +71,5 @@ def import_graph(spark: SparkSession, node_dir: str, relation_dir: str, root: st
     """
     g, rejects = pipeline.graph_from_files(spark, node_dir, relation_dir)
     store.write_graph(g, root)
-    stored = store.read_table(spark, root, "purchase")
-    store.write_purchases_by_product(stored, root)
-    store.write_degrees(stored, root)
+    store.write_indexes(store.read_table(spark, root, "purchase"), root)
     return graph_counts(store.read_graph(spark, root)), rejects

@@ -122,7 +122,5 @@ def materialize_graph(pos: DataFrame, root: str, purchase_grain: str = "line",
     purchase, _ = G.purchase_edges(purchases, person, product)
     visit, _ = G.visit_edges(edges.visits(lines, visit_grain), person, store_t)
     _write_all({"purchase": purchase, "visit": visit}, root)
-    stored = store.read_table(spark, root, "purchase")
-    store.write_purchases_by_product(stored, root)
-    store.write_degrees(stored, root)
+    store.write_indexes(store.read_table(spark, root, "purchase"), root)
     return root

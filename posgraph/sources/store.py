@@ -54,6 +54,21 @@ def write_degrees(purchase: DataFrame, root: str) -> None:
     product_degree(purchase).write.mode("overwrite").parquet(os.path.join(root, "product_degree"))
 
 
+def write_indexes(purchase: DataFrame, root: str) -> None:
+    """Reverse adjacency and degree index of stored purchase edges, as concurrent jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+    from posgraph.operators.graph import person_degree, product_degree
+
+    jobs = [
+        lambda: write_purchases_by_product(purchase, root),
+        lambda: person_degree(purchase).write.mode("overwrite").parquet(os.path.join(root, "person_degree")),
+        lambda: product_degree(purchase).write.mode("overwrite").parquet(os.path.join(root, "product_degree")),
+    ]
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for f in [pool.submit(j) for j in jobs]:
+            f.result()
+
+
 def write_purchases_by_product(purchase: DataFrame, root: str) -> str:
     """The reverse adjacency: purchase edges clustered by (product, person)."""
     return write_table(purchase, os.path.join(root, BY_PRODUCT), "purchase", BY_PRODUCT_CLUSTER)

@@ -89,9 +89,7 @@ def apply_batch(batch: DataFrame, epoch: int, root: str, comp_cd: str | None = N
     for name, upd in edge_updates.items():
         merged = store.upsert(base(name), graph.conform_table(upd, name), store.TABLE_KEYS[name])
         store.write_table(merged, f"{new_root}/{name}", name)
-    stored = store.read_table(spark, new_root, "purchase")
-    store.write_purchases_by_product(stored, new_root)
-    store.write_degrees(stored, new_root)
+    store.write_indexes(store.read_table(spark, new_root, "purchase"), new_root)
 
     spark.createDataFrame([(epoch,)], "version long").write.mode("append").parquet(f"{root}/_versions")
 
