@@ -134,3 +134,24 @@ def test_reports(spark):
     assert mix == {"cash": 2, "card": 1}
     stores = reports.top_stores(edges.visits(df, "receipt")).collect()
     assert [(r.store_id, r.visit_count, r.unique_visitors) for r in stores] == [("S1", 2, 1), ("S2", 1, 1)]
+
+
+def test_existing_session_is_not_reconfigured(spark):
+    from posgraph.session import get_session, recommended_conf
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        same = get_session("local[2]", shuffle_partitions=99)
+        assert same is spark
+        assert same.conf.get("spark.sql.shuffle.partitions") == "5"
+        assert same.sparkContext.getCheckpointDir()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    conf = recommended_conf(100 * 2**40)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20) + 1
+    assert recommended_conf(1)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_conform_fills_missing_columns(spark):
+    df = spark.createDataFrame([("C1", "12.345")], "CUSTOMER_ID string, MASTER_PRICE string")
+    out = pos_src.conform(df, ["CUSTOMER_ID", "MASTER_PRICE", "SHOP_CD"]).first()
+    assert out.CUSTOMER_ID == "C1" and out.MASTER_PRICE == Decimal("12.35") and out.SHOP_CD is None
