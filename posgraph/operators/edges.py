@@ -96,3 +96,10 @@ def extract_relationships(pos: DataFrame, purchase_grain: str = "receipt",
                           visit_grain: str = "store_day") -> tuple[DataFrame, DataFrame]:
     """Both edge sets (flat, lazy)."""
     return purchases(pos, purchase_grain), visits(pos, visit_grain)
+
+
+def relationship_counts(purchase_frame: DataFrame, visit_frame: DataFrame) -> DataFrame:
+    """(name, count) of the two edge frames, as one small job."""
+    p = purchase_frame.agg(F.count(F.lit(1)).alias("count")).select(F.lit("purchases").alias("name"), "count")
+    v = visit_frame.agg(F.count(F.lit(1)).alias("count")).select(F.lit("visits").alias("name"), "count")
+    return p.unionByName(v)

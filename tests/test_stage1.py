@@ -155,3 +155,10 @@ def test_conform_fills_missing_columns(spark):
     df = spark.createDataFrame([("C1", "12.345")], "CUSTOMER_ID string, MASTER_PRICE string")
     out = pos_src.conform(df, ["CUSTOMER_ID", "MASTER_PRICE", "SHOP_CD"]).first()
     assert out.CUSTOMER_ID == "C1" and out.MASTER_PRICE == Decimal("12.35") and out.SHOP_CD is None
+
+
+def test_relationship_counts(spark):
+    df = pos_frame(spark, [{"RECEIPT_NO": "1"}, {"RECEIPT_NO": "2", "CUSTOMER_ID": "C2"},
+                           {"RECEIPT_NO": "2", "CUSTOMER_ID": "C2", "SALES_DETAIL_NO": "2"}])
+    got = {r.name: r["count"] for r in edges.relationship_counts(*edges.extract_relationships(df)).collect()}
+    assert got == {"purchases": 2, "visits": 1}
