@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from posgraph.llm import exact, language, quality
+import public_tokenizers
+
+from posgraph.llm import exact, language, packing, quality
 from posgraph.llm.common import table
 
 
@@ -11,6 +13,10 @@ def op2_language(spark, sf_dir):
     return language.identify(docs, language.train(docs))
 
 
+def op8_packing(spark, sf_dir):
+    return packing.best_fit(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_exact(spark, sf_dir):
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -20,7 +26,7 @@ def op10_quality(spark, sf_dir):
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op2_language, op9_exact, op10_quality)}
+QUERIES = {f.__name__: f for f in (op2_language, op8_packing, op9_exact, op10_quality)}
 
 ORACLE = {
     "op9_exact": r"""
