@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -88,7 +89,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int =
     """One row per piece: doc_id, piece, start, length, ids_crc32 (and ids), _key."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        rng = np.random.default_rng()
+        rng = np.random.default_rng(TaskContext.get().partitionId())
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from posgraph.llm import exact, language, packing, quality
+from posgraph.llm import exact, language, neardup, packing, quality
 from posgraph.llm.common import table
 
 
+def op1_near_duplicates(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return language.identify(docs, language.train(docs))
@@ -26,9 +30,26 @@ def op10_quality(spark, sf_dir):
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op2_language, op8_packing, op9_exact, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_language, op8_packing, op9_exact, op10_quality)}
 
 ORACLE = {
+    "op1_near_duplicates": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+            FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh
+              FROM w),
+        e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
+              FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        l AS (SELECT a, b FROM p WHERE 100 * c >= 75 * (na + nb - c)),
+        both_ways AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        reach(doc_id, x) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, b.b FROM reach r JOIN both_ways b ON r.x = b.a),
+        c AS (SELECT doc_id, min(x) AS component_id FROM reach GROUP BY doc_id)
+        SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM s JOIN c USING (doc_id)""",
     "op9_exact": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm
                    FROM documents),
