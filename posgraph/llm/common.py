@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,17 @@ def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.orderBy(F.xxhash64(key), F.col(key)).limit(n)
 
 
+def bitmap(df: DataFrame, col: str) -> np.ndarray:
+    """Packed bits (2 MB) with bit ``value mod FILTER_BITS`` set for every value of a long column."""
+    p = F.pmod(F.col(col), F.lit(FILTER_BITS)) + 1
+    maps = df.groupBy(F.bitmap_bucket_number(p).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(p)).alias("m"))
+    size = 4096  # bytes of one bitmap: at most FILTER_BITS / 8 / 4096 of them reach the driver
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in maps.collect():
+        bits[(r["k"] - 1) * size:r["k"] * size] = np.frombuffer(r["m"], np.uint8)
+    return bits
+
+
 def may_contain(df: DataFrame, key: Column, ids: DataFrame) -> DataFrame:
     """``df`` with ``_may``: false only where ``key`` (long) surely is not in ``ids`` (one long column).
 

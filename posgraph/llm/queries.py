@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from posgraph.llm import exact, language, neardup, packing, quality
+from posgraph.llm import decontaminate, exact, language, neardup, packing, quality
 from posgraph.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op2_language(spark, sf_dir):
     return language.identify(docs, language.train(docs))
 
 
+def op5_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_packing(spark, sf_dir):
     return packing.best_fit(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -30,7 +34,7 @@ def op10_quality(spark, sf_dir):
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_language, op8_packing, op9_exact, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_language, op5_decontaminate, op8_packing, op9_exact, op10_quality)}
 
 ORACLE = {
     "op1_near_duplicates": r"""

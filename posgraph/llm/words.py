@@ -30,7 +30,9 @@ def constants(n: int, seed: int) -> np.ndarray:
 
 _BYTE = mix(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15))
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_IS_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+# Everything but ASCII letters and digits and bytes of other characters.
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _P = 0x9E3779B97F4A7C13 | 3
 _P_INVERSE = pow(_P, -1, 1 << 64)
 _powers = [np.ones(1, _U), np.ones(1, _U)]
@@ -58,11 +60,11 @@ def span_hash(c: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((c[end] - c[start]) * powers(len(c))[1][start] + (end - start).astype(_U))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word, number of words of every text), in order."""
+def word_hashes(texts: list[bytes], between: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, number of words of every text), in order; ``between`` marks the separating bytes."""
     sizes = np.array([len(t) for t in texts], np.int64)
     data = np.frombuffer((b"\n".join(texts) + b"\n").translate(_LOWER), np.uint8)
-    blank = _IS_BLANK[data]
+    blank = between[data]
     turn = np.flatnonzero(blank[1:] != blank[:-1]) + 1
     if not blank[0]:
         turn = np.concatenate([[0], turn])
