@@ -1,7 +1,7 @@
 """Operator 5: benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
 
-Words are runs of letters and digits (A-Z lower-cased), so case and punctuation
-do not hide a copy.  Four-word grams of the test items are looked up in every
+Words are runs of letters and digits (lower-cased), so case and punctuation do not
+hide a copy.  Four-word grams of the test items are looked up in every
 document: a bitmap of fixed size, broadcast to the tasks, lets through the
 grams that may occur in an item, and a join keeps those that do.  Their
 document frequencies over the whole corpus tell the rare ones: a gram is a
@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ _ALIGNED = "doc_id long, item_id long, score double, start_word long, end_word l
 
 def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for first, texts in chunks(batch):
+        for first, texts in chunks(batch, fold=True):
             words, counts = word_hashes(texts, PUNCTUATION)
             edges = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([
@@ -63,7 +64,7 @@ def _lookup(bits):
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch["doc_id"].cast(pa.int64())
-            for first, texts in chunks(batch):
+            for first, texts in chunks(batch, fold=True):
                 words, counts = word_hashes(texts, PUNCTUATION)
                 g = ngram_hashes(words, GRAM)
                 slot = (g & np.uint64(FILTER_BITS - 1)).astype(np.int64)
@@ -99,7 +100,7 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for doc_id, text, item_id, item, block in zip(
-                batch["doc_id"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist(),
+                batch["doc_id"].to_pylist(), pc.utf8_lower(batch["text"]).cast(pa.binary()).to_pylist(),
                 batch["item_id"].to_pylist(), batch["words"].to_pylist(), batch["block"].to_pylist(), strict=True):
             if text != last_text:
                 last_text, words = text, word_hashes([text], PUNCTUATION)[0]

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 20
 _U = np.uint64
@@ -75,9 +76,13 @@ def word_hashes(texts: list[bytes], between: np.ndarray = BLANK) -> tuple[np.nda
     return span_hash(c, start, end), counts
 
 
-def chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, list[bytes]]]:
-    """(first row, texts as bytes) of the batch in pieces of about ``CHUNK_BYTES``; null is empty."""
-    texts = [t or b"" for t in batch[column].cast(pa.binary()).to_pylist()]
+def chunks(batch: pa.RecordBatch, column: str = "text", fold: bool = False) -> Iterator[tuple[int, list[bytes]]]:
+    """(first row, texts as bytes) of the batch in pieces of about ``CHUNK_BYTES``; null is empty.
+
+    ``fold`` lower-cases all letters, not only A-Z.
+    """
+    values = pc.utf8_lower(batch[column]) if fold else batch[column]
+    texts = [t or b"" for t in values.cast(pa.binary()).to_pylist()]
     first, held = 0, 0
     for i, t in enumerate(texts):
         held += len(t) + 1
