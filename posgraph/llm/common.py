@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,15 +33,15 @@ def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.orderBy(F.xxhash64(key), F.col(key)).limit(n)
 
 
-def bitmap(df: DataFrame, col: str) -> np.ndarray:
-    """Packed bits (2 MB) with bit ``value mod FILTER_BITS`` set for every value of a long column."""
-    p = F.pmod(F.col(col), F.lit(FILTER_BITS)) + 1
+def bitmap(df: DataFrame, col: str, bits: int = FILTER_BITS) -> np.ndarray:
+    """Packed bits with bit ``value mod bits`` set for every value of a long column."""
+    p = F.pmod(F.col(col), F.lit(bits)) + 1
     maps = df.groupBy(F.bitmap_bucket_number(p).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(p)).alias("m"))
-    size = 4096  # bytes of one bitmap: at most FILTER_BITS / 8 / 4096 of them reach the driver
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    size = 4096  # bytes of one bitmap: at most bits / 8 / 4096 of them reach the driver
+    out = np.zeros(bits // 8, np.uint8)
     for r in maps.collect():
-        bits[(r["k"] - 1) * size:r["k"] * size] = np.frombuffer(r["m"], np.uint8)
-    return bits
+        out[(r["k"] - 1) * size:r["k"] * size] = np.frombuffer(r["m"], np.uint8)
+    return out
 
 
 def may_contain(df: DataFrame, key: Column, ids: DataFrame) -> DataFrame:
@@ -68,12 +66,18 @@ def may_contain(df: DataFrame, key: Column, ids: DataFrame) -> DataFrame:
             .withColumn("_may", F.coalesce(bit, F.lit(False))).drop("_bits", "_slot", "_bucket"))
 
 
-def drop_rows(df: DataFrame, col: str, ids: DataFrame, key: Callable[[str], Column] = F.col) -> DataFrame:
-    """The rows of ``df`` whose ``col`` is not in ``ids`` (column ``col``); null stays.
+def drop_rows(df: DataFrame, cols: list[str], ids: DataFrame, key: Column) -> DataFrame:
+    """The rows of ``df`` whose ``cols`` are not in ``ids``; nulls stay.  ``key`` is a long made of ``cols``.
 
     Rows that the bitmap rules out pass through without a shuffle; only the
     rest meets the exact ids in an anti join.
     """
-    marked = may_contain(df, key(col), ids.select(key(col).alias("k")))
-    rest = marked.where("_may").join(ids.distinct(), col, "left_anti")
+    marked = may_contain(df, key, ids.select(key.alias("k")))
+    rest = marked.where("_may").join(ids.select(*cols).distinct(), cols, "left_anti")
     return marked.where("not _may").unionAll(rest.select(marked.columns)).drop("_may")
+
+
+def drop_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose ``doc_id`` is not in ``ids``."""
+    rows = docs.select("doc_id", F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"))
+    return drop_rows(rows, ["doc_id"], ids, F.col("doc_id")).select("_row.*")

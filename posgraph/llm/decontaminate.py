@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from posgraph.llm.common import FILTER_BITS, bitmap, drop_rows, may_contain, stored
+from posgraph.llm.common import FILTER_BITS, bitmap, drop_ids, may_contain, stored
 from posgraph.llm.words import PUNCTUATION, chunks, ngram_hashes, word_hashes
 
 GRAM = 4
@@ -148,4 +148,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no benchmark item contaminates, with all their columns."""
-    return drop_rows(docs, "doc_id", contaminated(docs, benchmark).select("doc_id"))
+    return drop_ids(docs, contaminated(docs, benchmark).select("doc_id"))

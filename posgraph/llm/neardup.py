@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from posgraph.llm.common import drop_rows, may_contain, stored
+from posgraph.llm.common import drop_ids, may_contain, stored
 from posgraph.llm.words import chunks, constants, mix, ngram_hashes, word_hashes
 
 SHINGLE, PERCENT = 5, 75
@@ -228,4 +228,4 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay (one document of each group), with all their columns."""
-    return drop_rows(docs, "doc_id", near_duplicates(docs).where("not kept").select("doc_id"))
+    return drop_ids(docs, near_duplicates(docs).where("not kept").select("doc_id"))

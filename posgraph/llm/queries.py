@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from posgraph.llm import decontaminate, exact, language, neardup, packing, quality
+from posgraph.llm import decontaminate, exact, language, neardup, packing, quality, substrings
 from posgraph.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op5_decontaminate(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_substrings(spark, sf_dir):
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark, sf_dir):
     return packing.best_fit(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -34,7 +38,7 @@ def op10_quality(spark, sf_dir):
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_language, op5_decontaminate, op8_packing, op9_exact, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_language, op5_decontaminate, op7_substrings, op8_packing, op9_exact, op10_quality)}
 
 ORACLE = {
     "op1_near_duplicates": r"""
@@ -54,6 +58,24 @@ ORACLE = {
         c AS (SELECT doc_id, min(x) AS component_id FROM reach GROUP BY doc_id)
         SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
         FROM s JOIN c USING (doc_id)""",
+    "op7_substrings": r"""
+        WITH t AS (SELECT doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS x,
+                     octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+        w AS (SELECT doc_id, n, unnest(range(0, n - 49)) AS s, x FROM t WHERE n >= 50),
+        h AS (SELECT doc_id, s, md5(x[2 * s + 1:2 * s + 100]) AS m FROM w),
+        f AS (SELECT m, min(doc_id) AS lo FROM h GROUP BY m),
+        r AS (SELECT doc_id, s FROM h JOIN f USING (m) WHERE doc_id > lo),
+        g AS (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 50 THEN 0 ELSE 1 END AS fresh FROM r),
+        k AS (SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM g),
+        spans AS (SELECT doc_id, run, min(s) AS a, max(s) + 50 AS z FROM k GROUP BY 1, 2),
+        v AS (SELECT doc_id, a, z, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM spans),
+        y AS (SELECT t.doc_id, count(*) AS n_spans, sum(z - a) AS n_removed, max(z) AS tail,
+                     string_agg(x[2 * before + 1:2 * a], '' ORDER BY a) AS kept
+              FROM v JOIN t ON v.doc_id = t.doc_id GROUP BY t.doc_id)
+        SELECT t.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+               CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+               sha256(CASE WHEN n_spans IS NULL THEN b ELSE unhex(kept || x[2 * tail + 1:]) END) AS kept_sha256
+        FROM t LEFT JOIN y ON t.doc_id = y.doc_id""",
     "op9_exact": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm
                    FROM documents),
