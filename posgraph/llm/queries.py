@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from posgraph.llm import decontaminate, exact, language, neardup, packing, quality, substrings
+from posgraph.llm import decontaminate, exact, language, neardup, packing, quality, substrings, urls
 from posgraph.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op5_decontaminate(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_urls(spark, sf_dir):
+    return urls.judge(table(spark, sf_dir, "pages"), urls.rule_table(spark), urls.train(urls.labelled_table(spark)))
+
+
 def op7_substrings(spark, sf_dir):
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -38,7 +42,7 @@ def op10_quality(spark, sf_dir):
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_language, op5_decontaminate, op7_substrings, op8_packing, op9_exact, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_language, op5_decontaminate, op6_urls, op7_substrings, op8_packing, op9_exact, op10_quality)}
 
 ORACLE = {
     "op1_near_duplicates": r"""
