@@ -30,7 +30,15 @@ from posgraph.llm.common import drop_rows, may_contain, stored
 from posgraph.session import scratch_path
 
 ARRIVAL = "doc_id long, sha binary, loc struct<file:long,row:long>"
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on disk; a partition's store is closed when its task ends, so an executor holds few at a time.
+_STATE_CONF = {
+    "stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "stateStore.unloadOnCommit": "true",
+    "stateStore.rocksdb.boundedMemoryUsage": "true",
+    "stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "stateStore.rocksdb.writeBufferSizeMB": "8",
+    "minBatchesToRetain": "2",
+}
 
 
 def normalized(text: Column) -> Column:
@@ -46,10 +54,8 @@ class DedupState:
         self.session = spark.newSession()  # the state store settings stay out of the caller's session
         for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
             self.session.conf.set(key, spark.conf.get(key))
-        self.session.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKS)
-        self.session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
-        self.session.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "300")
-        self.session.conf.set("spark.sql.streaming.minBatchesToRetain", "2")
+        for key, value in _STATE_CONF.items():
+            self.session.conf.set(f"spark.sql.streaming.{key}", value)
 
     def ingest(self, arrivals: DataFrame) -> None:
         """Append ``arrivals`` (doc_id, sha, loc) and advance the state over them."""
@@ -137,4 +143,4 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     rows = located(docs)
     dropped = decide(rows).where("not kept").select("loc")
-    return drop_rows(rows, "loc", dropped, _loc_key).select("row.*")
+    return drop_rows(rows, ["loc"], dropped, _loc_key("loc")).select("row.*")
