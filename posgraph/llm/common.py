@@ -15,6 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Place of a public tokenizer's file (installed with the library, never copied)."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written under the shared scratch folder and read back (cuts lineage)."""
     path = scratch_path(df.sparkSession, f"llm-{name}")

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import public_tokenizers
-
 from posgraph.llm import decontaminate, exact, language, neardup, packing, quality, substrings, urls
-from posgraph.llm.common import table
+from posgraph.llm.common import table, tokenizer_path
 
 
 def op1_near_duplicates(spark, sf_dir):
@@ -30,7 +28,7 @@ def op7_substrings(spark, sf_dir):
 
 
 def op8_packing(spark, sf_dir):
-    return packing.best_fit(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.best_fit(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op9_exact(spark, sf_dir):
