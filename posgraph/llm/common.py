@@ -28,6 +28,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def rows_of(spark: SparkSession, values: list[tuple], names: list[str]) -> DataFrame:
+    """A small fixed table as a literal (no Python rows are shipped)."""
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row, strict=True)]) for row in values]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def id_mod(col: str | Column, n: int) -> Column:
     """crc32 of the id written as text, modulo ``n`` (null for a null id)."""
     c = F.col(col) if isinstance(col, str) else col

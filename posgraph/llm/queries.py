@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from posgraph.llm import decontaminate, exact, language, neardup, packing, quality, substrings, urls
+from posgraph.llm import decontaminate, exact, language, licenses, neardup, packing, quality, substrings, urls
 from posgraph.llm.common import table, tokenizer_path
 
 
@@ -15,6 +15,10 @@ def op2_language(spark, sf_dir):
     return language.identify(docs, language.train(docs))
 
 
+def op3_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -40,7 +44,7 @@ def op10_quality(spark, sf_dir):
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_language, op5_decontaminate, op6_urls, op7_substrings, op8_packing, op9_exact, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_language, op3_licenses, op5_decontaminate, op6_urls, op7_substrings, op8_packing, op9_exact, op10_quality)}
 
 ORACLE = {
     "op1_near_duplicates": r"""
@@ -60,6 +64,29 @@ ORACLE = {
         c AS (SELECT doc_id, min(x) AS component_id FROM reach GROUP BY doc_id)
         SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
         FROM s JOIN c USING (doc_id)""",
+    "op3_licenses": rf"""
+        WITH t(template, label, base, size, word, place, key) AS (VALUES {", ".join(map(str, licenses.template_rows()))}),
+        d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+              FROM documents),
+        w AS (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS pos FROM d),
+        h AS (SELECT * FROM w WHERE word IN (SELECT word FROM t)),
+        c AS (SELECT word, count(DISTINCT r) AS df FROM h GROUP BY word),
+        x AS (SELECT t.*, floor({licenses.UNIT} * ln(((SELECT count(*) FROM documents) + 1.0) / (coalesce(df, 0) + 1))) + 1 AS weight
+              FROM t LEFT JOIN c USING (word)),
+        total AS (SELECT template, sum(weight) AS total, sum(key) AS keys FROM x GROUP BY template),
+        a AS (SELECT r, template, any_value(label) AS label, any_value(base) AS base, pos - place AS start,
+                     sum(weight) AS found, sum(key) AS keys FROM h JOIN x USING (word) GROUP BY r, template, pos - place),
+        g AS (SELECT a.*, found / total AS score FROM a JOIN total USING (template)
+              WHERE a.keys = total.keys AND (base = 1 OR found / total >= {licenses.ACCEPT})),
+        l AS (SELECT r, sum(base) AS n_base, min(CASE WHEN base = 1 THEN start END) AS first_word,
+                     max(CASE WHEN base = 1 THEN start END) AS last_word, max(score) AS score,
+                     string_agg(DISTINCT CASE WHEN base = 1 THEN label END, ',' ORDER BY CASE WHEN base = 1 THEN label END) AS base_labels,
+                     string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM g GROUP BY r)
+        SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+               CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+               coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+        FROM d LEFT JOIN l ON d.r = l.r""",
     "op7_substrings": r"""
         WITH t AS (SELECT doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS x,
                      octet_length(encode(coalesce(text, ''))) AS n FROM documents),

@@ -23,6 +23,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from posgraph.llm.common import rows_of
+
 DIMS = 1 << 14
 GRAMS = (3, 4, 5)
 MAX_LABELLED = 10_000  # bound on the labelled urls learned from
@@ -86,17 +88,12 @@ def _features(df: DataFrame) -> DataFrame:
         df.withColumn("grams", _grams()))
 
 
-def _rows(spark: SparkSession, values: list[tuple], names: list[str]) -> DataFrame:
-    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row, strict=True)]) for row in values]
-    return spark.range(1).select(F.inline(F.array(*structs)))
-
-
 def labelled_table(spark: SparkSession) -> DataFrame:
-    return _rows(spark, LABELLED, ["url", "label"])
+    return rows_of(spark, LABELLED, ["url", "label"])
 
 
 def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
-    return _rows(spark, rules, ["rule_host", "rule_path", "rule_verdict"])
+    return rows_of(spark, rules, ["rule_host", "rule_path", "rule_verdict"])
 
 
 def train(labelled: DataFrame):
