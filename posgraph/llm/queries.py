@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from posgraph.llm import decontaminate, exact, language, licenses, neardup, packing, quality, substrings, urls
+from posgraph.llm import decontaminate, exact, language, licenses, neardup, packing, pii, quality, substrings, urls
 from posgraph.llm.common import table, tokenizer_path
 
 
@@ -19,6 +19,10 @@ def op3_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_pii(spark, sf_dir):
+    return pii.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -44,7 +48,7 @@ def op10_quality(spark, sf_dir):
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_language, op3_licenses, op5_decontaminate, op6_urls, op7_substrings, op8_packing, op9_exact, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_language, op3_licenses, op4_pii, op5_decontaminate, op6_urls, op7_substrings, op8_packing, op9_exact, op10_quality)}
 
 ORACLE = {
     "op1_near_duplicates": r"""
