@@ -1,0 +1,76 @@
+import hashlib
+import re
+
+from posgraph.llm import exact
+from posgraph.llm.common import stored
+from posgraph.session import scratch_path
+from pyspark.sql import functions as F
+
+from tests.llm.util import docs, documents, rows, texts
+
+COLS = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def norm(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def brute(pairs):
+    groups = {}
+    for d, t in pairs:
+        groups.setdefault(norm(t), []).append(d)
+    return sorted(((d, min(g := groups[norm(t)]), len(g), d == min(g), hashlib.sha256(norm(t).encode()).hexdigest())
+                   for d, t in pairs), key=repr)
+
+
+def test_sample_against_brute_force(spark):
+    assert rows(exact.exact_dedup(documents(spark)), *COLS) == brute(texts(spark).items())
+
+
+def test_colliding_digests_lose_nothing(spark):
+    pairs = [(i, f"text {i % 40}\t x") for i in range(400)]
+    assert rows(exact.exact_dedup(docs(spark, pairs), digest_bytes=1), *COLS) == brute(pairs)
+
+
+def test_nulls_ties_long_texts_and_clashing_columns(spark):
+    long = "word " * 200_000
+    pairs = [(5, "a  b"), (3, "a\nb"), (None, "a b"), (7, None), (8, ""), (9, long), (2, long + " "), (None, "only")]
+    df = docs(spark, pairs, clashes=True)
+    got = {(r["doc_id"], r["text_sha256"]): r for r in exact.exact_dedup(df).collect()}
+    assert len(got) == 8
+    sha = {k: hashlib.sha256(norm(t).encode()).hexdigest() for k, t in (("ab", "a b"), ("", ""), ("only", "only"))}
+    assert [got[d, sha["ab"]]["kept"] for d in (3, 5, None)] == [True, False, False]
+    assert {got[d, sha["ab"]]["keep_id"] for d in (3, 5, None)} == {3}
+    assert got[7, sha[""]]["kept"] and not got[8, sha[""]]["kept"] and got[8, sha[""]]["keep_id"] == 7
+    assert got[None, sha["only"]]["kept"] and got[None, sha["only"]]["keep_id"] is None
+    kept = exact.keep_first(df)
+    assert kept.columns == df.columns and kept.count() == 4
+    assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, 2, 3, 7]
+
+
+def test_repeated_rows_keep_one(spark):
+    got = exact.exact_dedup(docs(spark, [(1, "x"), (1, "x"), (2, "x"), (1, "y")])).collect()
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got) == [
+        (1, 1, 1, True), (1, 1, 3, False), (1, 1, 3, True), (2, 1, 3, False)]
+
+
+def test_empty_table(spark):
+    assert exact.exact_dedup(docs(spark, [])).count() == 0
+    assert exact.keep_first(docs(spark, [])).count() == 0
+
+
+def test_state_carries_over_batches(spark):
+    def arrivals(pairs):
+        return stored(docs(spark, pairs), "a").select(
+            "doc_id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha"),
+            F.struct(F.col("doc_id").alias("file"), F.lit(0).cast("long").alias("row")).alias("loc"))
+    state = exact.DedupState(spark, scratch_path(spark, "state-test"))
+    state.ingest(arrivals([(5, "a"), (6, "b"), (7, "a")]))
+    assert rows(state.groups(), "keep_id", "n") == [(5, 2), (6, 1)]
+    state.ingest(arrivals([(1, "a"), (9, "c")]))
+    assert rows(state.groups(), "keep_id", "n") == [(1, 3), (6, 1), (9, 1)]
+
+
+def test_plan_has_no_python(spark):
+    plan = exact.exact_dedup(documents(spark))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
