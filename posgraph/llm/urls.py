@@ -72,20 +72,18 @@ def path() -> Column:
     return F.regexp_extract(_rest(), r"^[^/?#]*([^?#]*)", 1)
 
 
-def _ngrams(name: str, text: Column, n: int) -> Column:
-    at = F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1)))
-    return F.transform(at, lambda i: F.concat(F.lit(name), F.substring(text, i, F.lit(n))))
-
-
-def _grams() -> Column:
-    """Character n-grams of host and path; a run of digits counts as one character."""
-    parts = (("h", F.concat(F.lit("."), "host", F.lit("."))), ("p", F.regexp_replace("path", "[0-9]+", "0")))
-    return F.concat(*[_ngrams(name, text, n) for name, text in parts for n in GRAMS])
+def _ngrams(name: str, chars: str, n: int) -> Column:
+    at = F.sequence(F.lit(1), F.greatest(F.size(chars) - (n - 1), F.lit(1)))
+    return F.transform(at, lambda i: F.concat(F.lit(name), F.array_join(F.slice(chars, i, n), "")))
 
 
 def _features(df: DataFrame) -> DataFrame:
+    """Hashed character n-grams of host and path; a run of digits counts as one character."""
+    chars = (df.withColumn("_host", F.split(F.concat(F.lit("."), "host", F.lit(".")), ""))
+             .withColumn("_path", F.split(F.regexp_replace("path", "[0-9]+", "0"), "")))
+    grams = F.concat(*[_ngrams(name, c, n) for name, c in (("h", "_host"), ("p", "_path")) for n in GRAMS])
     return HashingTF(inputCol="grams", outputCol="features", numFeatures=DIMS, binary=True).transform(
-        df.withColumn("grams", _grams()))
+        chars.withColumn("grams", grams)).drop("_host", "_path", "grams")
 
 
 def labelled_table(spark: SparkSession) -> DataFrame:
