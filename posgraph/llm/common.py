@@ -21,11 +21,23 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+# Rows and bytes that go to a Python worker at once while a table is stored.
+_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written under the shared scratch folder and read back (cuts lineage)."""
-    path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, f"llm-{name}")
+    before = {k: spark.conf.get(k) for k in _BATCH}
+    try:
+        for k, v in _BATCH.items():
+            spark.conf.set(k, v)
+        df.write.parquet(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def rows_of(spark: SparkSession, values: list[tuple], names: list[str]) -> DataFrame:

@@ -29,6 +29,7 @@ other.  Empty tables give no rows; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,8 +43,10 @@ from posgraph.llm.words import mix, powers, running
 WINDOW, ANCHOR = 50, 16
 _SPAN = WINDOW - ANCHOR + 1          # anchors inside a window
 _STRETCH = WINDOW + _SPAN - 1        # longest text around one anchor's windows
+HASH_BYTES = 1 << 18                 # bytes hashed at once (the arrays stay in the cache)
 CHUNK = 1 << 22                      # bytes of text settled together inside a task
-BUCKET_BYTES = 1 << 24               # text per bucket of anchors
+BUCKET_BYTES = 1 << 22               # text per bucket of anchors
+BLOCK = 1 << 18                      # windows sorted at once
 BITMAP_BITS = 1 << 27                # 16 MB, whatever the input
 _U = np.uint64
 _LOW = (1 << 24) - 1
@@ -61,26 +64,50 @@ def _slide_min(x: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
-def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Per anchor: text number, hash, position, first and last window (positions in the joined texts), and the bytes."""
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    ends = np.cumsum([len(t) for t in texts])
-    none = np.zeros(0, np.int64)
+def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(hash, place, first and last window) of every anchor in joined texts that end at ``ends``.
+
+    Windows do not cross an end.
+    """
     if len(data) < WINDOW:
-        return none, none.astype(_U), none, none, none, data
+        none = np.zeros(0, np.int64)
+        return none.astype(_U), none, none, none
     c = running(data)
-    h = mix((c[ANCHOR:] - c[:-ANCHOR]) * powers(len(c))[1][:len(data) - ANCHOR + 1])
-    ranked = (h & ~_U(_LOW)) | np.arange(len(h), dtype=_U)  # ties go to the leftmost
-    at = (_slide_min(ranked, _SPAN) & _U(_LOW)).astype(np.int64)
-    begin = np.arange(len(at))
-    doc = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))[:len(at)]
-    inside = begin + WINDOW <= ends[doc]
-    at, begin, doc = at[inside], begin[inside], doc[inside]
-    if not len(at):
-        return none, none.astype(_U), none, none, none, data
-    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    last = np.append(first[1:], len(at)) - 1
-    return doc[first], h[at[first]], at[first], begin[first], begin[last], data
+    raw = (c[ANCHOR:] - c[:-ANCHOR]) * powers(len(c))[1][:len(data) - ANCHOR + 1]
+    ranked = (raw & _U(0xFFFFFFFFFF000000)) | np.arange(len(raw), dtype=_U)  # of equal hashes the leftmost
+    at = (_slide_min(ranked, _SPAN) & _U(_LOW)).astype(np.int32)
+    inside = np.ones(len(at) + 1, bool)
+    over = (ends[:, None] - np.arange(1, WINDOW)).reshape(-1)
+    inside[over[(over >= 0) & (over < len(at))]] = False
+    inside[-1] = False
+    fresh = np.concatenate([[True], (at[1:] != at[:-1]) | ~inside[:-2]])
+    first = np.flatnonzero(inside[:-1] & fresh)
+    last = np.flatnonzero(inside[:-1] & np.concatenate([fresh[1:] | ~inside[1:-1], [True]]))
+    return mix(raw[at[first]]), at[first].astype(np.int64), first, last
+
+
+def parts(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(bytes, ends, text number, place in the text) of the texts in pieces of about ``HASH_BYTES``.
+
+    A longer text is cut into overlapping pieces, so that every window is in exactly one of them.
+    """
+    held, size = [], 0
+    for k, t in enumerate(texts):
+        for at in range(0, max(len(t) - WINDOW + 1, 0), HASH_BYTES):
+            piece = t[at:at + HASH_BYTES + WINDOW - 1]
+            held.append((k, at, piece))
+            size += len(piece)
+            if size >= HASH_BYTES:
+                yield _joined(held)
+                held, size = [], 0
+    if held:
+        yield _joined(held)
+
+
+def _joined(held: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    ends = np.cumsum([len(p) for _, _, p in held])
+    return (np.frombuffer(b"".join(p for _, _, p in held), np.uint8), ends, np.array([k for k, _, _ in held]),
+            np.array([at for _, at, _ in held]))
 
 
 def radix_groups(rows: np.ndarray) -> np.ndarray:
@@ -88,7 +115,9 @@ def radix_groups(rows: np.ndarray) -> np.ndarray:
     width = -(-rows.shape[1] // 8) * 8
     padded = np.zeros((len(rows), width), np.uint8)
     padded[:, :rows.shape[1]] = rows
-    digits = padded.view(">u8").astype(_U)
+    digits = padded.view(_U)
+    if sys.byteorder == "little":
+        digits.byteswap(inplace=True)
     label = np.zeros(len(rows), np.int64)
     tied = np.arange(len(rows))
     for d in range(digits.shape[1]):
@@ -123,6 +152,21 @@ def _bytes_at(data: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(room, width)[start]
 
 
+def _blocks(rows: np.ndarray, anchor: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
+    """``rows`` by anchor, in blocks of about ``BLOCK`` windows that keep each anchor together."""
+    rows = rows[np.argsort(anchor[rows], kind="stable")]
+    a = anchor[rows]
+    group = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(rows) else np.zeros(0, np.int64)
+    total = np.concatenate([[0], np.cumsum(size[rows] - WINDOW + 1)])
+    at = 0
+    while at < len(rows):
+        end = np.searchsorted(total, total[at] + BLOCK, "right") - 1
+        k = np.searchsorted(group, end, "right") - 1
+        end = len(rows) if end >= len(rows) else group[k] if group[k] > at else group[k + 1] if k + 1 < len(group) else len(rows)
+        yield rows[at:end]
+        at = end
+
+
 def settle(ids: np.ndarray, anchor: np.ndarray, lead: np.ndarray, size: np.ndarray, body: np.ndarray
            ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, first, last removed window) of stretches, and which rows must still be compared elsewhere.
@@ -147,19 +191,22 @@ def settle(ids: np.ndarray, anchor: np.ndarray, lead: np.ndarray, size: np.ndarr
     reps = np.flatnonzero(~behind & ~same)
     _, back, count = np.unique(anchor[reps], return_inverse=True, return_counts=True)
     open_reps = reps[count[back] > 1]  # anchors with more than one kind of stretch
-    windows = size[open_reps] - WINDOW + 1
-    owner = np.repeat(open_reps, windows)
-    place = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
     flat = np.ascontiguousarray(body).reshape(-1)
-    label = radix_groups(_bytes_at(flat, owner * body.shape[1] + place, WINDOW)) if len(owner) else place
-    gone = ids[owner] > _smallest(label, ids[owner]) if len(owner) else np.zeros(0, bool)
-
-    # Runs of removed windows of the open representatives.
-    edge = np.concatenate([[True], (owner[1:] != owner[:-1]) | (gone[1:] != gone[:-1])]) if len(owner) else gone
-    begin = np.flatnonzero(edge)
-    stop = np.append(begin[1:], len(owner)) - 1 if len(begin) else begin
-    keep = gone[begin] if len(begin) else gone
-    run_row, run_lo, run_hi = owner[begin[keep]], place[begin[keep]], place[stop[keep]]
+    runs = []
+    for block in _blocks(open_reps, anchor, size):
+        windows = size[block] - WINDOW + 1
+        owner = np.repeat(block, windows)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+        label = radix_groups(_bytes_at(flat, owner * body.shape[1] + place, WINDOW))
+        gone = ids[owner] > _smallest(label, ids[owner])
+        edge = np.concatenate([[True], (owner[1:] != owner[:-1]) | (gone[1:] != gone[:-1])])
+        begin = np.flatnonzero(edge)
+        stop = np.append(begin[1:], len(owner)) - 1
+        begin, stop = begin[gone[begin]], stop[gone[begin]]
+        runs.append((owner[begin], place[begin], place[stop]))
+    run_row, run_lo, run_hi = (np.concatenate([r[k] for r in runs]) if runs else np.zeros(0, np.int64) for k in range(3))
+    order = np.argsort(run_row, kind="stable")
+    run_row, run_lo, run_hi = run_row[order], run_lo[order], run_hi[order]
     # Rows of the same stretch and id get their representative's runs.
     twins = np.flatnonzero(same & ~behind)
     if len(twins) and len(run_row):
@@ -193,13 +240,17 @@ def _key_rows(buckets: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, texts in _chunks(batch):
-                doc, h, *_ = anchors(texts)
-                order = np.lexsort((doc, h))
+                hs, docs = [np.zeros(0, _U)], [np.zeros(0, np.int64)]
+                for data, ends, number, _ in parts(texts):
+                    h, _, first, _ = anchors(data, ends)
+                    hs.append(h)
+                    docs.append(number[np.searchsorted(ends, first, "right")])
+                h, doc = np.concatenate(hs), np.concatenate(docs)
+                order = np.argsort(h, kind="stable")  # documents stay in order within a hash
                 h, doc = h[order], doc[order]
-                new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
-                other = ~new & np.concatenate([[False], doc[1:] != doc[:-1]]) if len(h) else new
-                again = np.unique(h[other])
-                h = np.concatenate([h[new], again])
+                new = np.concatenate([[True], h[1:] != h[:-1]])[:len(h)]
+                other = ~new & np.concatenate([[False], doc[1:] != doc[:-1]])[:len(h)]
+                h = np.concatenate([h[new], np.unique(h[other])])
                 bucket = ((h >> _U(40)) % _U(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 h, bucket = h[order], bucket[order]
@@ -233,16 +284,22 @@ def _pieces(bits, buckets: int):
         b = bits.value
         for batch in batches:
             for ids, th, texts in _chunks(batch):
-                doc, h, at, lo, hi, data = anchors(texts)
-                keep = np.ones(len(h), bool)
-                for p in _probes(h & _U((1 << 40) - 1)):
-                    keep &= (b[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool)
-                doc, h, at, lo, hi = doc[keep], h[keep], at[keep], lo[keep], hi[keep]
-                size = hi - lo + WINDOW
-                body = _bytes_at(data, lo, _STRETCH) * (np.arange(_STRETCH) < size[:, None]).astype(np.uint8)
-                rows, first, last, more = settle(ids[doc], h, at - lo, size, body)
-                base = (np.cumsum([0] + [len(t) for t in texts[:-1]]))[doc]
-                start = lo - base
+                found = []
+                for data, ends, number, begin in parts(texts):
+                    h, at, lo, hi = anchors(data, ends)
+                    keep = np.ones(len(h), bool)
+                    for p in _probes(h & _U((1 << 40) - 1)):
+                        keep &= (b[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool)
+                    h, at, lo, hi = h[keep], at[keep], lo[keep], hi[keep]
+                    k = np.searchsorted(ends, lo, "right")
+                    size = hi - lo + WINDOW
+                    body = _bytes_at(data, lo, _STRETCH) * (np.arange(_STRETCH) < size[:, None])
+                    start = lo - np.concatenate([[0], ends])[k] + begin[k]
+                    found.append((number[k], h, at - lo, size, start, body.astype(np.uint8)))
+                if not found:
+                    continue
+                doc, h, lead, size, start, body = (np.concatenate(x) for x in zip(*found, strict=True))
+                rows, first, last, more = settle(ids[doc], h, lead, size, body)
                 ship = np.flatnonzero(more)
                 n, m = len(rows), len(ship)
                 nothing = pa.nulls(n)
@@ -253,7 +310,7 @@ def _pieces(bits, buckets: int):
                 none = lambda k: nothing.cast(k)
                 tail = [pa.chunked_array([none(pa.int64()), pa.array((h[ship] % _U(buckets)).astype(np.int64))]),
                         pa.chunked_array([none(pa.int64()), pa.array(h[ship].view(np.int64))]),
-                        pa.chunked_array([none(pa.int32()), pa.array((at - lo)[ship].astype(np.int32))]),
+                        pa.chunked_array([none(pa.int32()), pa.array(lead[ship].astype(np.int32))]),
                         pa.chunked_array([none(pa.binary()), pa.array([body[i, :size[i]].tobytes() for i in ship], pa.binary())])]
                 if n + m:
                     yield pa.RecordBatch.from_arrays([pa.array(v) for v in col.values()]

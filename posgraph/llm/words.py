@@ -2,7 +2,7 @@
 
 Texts are UTF-8 bytes; A-Z are lower-cased and words are runs of bytes other
 than ``[\\x20\\x09-\\x0D]``.  A word's hash is a 64-bit polynomial over mixed byte
-values, taken from one running sum, so a megabyte costs a few array passes.
+values, taken from one running sum, so a chunk of texts costs a few array passes that stay in the cache.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 _U = np.uint64
 
 
