@@ -10,6 +10,7 @@ tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -72,12 +73,18 @@ def recommended_conf(input_bytes: int, target_partition_bytes: int = 256 << 20)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint directory, creating a private one only if unset."""
+    """Return the checkpoint directory; a private one is made only if unset on a ``local`` master.
+
+    On a cluster an unset directory raises: executors do not share local folders.
+    """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder shared by all executors (master {master})")
         configured = tempfile.mkdtemp(prefix="posgraph-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
@@ -94,6 +101,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "posgraph", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def matching_paths(spark: SparkSession, glob: str) -> list[str]:
+    """The paths that match, through the Hadoop file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(glob)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return [f.getPath().toString() for f in found or []]
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of this library through the Hadoop file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system (works for any cluster store)."""
     jvm = spark.sparkContext._jvm

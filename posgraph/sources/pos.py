@@ -12,13 +12,19 @@ Two layouts are supported for day selection:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from posgraph.functions.dates import day_bounds, day_list
 from posgraph.schemas import POS_SCHEMA
+from posgraph.session import matching_paths
+
+FILTER_COLUMNS = ("SALES_SIGN", "COUNTRY_CD", "COMPANY_CD_UNIQUE")
+REQUIRED = {*FILTER_COLUMNS, "CUSTOMER_ID", "ITEM_CD_UNIQUE", "SHOP_CD", "SALES_YMD", "SALES_HMS", "REGISTER_NO",
+            "RECEIPT_NO", "SALES_DETAIL_NO"}
 
 
 def day_paths(base: str, campaign_start_date: str, periods: int = 1,
@@ -28,15 +34,20 @@ def day_paths(base: str, campaign_start_date: str, periods: int = 1,
     return [f"{base}/{dir_prefix}{day}*/*" for day in day_list(campaign_start_date, periods)]
 
 
-def conform(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def conform(df: DataFrame, cols: Sequence[str] | None = None, optional: Collection[str] = ()) -> DataFrame:
     """Select the declared POS columns with the declared types.
 
     Columns stored with another type (e.g. prices as text) are cast with
     ``try_cast`` so a bad value becomes null instead of failing the job.
-    ``cols`` restricts the projection (unknown names raise).
+    ``cols`` restricts the projection (unknown names raise).  A column that the
+    input lacks raises, unless it is named in ``optional``: then it is null.
+    Filter and key columns are never optional.
     """
     wanted = list(cols) if cols else [f.name for f in POS_SCHEMA.fields]
     have = dict(df.dtypes)
+    missing = [c for c in wanted if c not in have and (c in REQUIRED or c not in optional)]
+    if missing:
+        raise ValueError(f"POS columns missing from the input: {', '.join(missing)}")
     out = []
     for name in wanted:
         field = POS_SCHEMA[name]
@@ -69,37 +80,50 @@ def in_day_range(df: DataFrame, campaign_start_date: str, periods: int = 1,
 
 
 def read_pos(spark: SparkSession, paths: str | Sequence[str], cols: Sequence[str] | None = None,
-             comp_cd: str | None = None, base_path: str | None = None) -> DataFrame:
+             comp_cd: str | None = None, base_path: str | None = None, optional: Collection[str] = ()) -> DataFrame:
     """Scan POS parquet (any number of paths/globs), conform, keep sales rows.
 
-    The filter is applied on the conformed columns; for columns stored with the
-    declared type it reaches the scan as ``PushedFilters``.
+    Every path is read with the types of its own files and conformed to the
+    declared schema before the union, so a column whose type changes from one
+    day to the next is converted, not misread.  The filter is applied on the
+    conformed columns; where a column is stored with the declared type it
+    reaches the scan as ``PushedFilters``.  With ``cols`` only those and the
+    filter columns need to exist.
     """
     if isinstance(paths, str):
         paths = [paths]
-    reader = spark.read
-    if base_path:
-        reader = reader.option("basePath", base_path)
-    raw = reader.parquet(*paths)
-    df = sales_rows(conform(raw), comp_cd)
-    if cols:
-        df = df.select(*cols)
-    return df
+    needed = None if not cols else [*cols, *[c for c in FILTER_COLUMNS if c not in cols]]
+    parts = []
+    for path in paths:
+        reader = spark.read.option("basePath", base_path) if base_path else spark.read
+        parts.append(sales_rows(conform(reader.parquet(path), needed, optional), comp_cd))
+    df = reduce(DataFrame.unionByName, parts)
+    return df.select(*cols) if cols else df
+
+
+def missing_days(spark: SparkSession, base: str, campaign_start_date: str, periods: int = 1,
+                 dir_prefix: str = "") -> list[str]:
+    """The days of the window that have no files."""
+    days = day_list(campaign_start_date, periods)
+    globs = day_paths(base, campaign_start_date, periods, dir_prefix)
+    return [day for day, g in zip(days, globs, strict=True) if not matching_paths(spark, g)]
 
 
 def read_pos_days(spark: SparkSession, base: str, campaign_start_date: str, periods: int = 1,
                   cols: Sequence[str] | None = None, comp_cd: str | None = None,
-                  dir_prefix: str = "") -> DataFrame:
-    """Scan only the day directories of the window (missing days are skipped)."""
+                  dir_prefix: str = "", skip_missing: bool = False, optional: Collection[str] = ()) -> DataFrame:
+    """Scan only the day directories of the window.
+
+    A day without files raises ``FileNotFoundError``; with ``skip_missing`` the
+    days that exist are read (``missing_days`` tells which do not).
+    """
+    gone = missing_days(spark, base, campaign_start_date, periods, dir_prefix)
+    if gone and not skip_missing:
+        raise FileNotFoundError(f"no POS files under {base} for {', '.join(gone)}")
+    days = day_list(campaign_start_date, periods)
     globs = day_paths(base, campaign_start_date, periods, dir_prefix)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    existing = []
-    for g in globs:
-        p = jvm.org.apache.hadoop.fs.Path(g)
-        statuses = p.getFileSystem(conf).globStatus(p)
-        if statuses is not None and len(statuses) > 0:
-            existing.append(g)
-    if not existing:
+    dirs = [d for day, g in zip(days, globs, strict=True) if day not in gone
+            for d in matching_paths(spark, g.removesuffix("/*"))]
+    if not dirs:
         return spark.createDataFrame([], POS_SCHEMA).select(*(cols or POS_SCHEMA.fieldNames()))
-    return read_pos(spark, existing, cols, comp_cd, base_path=base if dir_prefix else None)
+    return read_pos(spark, dirs, cols, comp_cd, base_path=base if dir_prefix else None, optional=optional)

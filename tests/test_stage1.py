@@ -51,8 +51,12 @@ def test_day_directories_and_conform(spark):
     got = pos_src.read_pos_days(spark, base, "20241211", periods=2)
     assert sorted(r.SALES_YMD for r in got.collect()) == [20241210, 20241211]
     assert got.select("MASTER_PRICE").first()[0] == Decimal("12.50")
-    none = pos_src.read_pos_days(spark, base, "20230101", periods=1)
-    assert none.count() == 0
+    # a day without files raises, unless it is asked for
+    assert pos_src.missing_days(spark, base, "20241212", 3) == ["20241212"]
+    with pytest.raises(FileNotFoundError, match="20241212"):
+        pos_src.read_pos_days(spark, base, "20241212", periods=3)
+    assert pos_src.read_pos_days(spark, base, "20241212", periods=3, skip_missing=True).count() == 2
+    assert pos_src.read_pos_days(spark, base, "20230101", periods=1, skip_missing=True).count() == 0
     # predicate form on a table with the day column
     assert pos_src.in_day_range(df, "20241210", 2).count() == 2
 
@@ -151,10 +155,36 @@ def test_existing_session_is_not_reconfigured(spark):
     assert recommended_conf(1)["spark.sql.shuffle.partitions"] == "200"
 
 
-def test_conform_fills_missing_columns(spark):
+def test_conform_raises_for_missing_columns(spark):
     df = spark.createDataFrame([("C1", "12.345")], "CUSTOMER_ID string, MASTER_PRICE string")
-    out = pos_src.conform(df, ["CUSTOMER_ID", "MASTER_PRICE", "SHOP_CD"]).first()
-    assert out.CUSTOMER_ID == "C1" and out.MASTER_PRICE == Decimal("12.35") and out.SHOP_CD is None
+    cols = ["CUSTOMER_ID", "MASTER_PRICE", "PD_NM"]
+    out = pos_src.conform(df, cols, optional=["PD_NM"]).first()
+    assert out.CUSTOMER_ID == "C1" and out.MASTER_PRICE == Decimal("12.35") and out.PD_NM is None
+    with pytest.raises(ValueError, match="PD_NM"):
+        pos_src.conform(df, cols)
+    with pytest.raises(ValueError, match="SHOP_CD"):  # a key column is never optional
+        pos_src.conform(df, ["CUSTOMER_ID", "SHOP_CD"], optional=["SHOP_CD"])
+
+
+def test_a_column_that_changes_type_between_days(spark):
+    base = tempfile.mkdtemp(prefix="pos-drift-", dir="/tmp")
+    df = pos_frame(spark, [{"SALES_YMD": 20241209, "MASTER_PRICE": 7}])
+    df.write.parquet(f"{base}/20241209")
+    df.withColumn("SALES_YMD", F.lit(20241210)).withColumn("MASTER_PRICE", F.lit("8.5")).write.parquet(f"{base}/20241210")
+    got = pos_src.read_pos_days(spark, base, "20241210", periods=2, cols=["SALES_YMD", "MASTER_PRICE"])
+    assert sorted(map(tuple, got.collect())) == [(20241209, Decimal("7.00")), (20241210, Decimal("8.50"))]
+    with pytest.raises(ValueError, match="SALES_SIGN"):
+        df.drop("SALES_SIGN").write.parquet(f"{base}/20241211")
+        pos_src.read_pos_days(spark, base, "20241211", periods=1, cols=["CUSTOMER_ID"])
+
+
+def test_checkpoint_folder_is_private_on_local_masters_only():
+    from types import SimpleNamespace
+    from posgraph.session import ensure_checkpoint_dir
+    conf = SimpleNamespace(get=lambda *a: None, set=lambda *a: None)
+    far = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(far)
 
 
 def test_relationship_counts(spark):
