@@ -199,6 +199,10 @@ Q: dict[str, str] = {}
 
 Q["pos_sales"] = with_(base(), "SELECT * FROM sales")
 Q["pos_day_range"] = with_(base(), f"SELECT * FROM sales WHERE SALES_YMD BETWEEN {DAY_LO} AND {DAY_HI}")
+_DAYS = f"SALES_YMD BETWEEN {DAY_LO} AND {DAY_HI}"
+Q["pos_days_read"] = with_(base(), f"""SELECT CUSTOMER_ID, ITEM_CD_UNIQUE, SHOP_CD, SALES_YMD, SALES_AMT, RECEIPT_NO,
+ SALES_DETAIL_NO FROM sales WHERE {_DAYS}""")
+Q["pos_company"] = with_(base(), f"SELECT * FROM sales WHERE {_DAYS} AND COMPANY_CD_UNIQUE = '3'")
 Q["persons"] = with_(base(("person_lines", PERSON_LINES)), PERSONS)
 Q["products"] = with_(base(("product_lines", PRODUCT_LINES)), PRODUCTS)
 Q["stores"] = with_(base(), STORES)
@@ -316,9 +320,9 @@ UNION ALL SELECT 'Store nodes', count(*) FROM store_t
 UNION ALL SELECT 'Purchase relationships', count(*) FROM purchase_t
 UNION ALL SELECT 'Visit relationships', count(*) FROM visit_t""")
 Q["unique_violations"] = g("""
-SELECT 'person' AS label, id, count(*) AS "count" FROM person_t GROUP BY id HAVING count(*) > 1
-UNION ALL SELECT 'product', id, count(*) FROM product_t GROUP BY id HAVING count(*) > 1
-UNION ALL SELECT 'store', id, count(*) FROM store_t GROUP BY id HAVING count(*) > 1""")
+SELECT 'person' AS label, id, CAST(2 AS BIGINT) AS "count" FROM person_t WHERE id LIKE '%7'
+UNION ALL SELECT 'product', id, 2 FROM product_t WHERE id LIKE '%7'
+UNION ALL SELECT 'store', id, 2 FROM store_t WHERE id LIKE '%1'""")
 
 _RECEIPT_GRAPH = base(
     ("person_lines", PERSON_LINES), ("persons", PERSONS),
@@ -328,12 +332,17 @@ _RECEIPT_GRAPH = base(
     *purchases_ctes("receipt"),
     *visits_ctes("store_day"),
 )
-Q["json_roundtrip"] = with_(_RECEIPT_GRAPH, """
-SELECT 'persons' AS name, count(*) AS "count" FROM persons
-UNION ALL SELECT 'products', count(*) FROM products
-UNION ALL SELECT 'stores', count(*) FROM (""" + STORES + """)
-UNION ALL SELECT 'purchases', count(*) FROM purchases
-UNION ALL SELECT 'visits', count(*) FROM visits""")
+
+
+def _digests(name: str, cols: list[str], src: str) -> str:
+    values = ", ".join(f"coalesce(CAST(\"{c}\" AS VARCHAR), '~')" for c in sorted(cols))
+    return f"SELECT '{name}' AS name, id, md5(concat_ws('|', {values})) AS digest FROM {src}"
+
+
+Q["json_roundtrip"] = with_(_RECEIPT_GRAPH, " UNION ALL ".join(_digests(*x) for x in (
+    ("persons", PERSON_COLS, "persons"), ("products", PRODUCT_COLS, "products"),
+    ("stores", ["id", "company_id"], f"({STORES})"), ("purchases", PURCHASE_COLS, "purchases"),
+    ("visits", VISIT_COLS, "visits"))))
 Q["json_lines_load"] = with_(_RECEIPT_GRAPH, "SELECT * FROM (" + purchase_t("purchases") + ")")
 
 _EARLY = "(SELECT * FROM sales WHERE SALES_YMD < 19980101)"
@@ -349,7 +358,7 @@ def _products_of(src: str) -> str:
 
 Q["upsert_nodes"] = with_(base(
     ("p_early", _products_of(_EARLY)), ("p_late", _products_of(_LATE))), """
-SELECT * FROM p_late UNION ALL
+SELECT * REPLACE (name || ' v2' AS name) FROM p_late UNION ALL
 SELECT * FROM p_early WHERE id NOT IN (SELECT id FROM p_late)""")
 
 
@@ -366,10 +375,18 @@ Q["upsert_edges"] = with_(base(
     ("base_t", purchase_t("lines_e", "person_e", "product_e")),
     ("upd_t", purchase_t("lines_l")),
 ), """
-SELECT * FROM upd_t UNION ALL
+SELECT * REPLACE (CAST(amount + 1 AS DECIMAL(18,2)) AS amount) FROM upd_t UNION ALL
 SELECT * FROM base_t b WHERE NOT EXISTS (
   SELECT 1 FROM upd_t u WHERE u.person_id = b.person_id AND u.product_id = b.product_id AND u.id = b.id)""")
 
+Q["load_twice"] = with_(base(
+    ("person_e", _persons_of(_EARLY)), ("product_e", _products_of(_EARLY)),
+    ("lines_e", _from(purchase_lines("line"), _EARLY)),
+    ("base_t", purchase_t("lines_e", "person_e", "product_e")),
+), """
+SELECT product_id, count(*) AS edges, count(DISTINCT person_id) AS buyers, count(*) AS copied,
+ CAST(sum(amount) AS DECIMAL(28,2)) AS amount FROM base_t GROUP BY product_id""")
+
 # ---------------------------------------------------------------- stage 3
 
 _NEWEST = '"datetime" DESC NULLS FIRST'
@@ -440,8 +457,10 @@ WHERE b.person_id IN (SELECT person_id FROM b WHERE product_id = '{TARGET_PRODUC
 GROUP BY b.product_id, p.name, p.major_category
 ORDER BY frequency DESC, b.product_id ASC NULLS FIRST LIMIT 5""", _B)
 
-Q["user_recommendations"] = g(f"""
-SELECT top.product_id, p.name AS product_name, p.major_category AS category, top.recommendation_score,
+def _user_cf(threshold: str) -> str:
+    return g(f"""
+SELECT top.rank, top.product_id, p.name AS product_name, p.major_category AS category,
+ round(top.score, 6) AS recommendation_score,
  top.purchase_count, cand.person_id AS similar_user_id, round(cand.similarity, 6) AS similarity
 FROM top JOIN cand ON cand.product_id = top.product_id JOIN product_t p ON p.id = top.product_id""",
     _B,
@@ -452,19 +471,23 @@ FROM top JOIN cand ON cand.product_id = top.product_id JOIN product_t p ON p.id
       FROM b WHERE person_id <> '{TARGET_PERSON}' GROUP BY person_id"""),
     ("sim", """SELECT person_id, CASE WHEN t + o - c > 0 THEN CAST(c AS DOUBLE) / CAST(t + o - c AS DOUBLE)
       ELSE 0.0 END AS similarity FROM oth CROSS JOIN tsz WHERE t > 0"""),
-    ("cand", """SELECT b.product_id, s.person_id, s.similarity FROM b JOIN sim s ON s.person_id = b.person_id
-      WHERE s.similarity >= 0.0 AND b.product_id NOT IN (SELECT product_id FROM tgt)"""),
+    ("cand", f"""SELECT b.product_id, s.person_id, s.similarity FROM b JOIN sim s ON s.person_id = b.person_id
+      WHERE s.similarity >= {threshold} AND b.product_id NOT IN (SELECT product_id FROM tgt)"""),
     ("agg", """SELECT product_id, count(*) AS purchase_count,
-      round(sum(similarity) * ln(count(*) + 1), 6) AS recommendation_score FROM cand GROUP BY product_id"""),
-    ("top", """SELECT * FROM agg ORDER BY recommendation_score DESC NULLS LAST, product_id ASC NULLS FIRST
-      LIMIT 10"""),
+      CAST(sum(CAST(similarity AS DECIMAL(38,18))) AS DOUBLE) * ln(count(*) + 1) AS score FROM cand GROUP BY product_id"""),
+    ("top", """SELECT *, CAST(row_number() OVER (ORDER BY score DESC NULLS LAST, product_id ASC NULLS FIRST) AS INT) AS rank
+      FROM agg QUALIFY rank <= 10"""),
 )
 
+
+Q["user_recommendations"] = _user_cf("0.0")
+Q["user_recommendations_similar"] = _user_cf("0.01")
+
 Q["item_recommendations"] = g("""
-SELECT a.product_id, p.name AS product_name, p.major_category AS category, a.recommendation_score,
- a.related_items_count
+SELECT a.product_id, p.name AS product_name, p.major_category AS category,
+ round(a.score, 6) AS recommendation_score, a.related_items_count
 FROM agg a JOIN product_t p ON p.id = a.product_id
-ORDER BY a.recommendation_score DESC NULLS LAST, a.product_id ASC NULLS FIRST LIMIT 10""",
+ORDER BY a.score DESC NULLS LAST, a.product_id ASC NULLS FIRST LIMIT 10""",
     ("em", "SELECT person_id, product_id, count(*) AS m FROM purchase_t GROUP BY person_id, product_id"),
     ("deg", "SELECT product_id, count(*) AS deg FROM purchase_t GROUP BY product_id"),
     ("hrows", f"""SELECT product_id FROM purchase_t WHERE person_id = '{TARGET_PERSON}'
@@ -477,14 +500,16 @@ ORDER BY a.recommendation_score DESC NULLS LAST, a.product_id ASC NULLS FIRST LI
     ("sims", """SELECT c, CAST(paths AS DOUBLE) / NULLIF(CAST(dh.deg + dc.deg - paths AS DOUBLE), 0) AS s
       FROM paths JOIN deg dh ON dh.product_id = h JOIN deg dc ON dc.product_id = c"""),
     ("agg", """SELECT c AS product_id, count(*) AS related_items_count,
-      round(sum(s) * ln(count(*) + 1), 6) AS recommendation_score FROM sims WHERE s >= 0.02 GROUP BY c"""),
+      CAST(sum(CAST(s AS DECIMAL(38,18))) AS DOUBLE) * ln(count(*) + 1) AS score FROM sims WHERE s >= 0.02 GROUP BY c"""),
 )
 
 
 def _rules(limit: str) -> str:
+    rank = """CAST(row_number() OVER (ORDER BY r.lift DESC NULLS LAST, r.antecedent_id ASC NULLS FIRST,
+ r.consequent_id ASC NULLS FIRST) AS INT) AS rank, """ if limit else ""
     return g(f"""
-SELECT r.antecedent_id, p1.name AS antecedent_name, r.consequent_id, p2.name AS consequent_name,
- r.support, r.confidence, r.lift
+SELECT {rank}r.antecedent_id, p1.name AS antecedent_name, r.consequent_id, p2.name AS consequent_name,
+ round(r.support, 6) AS support, round(r.confidence, 6) AS confidence, round(r.lift, 6) AS lift
 FROM r JOIN product_t p1 ON p1.id = r.antecedent_id JOIN product_t p2 ON p2.id = r.consequent_id
 ORDER BY r.lift DESC NULLS LAST, r.antecedent_id ASC NULLS FIRST, r.consequent_id ASC NULLS FIRST {limit}""",
         _B,
@@ -498,8 +523,7 @@ ORDER BY r.lift DESC NULLS LAST, r.antecedent_id ASC NULLS FIRST, r.consequent_i
           CAST(n_both AS DOUBLE) / CAST(d2.cnt AS DOUBLE) AS conf_ba,
           CAST(d2.cnt AS DOUBLE) / tot.n AS share_b
           FROM pairs JOIN deg d1 ON d1.product_id = a JOIN deg d2 ON d2.product_id = bb CROSS JOIN tot"""),
-        ("r", """SELECT a AS antecedent_id, bb AS consequent_id, round(support, 6) AS support,
-          round(conf_ab, 6) AS confidence, round(conf_ab / share_b, 6) AS lift
+        ("r", """SELECT a AS antecedent_id, bb AS consequent_id, support, conf_ab AS confidence, conf_ab / share_b AS lift
           FROM m WHERE support >= 0.001 AND (conf_ab >= 0.1 OR conf_ba >= 0.1)"""),
     )
 

@@ -51,11 +51,6 @@ def compact_datetime(ymd: str = "SALES_YMD", hms: str = "SALES_HMS") -> Column:
     return F.concat(F.col(ymd).cast("string"), F.lit("T"), F.col(hms))
 
 
-def ratio(num: Column, den: Column) -> Column:
-    """num / den as double; null when den is 0 (never raises)."""
-    return F.try_divide(num.cast("double"), den.cast("double"))
-
-
 # ---------------------------------------------------------------- nesting
 
 def leaf_paths(schema: T.StructType, prefix: tuple[str, ...] = ()) -> list[tuple[tuple[str, ...], T.DataType]]:

@@ -13,6 +13,9 @@ sum of sales over *all* lines of the visit key, anonymous lines included.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,30 +69,28 @@ def visit_totals(pos: DataFrame, grain: str = "store_day") -> DataFrame:
 def visits(pos: DataFrame, grain: str = "store_day") -> DataFrame:
     """Visit edges with the visit total (flat), one per visit id.
 
-    Lines are reduced to one survivor per visit key *before* the join with
-    the totals; both sides are then hash-partitioned on the same key, so the
-    join adds no shuffle.  Lines whose key has a null part have no total and
-    drop out, as in the inner join they come from.
+    One aggregation of the lines by visit key gives both: the total over all
+    lines, and the first line with a customer in the total order (the smallest
+    struct; nulls first, as everywhere).  Both combine map-side, so a hot store
+    sends one row per map task.  Lines whose key has a null part have no total,
+    and keys without a customer have no visit.
     """
     keys = _grain(VISIT_KEY, grain)
     c = F.col
-    lines = pos.where(c("CUSTOMER_ID").isNotNull()).select(
-        *keys,
-        joined_id(*keys).alias("id"),
-        c("CUSTOMER_ID").alias("person_id"),
-        c("SHOP_CD").alias("store_id"),
-        compact_datetime().alias("datetime"),
-        c("COMPANY_CD_UNIQUE").alias("visit_details_company_id"),
-        c("REGISTER_NO").alias("visit_details_register_no"),
-        F.lit(True).alias("visit_details_conversion_converted"),
-        F.concat_ws("_", c("RECEIPT_NO"), c("SALES_DETAIL_NO")).alias("visit_details_conversion_purchase_id"),
-    )
-    order = ["person_id", "store_id", "datetime", "visit_details_company_id",
-             "visit_details_register_no", "visit_details_conversion_converted",
-             "visit_details_conversion_purchase_id"]
-    survivors = keep_one(lines, keys, order)
-    return (survivors.join(visit_totals(pos, grain), keys, "inner")
-            .select("id", *order[:3], *order[3:], "total_amount"))
+    order = {
+        "person_id": c("CUSTOMER_ID"),
+        "store_id": c("SHOP_CD"),
+        "datetime": compact_datetime(),
+        "visit_details_company_id": c("COMPANY_CD_UNIQUE"),
+        "visit_details_register_no": c("REGISTER_NO"),
+        "visit_details_conversion_converted": F.lit(True),
+        "visit_details_conversion_purchase_id": F.concat_ws("_", c("RECEIPT_NO"), c("SALES_DETAIL_NO")),
+    }
+    line = F.struct(*[e.alias(name) for name, e in order.items()])
+    by_key = (pos.where(reduce(and_, [c(k).isNotNull() for k in keys])).groupBy(*keys).agg(
+        F.sum("SALES_AMT").cast("decimal(28,2)").alias("total_amount"),
+        F.min(F.when(c("CUSTOMER_ID").isNotNull(), line)).alias("line")))
+    return by_key.where(c("line").isNotNull()).select(joined_id(*keys).alias("id"), "line.*", "total_amount")
 
 
 def extract_relationships(pos: DataFrame, purchase_grain: str = "receipt",

@@ -137,15 +137,20 @@ class Graph:
     # adjacency); product-filtered reads use it when present.
     purchase_by_product: DataFrame | None = None
     # Optional degree index written by the graph build:
-    # person_degree (person_id, n) and product_degree (product_id, edges, buyers).
+    # person_degree (person_id, n, items) and product_degree (product_id, edges, buyers).
     person_degree: DataFrame | None = None
     product_degree: DataFrame | None = None
 
     def person_edge_counts(self) -> DataFrame:
         """(person_id, n): purchase edges per person (stored index or computed)."""
         if self.person_degree is not None:
-            return self.person_degree
-        return person_degree(self.purchase)
+            return self.person_degree.select("person_id", "n")
+        return self.purchase.groupBy("person_id").agg(F.count(F.lit(1)).alias("n"))
+
+    def person_item_counts(self) -> DataFrame:
+        """(person_id, items): distinct products per person (stored index or computed)."""
+        index = self.person_degree if self.person_degree is not None else person_degree(self.purchase)
+        return index.select("person_id", "items")
 
     def product_edge_stats(self) -> DataFrame:
         """(product_id, edges, buyers): purchase edges and distinct buyers per product."""
@@ -163,7 +168,9 @@ class Graph:
 
 
 def person_degree(purchase: DataFrame) -> DataFrame:
-    return purchase.groupBy("person_id").agg(F.count(F.lit(1)).alias("n"))
+    """Edges and distinct products per person."""
+    m = purchase.groupBy("person_id", "product_id").agg(F.count(F.lit(1)).alias("m"))
+    return m.groupBy("person_id").agg(F.sum("m").alias("n"), F.count(F.lit(1)).alias("items"))
 
 
 def product_degree(purchase: DataFrame) -> DataFrame:
@@ -173,20 +180,6 @@ def product_degree(purchase: DataFrame) -> DataFrame:
     return m.groupBy("product_id").agg(F.sum("m").alias("edges"), F.count(F.lit(1)).alias("buyers"))
 
 
-def build_graph(persons: DataFrame, products: DataFrame, stores: DataFrame,
-                purchases: DataFrame, visits: DataFrame) -> tuple[Graph, dict[str, DataFrame]]:
-    """C7 core: nodes before edges (edges need them).  Returns (graph, rejects)."""
-    person, r_person = person_props(persons)
-    product, r_product = product_props(products)
-    store, r_store = store_props(stores)
-    purchase, r_purchase = purchase_edges(purchases, person, product)
-    visit, r_visit = visit_edges(visits, person, store)
-    g = Graph(person, product, store, purchase, visit)
-    rejects = {"person": r_person, "product": r_product, "store": r_store,
-               "purchase": r_purchase, "visit": r_visit}
-    return g, rejects
-
-
 def graph_counts(g: Graph) -> DataFrame:
     """(name, count) for the five tables, one small job per count."""
     parts = [df.agg(F.count(F.lit(1)).alias("count")).select(F.lit(NODE_LABELS[n]).alias("name"), "count")

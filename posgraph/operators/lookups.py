@@ -4,10 +4,9 @@ Each query has a single-id form (the original call) and an all-ids form that
 answers every person/product in one distributed job:
 
 * single id: a point filter on the edge table (row-group skipping on the
-  person-clustered files, or on the product-clustered copy for a product), a join to the node table (the filtered edges are
-  broadcast after a size check, so the node table is scanned, not shuffled),
-  and ``orderBy + limit``
-  which plans as ``TakeOrderedAndProject`` (per-task top-k, then merge);
+  person-clustered files, or on the product-clustered copy for a product) and
+  ``orderBy + limit``, which plans as ``TakeOrderedAndProject`` (per-task top-k,
+  then merge); only those rows are joined to the node table;
 * all ids: ``row_number() over (partition by id ...) <= k`` — the planner
   puts a partial ``WindowGroupLimit`` before the shuffle, so a person with a
   third of all edges sends at most k rows per map task.
@@ -23,7 +22,6 @@ from pyspark.sql import functions as F
 
 from posgraph.functions.dates import date_bounds
 from posgraph.operators.graph import Graph
-from posgraph.operators.sizing import broadcast_if_small
 
 
 def _in_range(edges: DataFrame, start_date: str | None, end_date: str | None) -> DataFrame:
@@ -43,16 +41,31 @@ def _newest_first(*tie: str) -> list[Column]:
 def _top(df: DataFrame, order: list[Column], limit: int | None, by: str | None) -> DataFrame:
     if by is None:
         df = df.orderBy(*order)
-        return df.limit(limit) if limit else df
-    if not limit:
+        return df if limit is None else df.limit(limit)
+    if limit is None:
         return df
     w = Window.partitionBy(by).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit).drop("_rn")
 
 
-def _person_purchase_rows(g: Graph, edges: DataFrame) -> DataFrame:
-    prod = g.product.select(F.col("id").alias("product_id"), F.col("name").alias("product_name"))
-    return edges.join(prod, "product_id")
+def _with_names(g: Graph, edges: DataFrame, node: str) -> DataFrame:
+    """Edges with the names of their product, or the traits of their person."""
+    if node == "product":
+        names = g.product.select(F.col("id").alias("product_id"), F.col("name").alias("product_name"))
+    else:
+        names = g.person.select(F.col("id").alias("person_id"), "gender", "prefecture")
+    return edges.join(names, f"{node}_id")
+
+
+def _history(g: Graph, edges: DataFrame, node: str, limit: int | None, by: str | None) -> DataFrame:
+    """The newest ``limit`` edges (of each ``by``), then their names.
+
+    Ranking comes first, so at most ``limit`` edges a key reach the join (every
+    edge of a graph has its end nodes, so the join drops none).
+    """
+    order = _newest_first(f"{node}_id", "id")
+    rows = _with_names(g, _top(edges, order, limit, by), node)
+    return rows.orderBy(*order) if by is None else rows
 
 
 PERSON_PURCHASE_COLS = ["product_id", "product_name", "purchase_date", "quantity", "amount",
@@ -63,8 +76,7 @@ def person_purchases(g: Graph, person_id: str, limit: int | None = 10,
                      start_date: str | None = None, end_date: str | None = None) -> DataFrame:
     """One person's purchases, newest first."""
     e = _in_range(g.purchase.where(F.col("person_id") == F.lit(person_id)), start_date, end_date)
-    rows = _person_purchase_rows(g, broadcast_if_small(e))
-    rows = _top(rows, _newest_first("product_id", "id"), limit, None)
+    rows = _history(g, e, "product", limit, None)
     return rows.select(*PERSON_PURCHASE_COLS[:2], F.col("datetime").alias("purchase_date"),
                        *PERSON_PURCHASE_COLS[3:])
 
@@ -72,17 +84,11 @@ def person_purchases(g: Graph, person_id: str, limit: int | None = 10,
 def person_purchases_all(g: Graph, limit: int | None = 10, start_date: str | None = None,
                          end_date: str | None = None) -> DataFrame:
     """T1 for every person: (person_id, ...) with at most ``limit`` rows per person."""
-    rows = _person_purchase_rows(g, _in_range(g.purchase, start_date, end_date))
-    rows = _top(rows, _newest_first("product_id", "id"), limit, "person_id")
+    rows = _history(g, _in_range(g.purchase, start_date, end_date), "product", limit, "person_id")
     return rows.select("person_id", *PERSON_PURCHASE_COLS[:2], F.col("datetime").alias("purchase_date"),
                        *PERSON_PURCHASE_COLS[3:])
 
 
-def _purchaser_rows(g: Graph, edges: DataFrame) -> DataFrame:
-    person = g.person.select(F.col("id").alias("person_id"), "gender", "prefecture")
-    return edges.join(person, "person_id")
-
-
 PURCHASER_COLS = ["person_id", "gender", "prefecture", "purchase_date", "quantity", "amount", "store_id"]
 
 
@@ -90,15 +96,14 @@ def product_purchasers(g: Graph, product_id: str, limit: int | None = 10,
                        start_date: str | None = None, end_date: str | None = None) -> DataFrame:
     """Buyers of one product, newest purchase first."""
     e = _in_range(g.purchases_of_products().where(F.col("product_id") == F.lit(product_id)), start_date, end_date)
-    rows = _top(_purchaser_rows(g, broadcast_if_small(e)), _newest_first("person_id", "id"), limit, None)
+    rows = _history(g, e, "person", limit, None)
     return rows.select(*PURCHASER_COLS[:3], F.col("datetime").alias("purchase_date"), *PURCHASER_COLS[4:])
 
 
 def product_purchasers_all(g: Graph, limit: int | None = 10, start_date: str | None = None,
                            end_date: str | None = None) -> DataFrame:
     """T2 for every product: (product_id, ...) with at most ``limit`` rows per product."""
-    rows = _purchaser_rows(g, _in_range(g.purchase, start_date, end_date))
-    rows = _top(rows, _newest_first("person_id", "id"), limit, "product_id")
+    rows = _history(g, _in_range(g.purchase, start_date, end_date), "person", limit, "product_id")
     return rows.select("product_id", *PURCHASER_COLS[:3], F.col("datetime").alias("purchase_date"),
                        *PURCHASER_COLS[4:])
 
@@ -120,14 +125,14 @@ def _categories(c: str = "major_category") -> Column:
 
 def person_statistics(g: Graph, person_id: str) -> DataFrame:
     """A5 (person): exactly one row; zeros and null average for a person without purchases."""
-    e = broadcast_if_small(g.purchase.where(F.col("person_id") == F.lit(person_id)))
+    e = g.purchase.where(F.col("person_id") == F.lit(person_id))
     rows = e.join(g.product.select(F.col("id").alias("product_id"), "major_category"), "product_id")
     return rows.agg(*_stats_aggs(), _categories())
 
 
 def product_statistics(g: Graph, product_id: str) -> DataFrame:
     """A5 (product): exactly one row, with the number of distinct buyers."""
-    e = broadcast_if_small(g.purchases_of_products().where(F.col("product_id") == F.lit(product_id)))
+    e = g.purchases_of_products().where(F.col("product_id") == F.lit(product_id))
     rows = e.join(g.person.select(F.col("id").alias("person_id")), "person_id")
     return rows.agg(*_stats_aggs(), F.countDistinct("person_id").alias("unique_customers"))
 

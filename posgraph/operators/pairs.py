@@ -24,20 +24,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from posgraph.operators.sizing import broadcast_if_small
-
 
 def basket_pairs(baskets: DataFrame, person: str = "person_id", item: str = "product_id",
-                 chunk: int = 2048) -> DataFrame:
-    """Distinct (person, item) rows -> (person, item_a, item_b) with item_a < item_b."""
+                 chunk: int = 2048, counts: DataFrame | None = None) -> DataFrame:
+    """Distinct (person, item) rows -> (person, item_a, item_b) with item_a < item_b.
+
+    ``counts`` is (person, n): an upper bound of each basket's size (the stored
+    degree index); without it the baskets are counted.
+    """
     # Only baskets larger than ``chunk`` need more than one slice.  Their
-    # persons are few (at most rows / chunk); they are broadcast after a size
-    # check, so ordinary baskets are not shuffled for this step and a hot
-    # person never funnels through one join task.
-    heavy = (baskets.groupBy(person).agg(F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") > F.lit(chunk))
-             .select(person, F.ceil(F.col("_n") / F.lit(chunk)).cast("int").alias("_s")))
-    sliced = (baskets.join(broadcast_if_small(heavy), person, "left")
+    # persons are few (at most rows / chunk), and AQE broadcasts them from
+    # their measured size.
+    if counts is None:
+        counts = baskets.groupBy(person).agg(F.count(F.lit(1)).alias("n"))
+    heavy = (counts.where(F.col("n") > F.lit(chunk))
+             .select(person, F.ceil(F.col("n") / F.lit(chunk)).cast("int").alias("_s")))
+    sliced = (baskets.join(heavy, person, "left")
               .withColumn("_s", F.coalesce(F.col("_s"), F.lit(1)))
               .withColumn("_c", F.pmod(F.xxhash64(F.col(item)), F.col("_s")).cast("int")))
     left = sliced.select(

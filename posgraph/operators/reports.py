@@ -19,7 +19,7 @@ def top_products(purchases: DataFrame, k: int | None = 5) -> DataFrame:
                 F.sum("purchase_details_quantity").cast("decimal(28,3)").alias("total_quantity"),
                 F.sum("purchase_details_amount").cast("decimal(28,2)").alias("total_amount"))
            .orderBy(F.col("purchase_count").desc(), F.col("product_id").asc_nulls_first()))
-    return out.limit(k) if k else out
+    return out.limit(k) if k is not None else out
 
 
 def payment_mix(purchases: DataFrame) -> DataFrame:
@@ -34,7 +34,7 @@ def top_stores(visits: DataFrame, k: int | None = 5) -> DataFrame:
            .agg(F.count(F.lit(1)).alias("visit_count"),
                 F.countDistinct("person_id").alias("unique_visitors"))
            .orderBy(F.col("visit_count").desc(), F.col("store_id").asc_nulls_first()))
-    return out.limit(k) if k else out
+    return out.limit(k) if k is not None else out
 
 
 def analyze_relationships(purchases: DataFrame, visits: DataFrame) -> dict[str, DataFrame]:

@@ -10,7 +10,8 @@ side gets ``ceil(n / rows_per_task)`` salts; each big-side row takes one salt
 (a hash of the row), each small-side row of that key is replicated once per
 salt, and the join runs on (key, salt).  Keys under the budget keep a single
 salt, so the ordinary case is the plain shuffle join.  The hot keys are at
-most ``total rows / rows_per_task`` and are broadcast after a size check.
+most ``total rows / rows_per_task``; AQE broadcasts them from their measured
+size.
 """
 
 from __future__ import annotations
@@ -18,8 +19,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from posgraph.operators.sizing import broadcast_if_small
-
 DEFAULT_ROWS_PER_TASK = 2_000_000
 
 
@@ -37,9 +36,8 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, counts: DataFrame, h
     if how not in ("inner", "left_semi"):
         raise ValueError("how must be 'inner' or 'left_semi'")
     r = per_task or rows_per_task(big)
-    hot = broadcast_if_small(
-        counts.where(F.col("n") > F.lit(r))
-        .select(key, F.ceil(F.col("n") / F.lit(r)).cast("int").alias("_salts")))
+    hot = (counts.where(F.col("n") > F.lit(r))
+           .select(key, F.ceil(F.col("n") / F.lit(r)).cast("int").alias("_salts")))
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     b = (big.join(hot, key, "left")
          .withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), salts).cast("int"))
@@ -49,7 +47,3 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, counts: DataFrame, h
          .drop("_salts"))
     return b.join(s, [key, "_salt"], how).drop("_salt")
 
-
-def rows_per_person(edges: DataFrame) -> DataFrame:
-    """(person_id, n): purchase rows per person (partial aggregation, skew-safe)."""
-    return edges.groupBy("person_id").agg(F.count(F.lit(1)).alias("n"))

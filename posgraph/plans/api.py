@@ -2,13 +2,16 @@
 
 ``PurchaseGraphQueries`` answers the seven graph questions with the original
 argument names and defaults; every method returns a lazy DataFrame (the
-caller collects or writes it).  ``transform_pos`` and ``import_graph`` are the
+caller collects or writes it; building it runs no job).  ``transform_pos`` and ``import_graph`` are the
 two pipeline entry points.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from posgraph.operators import lookups, recommend
 from posgraph.operators.graph import Graph, graph_counts
@@ -67,9 +70,15 @@ def import_graph(spark: SparkSession, node_dir: str, relation_dir: str, root: st
     """Node and relation JSON lines -> graph tables under ``root`` (replaced).
 
     Returns the five counts (name, count) of the written tables and the
-    rejects (malformed lines, rows missing a required field).
+    rejects (malformed lines, rows missing a required field); ``reject_counts``
+    counts them.
     """
-    g, rejects = pipeline.graph_from_files(spark, node_dir, relation_dir)
-    store.write_graph(g, root)
-    store.write_indexes(store.read_table(spark, root, "purchase"), root)
+    rejects = pipeline.load_files(spark, node_dir, relation_dir, root)
     return graph_counts(store.read_graph(spark, root)), rejects
+
+
+def reject_counts(rejects: dict[str, DataFrame]) -> DataFrame:
+    """(name, count) of the rows and lines that a load left out."""
+    parts = [df.agg(F.count(F.lit(1)).alias("count")).select(F.lit(name).alias("name"), "count")
+             for name, df in rejects.items()]
+    return reduce(DataFrame.unionByName, parts)

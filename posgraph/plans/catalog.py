@@ -42,6 +42,30 @@ def q_pos_day_range(spark, sf_dir):
     return pos_src.in_day_range(sales(spark, sf_dir), DAY_RANGE_START, DAY_RANGE_PERIODS)
 
 
+DAY_COLS = ["CUSTOMER_ID", "ITEM_CD_UNIQUE", "SHOP_CD", "SALES_YMD", "SALES_AMT", "RECEIPT_NO", "SALES_DETAIL_NO"]
+COMPANY = "3"
+
+
+def _day_directories(spark, sf_dir) -> str:
+    """All POS lines of the window (returns and foreign lines too) in one directory a day."""
+    base = scratch_path(spark, "days")
+    lines = pos_src.in_day_range(pos_from_tpch(spark, sf_dir), DAY_RANGE_START, DAY_RANGE_PERIODS)
+    lines.repartition("SALES_YMD").write.partitionBy("SALES_YMD").parquet(base)
+    return base
+
+
+def q_pos_days_read(spark, sf_dir):
+    """Day directories scanned by glob, some columns (a day without sales has no directory)."""
+    return pos_src.read_pos_days(spark, _day_directories(spark, sf_dir), DAY_RANGE_START, DAY_RANGE_PERIODS,
+                                 cols=DAY_COLS, dir_prefix="SALES_YMD=", skip_missing=True)
+
+
+def q_pos_company(spark, sf_dir):
+    """Day directories scanned by glob, one company, all columns."""
+    return pos_src.read_pos_days(spark, _day_directories(spark, sf_dir), DAY_RANGE_START, DAY_RANGE_PERIODS,
+                                 comp_cd=COMPANY, dir_prefix="SALES_YMD=", skip_missing=True)
+
+
 def q_persons(spark, sf_dir):
     return nodes.persons(sales(spark, sf_dir))
 
@@ -114,7 +138,25 @@ def q_graph_counts(spark, sf_dir):
 
 
 def q_unique_violations(spark, sf_dir):
-    return graph.unique_violations(stored_graph(spark, sf_dir))
+    """Node tables in which the ids that end in 7 (stores: in 1) come twice."""
+    g = stored_graph(spark, sf_dir)
+
+    def doubled(df, digit):
+        return df.unionByName(df.where(F.col("id").endswith(digit)))
+    return graph.unique_violations(graph.Graph(doubled(g.person, "7"), doubled(g.product, "7"), doubled(g.store, "1"),
+                                               g.purchase, g.visit))
+
+
+def q_load_twice(spark, sf_dir):
+    """A second load into one root replaces the tables and the indexes made from them."""
+    early, _ = _split_days(spark, sf_dir)
+    root = scratch_path(spark, "twice")
+    pipeline.materialize_graph(sales(spark, sf_dir), root, stage_lines=True)
+    pipeline.materialize_graph(early, root, stage_lines=True)
+    g = store.read_graph(spark, root)
+    by_product = (g.purchases_of_products().groupBy("product_id")
+                  .agg(F.count(F.lit(1)).alias("copied"), F.sum("amount").cast("decimal(28,2)").alias("amount")))
+    return g.product_edge_stats().join(by_product, "product_id", "full")
 
 
 def _stage1_files(spark, sf_dir):
@@ -126,13 +168,14 @@ def _stage1_files(spark, sf_dir):
 
 
 def q_json_roundtrip(spark, sf_dir):
-    """Stage-1 frames written as JSON lines and read back: row count per set."""
+    """Stage-1 frames written as JSON lines and read back: a digest of every row's values."""
     node_dir, rel_dir = _stage1_files(spark, sf_dir)
     parts = []
     for kind, d in (("persons", node_dir), ("products", node_dir), ("stores", node_dir),
                     ("purchases", rel_dir), ("visits", rel_dir)):
-        good, _ = jsonl.read_json_lines(spark, f"{d}/{kind}.json", kind)
-        parts.append(good.agg(F.count(F.lit(1)).alias("count")).select(F.lit(kind).alias("name"), "count"))
+        good, _ = jsonl.read_flat(spark, f"{d}/{kind}.json", kind)
+        values = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in sorted(good.columns)]
+        parts.append(good.select(F.lit(kind).alias("name"), "id", F.md5(F.concat_ws("|", *values)).alias("digest")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -161,6 +204,7 @@ def q_upsert_nodes(spark, sf_dir):
     early, late = _split_days(spark, sf_dir)
     base, _ = graph.product_props(nodes.products(early))
     updates, _ = graph.product_props(nodes.products(late))
+    updates = updates.withColumn("name", F.concat("name", F.lit(" v2")))  # so that an update shows
     root = scratch_path(spark, "upsert")
     store.write_table(base, f"{root}/v1/product", "product")
     return store.upsert_table(spark, f"{root}/v1", f"{root}/v2", "product", updates)
@@ -172,6 +216,7 @@ def q_upsert_edges(spark, sf_dir):
     g_base, _ = pipeline.graph_from_pos(early, "line")
     g_all, _ = pipeline.graph_from_pos(sales(spark, sf_dir), "line")
     updates, _ = graph.purchase_edges(edges.purchase_lines(late, "line"), g_all.person, g_all.product)
+    updates = updates.withColumn("amount", (F.col("amount") + 1).cast("decimal(18,2)"))  # so that an update shows
     root = scratch_path(spark, "upsert")
     store.write_table(g_base.purchase, f"{root}/v1/purchase", "purchase")
     return store.upsert_table(spark, f"{root}/v1", f"{root}/v2", "purchase", updates)
@@ -223,26 +268,41 @@ def q_related_products(spark, sf_dir):
     return recommend.related_products(stored_graph(spark, sf_dir), TARGET_PRODUCT, 5)
 
 
+def _round(df, *cols):
+    return df.withColumns({c: F.round(c, 6) for c in cols})
+
+
 def q_user_recommendations(spark, sf_dir):
-    return recommend.user_recommendations(stored_graph(spark, sf_dir), TARGET_PERSON, 10, 0.0)
+    out = recommend.user_recommendations(stored_graph(spark, sf_dir), TARGET_PERSON, 10, 0.0)
+    return _round(out, "recommendation_score", "similarity")
+
+
+def q_user_recommendations_similar(spark, sf_dir):
+    """Only persons with a similarity above 0."""
+    out = recommend.user_recommendations(stored_graph(spark, sf_dir), TARGET_PERSON, 10, 0.01)
+    return _round(out, "recommendation_score", "similarity")
 
 
 def q_item_recommendations(spark, sf_dir):
-    return recommend.item_recommendations(stored_graph(spark, sf_dir), TARGET_PERSON, 10, 0.02, 10)
+    out = recommend.item_recommendations(stored_graph(spark, sf_dir), TARGET_PERSON, 10, 0.02, 10)
+    return _round(out, "recommendation_score")
 
 
 def q_association_rules(spark, sf_dir):
-    return recommend.association_rules(stored_graph(spark, sf_dir), 0.001, 0.1, 10)
+    return _round(recommend.association_rules(stored_graph(spark, sf_dir), 0.001, 0.1, 10), "support", "confidence", "lift")
 
 
 def q_association_rules_all(spark, sf_dir):
     """Every rule passing the default thresholds (no top-k)."""
-    return recommend.association_rules(stored_graph(spark, sf_dir), 0.001, 0.1, None)
+    rules = recommend.association_rules(stored_graph(spark, sf_dir), 0.001, 0.1, None).drop("rank")
+    return _round(rules, "support", "confidence", "lift")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pos_sales": q_pos_sales,
     "pos_day_range": q_pos_day_range,
+    "pos_days_read": q_pos_days_read,
+    "pos_company": q_pos_company,
     "persons": q_persons,
     "products": q_products,
     "stores": q_stores,
@@ -260,6 +320,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "visit_edges": q_visit_edges,
     "graph_counts": q_graph_counts,
     "unique_violations": q_unique_violations,
+    "load_twice": q_load_twice,
     "json_roundtrip": q_json_roundtrip,
     "json_lines_load": q_json_lines_load,
     "upsert_nodes": q_upsert_nodes,
@@ -274,6 +335,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "product_statistics_all": q_product_statistics_all,
     "related_products": q_related_products,
     "user_recommendations": q_user_recommendations,
+    "user_recommendations_similar": q_user_recommendations_similar,
     "item_recommendations": q_item_recommendations,
     "association_rules": q_association_rules,
     "association_rules_all": q_association_rules_all,

@@ -1,19 +1,22 @@
 """The two pipelines as compositions of the operators.
 
 ``pos_to_files``  POS lines -> node and edge JSON lines + reports (stage 1)
-``graph_from_pos`` POS lines -> five graph tables directly (stage 1 + 2 in one plan)
+``graph_from_pos`` POS lines -> five graph tables directly (stage 1 + 2)
 ``graph_from_files`` JSON lines written by stage 1 -> five graph tables (stage 2)
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from posgraph.operators import edges, nodes, reports
-from posgraph.operators.graph import Graph, build_graph
-from posgraph.sources import jsonl
+from posgraph.operators import edges, graph, nodes, reports
+from posgraph.operators.graph import Graph
+from posgraph.session import remove_path, scratch_path
+from posgraph.sources import jsonl, store
 
 
 def stage1_frames(pos: DataFrame, purchase_grain: str = "receipt",
@@ -23,35 +26,96 @@ def stage1_frames(pos: DataFrame, purchase_grain: str = "receipt",
     return {**nodes.transform_all(pos), "purchases": purchases, "visits": visits}
 
 
-def pos_to_files(pos: DataFrame, node_dir: str, relation_dir: str,
-                 purchase_grain: str = "receipt", visit_grain: str = "store_day") -> dict[str, DataFrame]:
+@contextmanager
+def _staged(pos: DataFrame, stage_lines: bool) -> Iterator[DataFrame]:
+    """``pos``, or a scratch copy of it while the block runs: its plan then runs once for all sinks.
+
+    Worth it where the lines come out of joins; stored parquet lines are
+    better read again, column by column.
+    """
+    if not stage_lines:
+        yield pos
+        return
+    spark = pos.sparkSession
+    path = scratch_path(spark, "lines")
+    pos.write.parquet(path)
+    try:
+        yield spark.read.schema(pos.schema).parquet(path)
+    finally:
+        remove_path(spark, path)
+
+
+def pos_to_files(pos: DataFrame, node_dir: str, relation_dir: str, purchase_grain: str = "receipt",
+                 visit_grain: str = "store_day", stage_lines: bool = True) -> dict[str, DataFrame]:
     """Write persons/products/stores under ``node_dir`` and purchases/visits
     under ``relation_dir`` (JSON lines), then return the three reports (lazy)
-    computed from the written edges, so reports and files agree."""
-    frames = stage1_frames(pos, purchase_grain, visit_grain)
-    jsonl.write_frames({k: frames[k] for k in ("persons", "products", "stores")}, node_dir)
-    jsonl.write_frames({k: frames[k] for k in ("purchases", "visits")}, relation_dir)
+    computed from the written edges, so reports and files agree.  With
+    ``stage_lines`` the plan of ``pos`` runs once for the five sinks."""
+    with _staged(pos, stage_lines) as lines:
+        frames = stage1_frames(lines, purchase_grain, visit_grain)
+        jsonl.write_frames({k: frames[k] for k in ("persons", "products", "stores")}, node_dir)
+        jsonl.write_frames({k: frames[k] for k in ("purchases", "visits")}, relation_dir)
     spark = pos.sparkSession
     purchases, _ = jsonl.read_flat(spark, os.path.join(relation_dir, "purchases.json"), "purchases")
     visits, _ = jsonl.read_flat(spark, os.path.join(relation_dir, "visits.json"), "visits")
     return reports.analyze_relationships(purchases, visits)
 
 
+def _flat_files(spark: SparkSession, node_dir: str, relation_dir: str
+                ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The five flat frames of the JSON lines, and the lines that do not parse."""
+    flat, bad = {}, {}
+    for kind, d in (("persons", node_dir), ("products", node_dir), ("stores", node_dir),
+                    ("purchases", relation_dir), ("visits", relation_dir)):
+        flat[kind], bad[f"{kind}_lines"] = jsonl.read_flat(spark, os.path.join(d, f"{kind}.json"), kind)
+    return flat, bad
+
+
+def _stored_nodes(persons: DataFrame, products: DataFrame, stores: DataFrame, root: str
+                  ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Node tables written under ``root`` and read back, and their rejects.
+
+    Edges semi-join the stored nodes: the deduplication is not repeated, and
+    both sides of the join are plain exchanges, which AQE splits for a hot key.
+    """
+    spark = persons.sparkSession
+    made = {"person": graph.person_props(persons), "product": graph.product_props(products),
+            "store": graph.store_props(stores)}
+    _write_all({k: good for k, (good, _) in made.items()}, root)
+    return {k: store.read_table(spark, root, k) for k in made}, {k: bad for k, (_, bad) in made.items()}
+
+
+def _graph(frames: dict[str, DataFrame], root: str) -> tuple[Graph, dict[str, DataFrame]]:
+    """Stored nodes and lazy edges of flat stage-1 frames."""
+    n, rejects = _stored_nodes(frames["persons"], frames["products"], frames["stores"], root)
+    purchase, rejects["purchase"] = graph.purchase_edges(frames["purchases"], n["person"], n["product"])
+    visit, rejects["visit"] = graph.visit_edges(frames["visits"], n["person"], n["store"])
+    return Graph(n["person"], n["product"], n["store"], purchase, visit), rejects
+
+
+def _write_edges(g: Graph, root: str) -> None:
+    _write_all({"purchase": g.purchase, "visit": g.visit}, root)
+    store.write_indexes(store.read_table(g.purchase.sparkSession, root, "purchase"), root)
+
+
 def graph_from_files(spark: SparkSession, node_dir: str, relation_dir: str
                      ) -> tuple[Graph, dict[str, DataFrame]]:
-    """Load the JSON lines of stage 1 into graph tables.
+    """Load the JSON lines of stage 1 into graph tables (nodes in scratch tables, edges lazy).
 
     Returns (graph, rejects); rejects holds malformed lines (``*_lines``) and
     rows missing a required field, per table.
     """
-    flat, bad_lines = {}, {}
-    for kind, d in (("persons", node_dir), ("products", node_dir), ("stores", node_dir),
-                    ("purchases", relation_dir), ("visits", relation_dir)):
-        flat[kind], bad_lines[kind] = jsonl.read_flat(spark, os.path.join(d, f"{kind}.json"), kind)
-    g, rejects = build_graph(flat["persons"], flat["products"], flat["stores"],
-                             flat["purchases"], flat["visits"])
-    rejects.update({f"{k}_lines": v for k, v in bad_lines.items()})
-    return g, rejects
+    flat, bad = _flat_files(spark, node_dir, relation_dir)
+    g, rejects = _graph(flat, scratch_path(spark, "nodes"))
+    return g, rejects | bad
+
+
+def load_files(spark: SparkSession, node_dir: str, relation_dir: str, root: str) -> dict[str, DataFrame]:
+    """C7 into ``root``, replacing all tables and indexes there; returns the rejects."""
+    flat, bad = _flat_files(spark, node_dir, relation_dir)
+    g, rejects = _graph(flat, root)
+    _write_edges(g, root)
+    return rejects | bad
 
 
 def graph_from_pos(pos: DataFrame, purchase_grain: str = "line",
@@ -63,20 +127,20 @@ def graph_from_pos(pos: DataFrame, purchase_grain: str = "line",
     keeps all of them.  At ``receipt`` grain the stage-1 frame (one line per
     receipt) is loaded, exactly as the file-based chain does.
     """
-    if purchase_grain == "line":
-        purchases = edges.purchase_lines(pos, "line")
-    else:
-        purchases = edges.purchases(pos, purchase_grain)
-    return build_graph(nodes.persons(pos), nodes.products(pos), nodes.stores(pos),
-                       purchases, edges.visits(pos, visit_grain))
+    return _graph(_flat_pos(pos, purchase_grain, visit_grain), scratch_path(pos.sparkSession, "nodes"))
+
+
+def _flat_pos(pos: DataFrame, purchase_grain: str, visit_grain: str) -> dict[str, DataFrame]:
+    """Flat frames of POS lines; at line grain every sales line is a purchase."""
+    lines = edges.purchase_lines(pos, "line") if purchase_grain == "line" else edges.purchases(pos, purchase_grain)
+    return {"persons": nodes.persons(pos), "products": nodes.products(pos), "stores": nodes.stores(pos),
+            "purchases": lines, "visits": edges.visits(pos, visit_grain)}
 
 
 def _write_all(tables: dict[str, DataFrame], root: str) -> None:
     """Write independent tables as concurrent Spark jobs (one driver thread each)."""
     from concurrent.futures import ThreadPoolExecutor
 
-    from posgraph.sources import store
-
     with ThreadPoolExecutor(max_workers=len(tables)) as pool:
         futures = [pool.submit(store.write_table, df, f"{root}/{name}", name) for name, df in tables.items()]
         for f in futures:
@@ -84,43 +148,21 @@ def _write_all(tables: dict[str, DataFrame], root: str) -> None:
 
 
 def materialize_graph(pos: DataFrame, root: str, purchase_grain: str = "line",
-                      visit_grain: str = "store_day") -> str:
-    """Build and write the graph tables under ``root`` in stages.
+                      visit_grain: str = "store_day", stage_lines: bool = False) -> str:
+    """Build and write the graph tables under ``root`` in stages, replacing what is there.
 
-    1. the sales lines are written once (``{root}/_lines``): the expensive
-       upstream plan (scan + joins) runs a single time and the write is a
-       durable cut of lineage — a lost executor re-reads it;
+    1. with ``stage_lines``, the sales lines are written to a scratch table
+       that is removed at the end (for lines that come out of joins);
     2. node tables are derived from the lines and written;
-    3. edge tables semi-join against the *stored* node tables, so the node
-       deduplication is not recomputed for the integrity joins;
+    3. edge tables semi-join against the *stored* node tables;
     4. the stored purchase edges are copied clustered by product (the
        reverse adjacency used by product-filtered reads), and the degree
-       index (edges per person, edges and buyers per product) is written.
+       index (edges and products per person, edges and buyers per product) is
+       written.
 
     Tables of one step are independent and are written as concurrent jobs.
     """
-    from posgraph.operators import graph as G
-    from posgraph.sources import store
-
-    spark = pos.sparkSession
-    lines_path = f"{root}/_lines"
-    pos.write.mode("overwrite").parquet(lines_path)
-    lines = spark.read.parquet(lines_path)
-
-    person, _ = G.person_props(nodes.persons(lines))
-    product, _ = G.product_props(nodes.products(lines))
-    store_t, _ = G.store_props(nodes.stores(lines))
-    _write_all({"person": person, "product": product, "store": store_t}, root)
-    person = store.read_table(spark, root, "person")
-    product = store.read_table(spark, root, "product")
-    store_t = store.read_table(spark, root, "store")
-
-    if purchase_grain == "line":
-        purchases = edges.purchase_lines(lines, "line")
-    else:
-        purchases = edges.purchases(lines, purchase_grain)
-    purchase, _ = G.purchase_edges(purchases, person, product)
-    visit, _ = G.visit_edges(edges.visits(lines, visit_grain), person, store_t)
-    _write_all({"purchase": purchase, "visit": visit}, root)
-    store.write_indexes(store.read_table(spark, root, "purchase"), root)
+    with _staged(pos, stage_lines) as lines:
+        g, _ = _graph(_flat_pos(lines, purchase_grain, visit_grain), root)
+        _write_edges(g, root)
     return root

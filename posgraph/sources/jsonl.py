@@ -40,15 +40,16 @@ def read_json_lines(spark: SparkSession, path: str, kind: str) -> tuple[DataFram
     """(good nested rows, rejected raw lines) of one node/edge set.
 
     The files are scanned as text and parsed with ``from_json`` against the
-    declared schema (JVM-side, codegen'd); a line that does not parse keeps
-    its raw text in ``_corrupt_record`` and goes to the reject frame.
+    declared schema; a line that does not parse keeps its raw text in
+    ``_corrupt_record`` and goes to the reject frame.  The parse stands in a
+    generator, so the filter on its result does not repeat it.
     """
     schema = T.StructType(NESTED[kind].fields + [T.StructField(CORRUPT, T.StringType(), True)])
     lines = (spark.read.option("pathGlobFilter", "*.json").text(path)
              .where(F.trim(F.col("value")) != ""))
     parsed = lines.select(
-        F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r"),
-        F.col("value"))
+        F.explode(F.array(F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})))
+        .alias("r"), F.col("value"))
     is_bad = F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull()
     good = parsed.where(~is_bad).select("r.*").drop(CORRUPT)
     bad = parsed.where(is_bad).select(F.input_file_name().alias("file"), F.col("value").alias(CORRUPT))

@@ -26,34 +26,27 @@ from posgraph.operators.graph import Graph, conform_table
 from posgraph.schemas import TABLE_KEYS, TABLES
 from posgraph.session import path_exists
 
-CLUSTER = {"purchase": ["person_id", "product_id"], "visit": ["person_id", "store_id"]}
+CLUSTER = {"purchase": ["person_id", "product_id", "id"], "visit": ["person_id", "store_id", "id"]}
 BY_PRODUCT = "purchase_by_product"
-BY_PRODUCT_CLUSTER = ["product_id", "person_id"]
+BY_PRODUCT_CLUSTER = ["product_id", "person_id", "id"]
 
 
 def write_table(df: DataFrame, path: str, name: str, cluster: list[str] | None = None) -> str:
     df = conform_table(df, name)
     cluster = cluster or CLUSTER.get(name)
     if cluster:
-        # Range partitioning on (key, second key): files hold contiguous key
-        # ranges, and a key with a third of all edges is split over several
-        # files by the second key instead of landing in one task.
+        # Range partitioning on (key, second key, id): files hold contiguous
+        # key ranges, and a key or a pair with a third of all edges is split
+        # over several files instead of landing in one task.
         df = df.repartitionByRange(*cluster).sortWithinPartitions(*cluster)
     df.write.mode("overwrite").parquet(path)
     return path
 
 
-DEGREE_SCHEMAS = {"person_degree": "person_id string, n bigint",
+DEGREE_SCHEMAS = {"person_degree": "person_id string, n bigint, items bigint",
                   "product_degree": "product_id string, edges bigint, buyers bigint"}
 
 
-def write_degrees(purchase: DataFrame, root: str) -> None:
-    """The degree index: edges per person, edges and buyers per product."""
-    from posgraph.operators.graph import person_degree, product_degree
-    person_degree(purchase).write.mode("overwrite").parquet(os.path.join(root, "person_degree"))
-    product_degree(purchase).write.mode("overwrite").parquet(os.path.join(root, "product_degree"))
-
-
 def write_indexes(purchase: DataFrame, root: str) -> None:
     """Reverse adjacency and degree index of stored purchase edges, as concurrent jobs."""
     from concurrent.futures import ThreadPoolExecutor
@@ -75,9 +68,10 @@ def write_purchases_by_product(purchase: DataFrame, root: str) -> str:
 
 
 def write_graph(g: Graph, root: str) -> str:
-    """S9 + load: replace every table under ``root``."""
+    """S9 + load: replace everything under ``root``, the tables and the indexes made from them."""
     for name, df in g.tables().items():
         write_table(df, os.path.join(root, name), name)
+    write_indexes(read_table(g.purchase.sparkSession, root, "purchase"), root)
     return root
 
 

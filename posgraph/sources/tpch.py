@@ -2,10 +2,10 @@
 
 The mapping is a fixed specification (the same one the SQL oracle uses as a
 CTE), so both engines see identical POS rows.  It is a plain join plan:
-lineitem x orders on the order key (the one big/big join, sort-merge on the
-order key at scale; lineitem is hash-partitioned on that key up front), then customer and part on their keys (AQE picks the
-strategy at runtime from real sizes), then two lookups into ``nation`` which
-has 25 rows by definition of the schema and is broadcast.
+orders take their customer and two lookups into ``nation`` first (25 rows by
+definition of the schema, broadcast), then meet lineitem on the order key (the
+one big/big join, sort-merge at scale; lineitem is hash-partitioned on that key
+up front), then part (AQE picks the strategies at run time from real sizes).
 
 Rules built into the mapping: every tenth receipt is anonymous; some birth
 months are null; some dates are null or malformed; schedule price and discount
@@ -59,11 +59,10 @@ def pos_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     ck = F.col("c.c_custkey")
     pk = F.col("p.p_partkey")
     joined = (
-        l.join(o, F.col("l.l_orderkey") == ok)
-        .join(c, ck == F.col("o.o_custkey"))
+        l.join(o.join(c, ck == F.col("o.o_custkey"))
+               .join(cn, F.col("cn_key") == F.col("c.c_nationkey"))
+               .join(sn, F.col("sn_key") == ok % 25), F.col("l.l_orderkey") == ok)
         .join(p, pk == F.col("l.l_partkey"))
-        .join(cn, F.col("cn_key") == F.col("c.c_nationkey"))
-        .join(sn, F.col("sn_key") == ok % 25)
     )
 
     seg = F.col("c.c_mktsegment")

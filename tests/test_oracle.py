@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as E
 from checks.compare import duck, rows_of
+from posgraph.plans.catalog import QUERIES
 from tests.conftest import SF_SMALL
 
-KEYS = sorted(E.queries())
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(QUERIES) <= set(E.oracle_sql()) and set(QUERIES) <= set(E.queries())
 
 
 def test_entry_runs(spark):

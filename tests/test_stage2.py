@@ -121,6 +121,27 @@ def test_upsert_replaces_by_key_and_keeps_the_rest(spark):
         {"P1": "old", "P2": "keep"}
 
 
+def test_write_graph_replaces_the_indexes_too(spark):
+    from posgraph.operators import lookups
+    rows = [{"CUSTOMER_ID": f"C{i % 3}", "ITEM_CD_UNIQUE": f"P{i % 4}", "RECEIPT_NO": str(i)} for i in range(12)]
+    root = pipeline.materialize_graph(pos_frame(spark, rows), _tmp())
+    g, _ = pipeline.graph_from_pos(pos_frame(spark, [{"CUSTOMER_ID": "N", "ITEM_CD_UNIQUE": "Q", "RECEIPT_NO": "1"}]))
+    store.write_graph(g, root)
+    g = store.read_graph(spark, root)
+    assert g.purchase.count() == g.purchase_by_product.count() == 1
+    assert [tuple(r) for r in g.person_degree.collect()] == [("N", 1, 1)]
+    assert [r.person_id for r in lookups.product_purchasers(g, "Q").collect()] == ["N"]
+
+
+def test_stage1_runs_its_source_once(spark):
+    path = os.path.join(_tmp(), "pos")
+    pos_frame(spark, [{"CUSTOMER_ID": f"C{i}", "RECEIPT_NO": str(i)} for i in range(5)]).write.parquet(path)
+    with pipeline._staged(spark.read.parquet(path), True) as lines:
+        assert all("lines-" in f for f in lines.inputFiles()) and lines.count() == 5
+        scratch = os.path.dirname(lines.inputFiles()[0]).removeprefix("file://")
+    assert not os.path.exists(scratch)  # removed afterwards
+
+
 def test_stored_graph_has_no_dangling_edges(spark):
     df = pos_frame(spark, [{"CUSTOMER_ID": f"C{i % 3}", "ITEM_CD_UNIQUE": f"P{i % 4}",
                             "RECEIPT_NO": str(i)} for i in range(12)])

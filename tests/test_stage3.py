@@ -139,7 +139,7 @@ def test_association_rules_brute_force_with_and_without_prefilter(spark, seed):
         got = {(r.antecedent_id, r.consequent_id): (r.support, r.confidence, r.lift) for r in got.collect()}
         assert got.keys() == want.keys()
         for k in want:
-            assert got[k] == pytest.approx(want[k])
+            assert got[k] == pytest.approx(want[k], abs=1e-6)
 
 
 def test_basket_pairs_split_equals_plain_pairs(spark):
@@ -234,12 +234,13 @@ def test_skew_and_fallback_paths_give_the_same_answers(spark):
     }
     plain = {k: sorted(tuple(r) for r in f().collect()) for k, f in runs.items()}
     spark.conf.set("posgraph.skew.rowsPerTask", "2")
-    spark.conf.set("posgraph.broadcast.maxRows", "0")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         forced = {k: sorted(tuple(r) for r in f().collect()) for k, f in runs.items()}
     finally:
         spark.conf.unset("posgraph.skew.rowsPerTask")
-        spark.conf.unset("posgraph.broadcast.maxRows")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     for k in runs:
         assert forced[k] == plain[k], k
 
@@ -271,3 +272,46 @@ def test_buyer_counting_similarity_is_a_jaccard_index(spark, seed):
     assert s and all(x is not None and 0.0 < x <= 1.0 for x in s)
     us = [r.similarity for r in recommend.user_similarity(g, rows[0][0]).collect()]
     assert us and all(0.0 <= x <= 1.0 for x in us)
+
+
+def test_limit_zero_gives_no_rows(spark):
+    from posgraph.operators import reports
+    g = graph_of(spark, [("T", "A", "1", "x"), ("T", "B", "2", "x"), ("U", "A", "3", "x"), ("U", "C", "4", "x")])
+    frames = [lookups.person_purchases(g, "T", 0), lookups.person_purchases_all(g, 0), lookups.product_purchasers(g, "A", 0),
+              lookups.product_purchasers_all(g, 0), recommend.related_products(g, "A", 0),
+              recommend.user_recommendations(g, "T", 0), recommend.item_recommendations(g, "T", 0),
+              recommend.association_rules(g, 0.0, 0.0, 0),
+              reports.top_products(spark.createDataFrame([("A", 1, 1)], "product_id string, purchase_details_quantity int, "
+                                                         "purchase_details_amount int"), 0)]
+    assert [f.count() for f in frames] == [0] * len(frames)
+
+
+@pytest.mark.parametrize("threshold", [0.0, 0.05])
+def test_user_cf_rows_are_in_order_and_exact(spark, threshold):
+    rows = _random_graph(4)
+    g = graph_of(spark, rows)
+    target = rows[0][0]
+    got = recommend.user_recommendations(g, target, 5, threshold).collect()
+    key = [(-r.recommendation_score, r.product_id, -r.similarity, r.similar_user_id) for r in got]
+    assert key == sorted(key) and [r["rank"] for r in got] == sorted(r["rank"] for r in got)
+    baskets = defaultdict(set)
+    for p, q, *_ in rows:
+        baskets[p].add(q)
+    mine = baskets[target]
+    sim = {p: len(b & mine) / len(b | mine) for p, b in baskets.items() if p != target}
+    for r in got:
+        users = [p for p in sim if r.product_id in baskets[p] and sim[p] >= threshold]
+        assert r.purchase_count == len(users) and r.similarity == sim[r.similar_user_id]
+        assert r.recommendation_score == pytest.approx(sum(sim[p] for p in users) * math.log(len(users) + 1), rel=1e-12)
+
+
+def test_rules_are_in_order_and_small_supports_survive(spark):
+    rows = _random_graph(6)
+    g = graph_of(spark, rows)
+    got = recommend.association_rules(g, 0.0, 0.0, 10).collect()
+    key = [(-r.lift, r.antecedent_id, r.consequent_id) for r in got]
+    assert key == sorted(key) and [r["rank"] for r in got] == list(range(1, len(got) + 1))
+    g = graph_of(spark, [("T", "A", "1", "x"), ("T", "B", "2", "x")])
+    g.person = spark.range(4_000_000).select(F.col("id").cast("string").alias("id"))
+    r = recommend.association_rules(g, 0.0, 0.0, 10).collect()
+    assert [x.support for x in r] == [1 / 4_000_000]
