@@ -14,10 +14,9 @@ documents are linked when 100 * |intersection| >= 75 * |union|.
    left as soon as its members are connected (the depth adapts to the region):
    first every document with its smallest region centre (the smallest id of the
    region); then, in regions still open, with all their centres; then with the
-   centre of the members that share the longest prefix (4 to 12 values); last,
-   the pairs of members from different components whose distances to the centre
-   differ by no more than 0.25.  Jaccard distance obeys the triangle
-   inequality, so the pairs left out there cannot be links.
+   centre of the members that share the longest prefix (4 to 12 values).
+   Members that still lie in different components go through an exact prefix
+   filter (``prefix_pairs``), which leaves out only pairs that cannot be links.
 
 No pairs inside a connected group are made, so a group of n copies costs about
 n comparisons; centres come from partial aggregates, never from one task
@@ -36,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from posgraph.llm.common import drop_ids, may_contain, stored
@@ -162,6 +161,68 @@ def _labelled(members: DataFrame, comp: DataFrame) -> DataFrame:
     return known.join(open_regions, "region")
 
 
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per distinct shingle of each document; ``sid`` tells apart rows that repeat a doc_id."""
+    for batch in batches:
+        for first, texts in chunks(batch):
+            sets = shingle_sets(texts)
+            size = np.array([len(s) for s in sets])
+            sid = [int(np.add.reduce(mix(s ^ np.uint64(0x51))).astype(np.int64)) if len(s) else 0 for s in sets]
+            ids = batch["doc_id"].slice(first, len(texts))
+            rows = pa.array(np.repeat(np.arange(len(sets)), size))
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(rows), batch["component"].slice(first, len(texts)).take(rows),
+                 batch["residual"].slice(first, len(texts)).take(rows), pa.array(sid, pa.int64()).take(rows),
+                 pa.array(np.repeat(size, size)), pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))],
+                ["doc_id", "component", "residual", "sid", "n", "shingle"])
+
+
+def prefix_pairs(docs: DataFrame, left: DataFrame) -> DataFrame:
+    """Pairs (a, b) that may still be links, among members of open regions (``left``).
+
+    An exact prefix filter, for the pairs with one end outside the largest
+    component of a region.  Shingles are ordered by their frequency among the
+    open documents, rarest first.  With |x| >= |y| a link needs a shingle among
+    the first |x| - ceil(3|x|/4) + 1 of x and the first |y| - ceil(6|y|/7) + 1 of
+    y, and from there on enough shingles on both sides for an intersection of
+    3/7 (|x| + |y|).  The latter bounds the partner's size, so each shingle of
+    the outside document is joined on (shingle, size class) with the classes
+    that its place still allows: copies with edits of their own do not meet.
+    """
+    main = (left.groupBy("region", "component").count().groupBy("region")
+            .agg(F.max_by("component", F.struct("count", "component")).alias("main")))
+    members = (left.join(main, "region").groupBy("doc_id", "component")
+               .agg(F.max(F.col("component") != F.col("main")).alias("residual")))
+    members = stored(members, "members")
+    texts = may_contain(docs, F.col("doc_id"), members.select("doc_id")).where("_may").select("doc_id", "text")
+    tokens = stored(texts.join(members, "doc_id").mapInArrow(
+        _tokens, "doc_id long, component long, residual boolean, sid long, n long, shingle long"), "tokens")
+    df = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
+    order = Window.partitionBy("doc_id", "sid").orderBy("df", "shingle")
+    size_class = lambda n: F.floor(F.log(n.cast("double")) * 33).cast("int")
+    n, rest = F.col("n"), F.col("n") - F.col("p") + 1
+    head = (tokens.join(df, "shingle").withColumn("p", F.row_number().over(order))
+            .where("df > 1 and p <= n - ceil(3 * n / 4) + 1"))
+    head = stored(head.withColumn("short", F.expr("p <= n - ceil(6 * n / 7) + 1")).withColumn("rest", rest)
+                  .withColumn("most", F.expr("(7 * rest - 3 * n) div 3")), "prefixes")  # the largest partner that the place allows
+
+    def ends(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.col("doc_id").alias(name), F.col("component").alias(f"c{name}"), F.col("n").alias(f"n{name}"),
+                         F.col("rest").alias(f"r{name}"), "shingle", "slot")
+
+    def meet(outside: DataFrame, low, high, others: DataFrame, larger: str) -> DataFrame:
+        x = outside.withColumn("lo", low).withColumn("hi", F.least(high, F.col("most"))).where("lo <= hi")
+        x = x.withColumn("slot", F.explode(F.sequence(size_class(F.col("lo")), size_class(F.col("hi")))))
+        y = others.withColumn("slot", size_class(n))
+        return ends(x, "x").join(ends(y, "y"), ["shingle", "slot"]).where(
+            f"x <> y and cx <> cy and 7 * least(rx, ry) >= 3 * (nx + ny) and {larger}").select(
+            F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
+    outside = head.where("residual")
+    as_larger = meet(outside, F.ceil(n * 3 / 4), n, head.where("short"), "nx >= ny and 4 * ny >= 3 * nx")
+    as_smaller = meet(outside.where("short"), n, F.floor(n * 4 / 3), head, "nx <= ny and 4 * nx >= 3 * ny")
+    return as_larger.unionAll(as_smaller).distinct()
+
+
 def link_classes(docs: DataFrame, sketch: DataFrame, extra: DataFrame) -> DataFrame:
     """(id, component) over the class representatives in ``sketch``; ``extra`` are given edges (a, b)."""
     bands = _bands(sketch)
@@ -194,17 +255,8 @@ def link_classes(docs: DataFrame, sketch: DataFrame, extra: DataFrame) -> DataFr
     near = near.groupBy("doc_id", "t").agg(F.max_by("c.doc_id", "k").alias("centre"))
     seen, comp = step(seen, near.select(F.greatest("doc_id", "centre").alias("a"), F.least("doc_id", "centre").alias("b")))
 
-    # What is still open: members of different components, as far as the triangle inequality allows a link.
-    left = stored(_labelled(left.drop("component"), comp), "open")
-    far = F.coalesce(1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common")), F.lit(0.0))
-    left = (left.join(seen.withColumnsRenamed({"a": "doc_id", "b": "centre"}), ["doc_id", "centre"], "left")
-            .select("region", "doc_id", "n_shingles", "component", far.alias("d")))
-    x = left.toDF("region", "a", "na", "ca", "da").withColumn("slot", F.floor(F.col("da") * 4).cast("int"))
-    y = (left.toDF("region", "b", "nb", "cb", "db").withColumn("at", F.floor(F.col("db") * 4).cast("int"))
-         .withColumn("slot", F.explode(F.expr("array(at - 1, at, at + 1)"))))
-    rest = x.join(y, ["region", "slot"]).where(
-        f"a > b and ca <> cb and abs(da - db) <= 0.250000001 and 100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
-    return step(seen, rest.select("a", "b"))[1]
+    left = _labelled(left.drop("component"), comp)
+    return step(seen, stored(prefix_pairs(docs, stored(left, "open")), "pairs"))[1]
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
