@@ -94,8 +94,10 @@ ORACLE = {
     "op7_substrings": r"""
         WITH t AS (SELECT doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS x,
                      octet_length(encode(coalesce(text, ''))) AS n FROM documents),
-        w AS (SELECT doc_id, n, unnest(range(0, n - 49)) AS s, x FROM t WHERE n >= 50),
-        h AS (SELECT doc_id, s, md5(x[2 * s + 1:2 * s + 100]) AS m FROM w),
+        c AS (SELECT doc_id, n, x, unnest(range(0, n - 49, 500)) AS base FROM t WHERE n >= 50),
+        p AS (SELECT doc_id, base, least(500, n - 49 - base) AS k, x[2 * base + 1:2 * (base + 549)] AS y FROM c),
+        w AS (SELECT doc_id, base, unnest(range(0, k)) AS i, y FROM p),
+        h AS (SELECT doc_id, base + i AS s, md5(y[2 * i + 1:2 * i + 100]) AS m FROM w),
         f AS (SELECT m, min(doc_id) AS lo FROM h GROUP BY m),
         r AS (SELECT doc_id, s FROM h JOIN f USING (m) WHERE doc_id > lo),
         g AS (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 50 THEN 0 ELSE 1 END AS fresh FROM r),
