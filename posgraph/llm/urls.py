@@ -39,7 +39,8 @@ LABELLED = [
     ("http://casino-jackpot.test/en/12", 1), ("https://win-casino.example/fr/7", 1),
     ("http://poker-bets.example/table/4", 1), ("https://free-bets-now.test/de/3", 1), ("http://sports-bets.example/es/9", 1),
     ("http://adult-videos.example/watch/1", 1), ("https://adult-x-club.test/en/55", 1), ("http://xxx-adult.example/12", 1),
-    ("https://m.adult-cams.example/live", 1), ("http://cheap-pills-shop.example/buy", 1),
+    ("https://m.adult-cams.example/live", 1), ("https://www.adult-shop.example/catalog", 1), ("http://adult.test/gallery", 1),
+    ("http://cheap-pills-shop.example/buy", 1),
     ("https://pills-cheap.test/en/8", 1), ("http://online-pills.example/order/2", 1), ("http://cheap-meds.example/fr/4", 1),
     ("http://spam-link-farm.example/en/31", 1), ("https://link-farm.test/de/6", 1), ("http://seo-spam.example/page/7", 1),
     ("http://ads-tracker.example/pixel", 1), ("https://track-ads.test/click/9", 1), ("http://ads-server.example/en/2", 1),
