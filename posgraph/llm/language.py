@@ -31,6 +31,7 @@ TRAIN_PER_LANG = 400   # bounds on the texts learned from
 TRAIN_TOTAL = 4000
 MAX_LANGS = 400        # languages learned, the most frequent ones
 UNKNOWN = "und"
+_BLOCK = 1 << 18       # bytes of a text looked at together
 HELD_OUT_REST = 2
 MARGIN = 0.15          # relative loss gap below which a decision is ambiguous
 _LETTER = re.compile(r"[^\W\d_]")
@@ -38,14 +39,15 @@ _LETTER = re.compile(r"[^\W\d_]")
 
 def ngrams(text: str) -> np.ndarray:
     """Length-normalised root counts of hashed 1-, 2- and 3-byte grams of a whole text."""
-    a = np.frombuffer(text.lower().encode("utf-8", "replace"), np.uint8).astype(np.uint32)
-    counts = np.bincount(a & 255, minlength=DIMS).astype(np.float32)
-    if len(a) > 1:
+    data = np.frombuffer(text.lower().encode("utf-8", "replace"), np.uint8)
+    counts = np.zeros(DIMS, np.float32)
+    for at in range(0, len(data), _BLOCK):  # grams that begin in this block
+        a = data[at:at + _BLOCK + 2].astype(np.uint32)
+        counts += np.bincount(a[:_BLOCK] & 255, minlength=DIMS)
         two = (a[:-1] * np.uint32(40503) + a[1:] * np.uint32(2654435761)) * np.uint32(2246822519)
-        counts += np.bincount(two >> np.uint32(21), minlength=DIMS)
-        if len(a) > 2:
-            three = (two[:-1] ^ (a[2:] * np.uint32(3266489917))) * np.uint32(668265263)
-            counts += np.bincount(three >> np.uint32(21), minlength=DIMS)
+        counts += np.bincount(two[:_BLOCK] >> np.uint32(21), minlength=DIMS)
+        three = (two[:-1] ^ (a[2:] * np.uint32(3266489917))) * np.uint32(668265263)
+        counts += np.bincount(three[:_BLOCK] >> np.uint32(21), minlength=DIMS)
     v = np.sqrt(counts)
     return v / max(float(np.linalg.norm(v)), 1e-9)
 

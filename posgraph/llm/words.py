@@ -70,10 +70,17 @@ def word_hashes(texts: list[bytes], between: np.ndarray = BLANK) -> tuple[np.nda
     if not blank[0]:
         turn = np.concatenate([[0], turn])
     start, end = turn[::2], turn[1::2]  # the data end with a blank
-    c = running(data)
+    hashes = np.empty(len(start), _U)
+    at = 0
+    while at < len(start):  # block by block, so that a very long text needs no long arrays of sums
+        stop = max(at + 1, int(np.searchsorted(end, start[at] + CHUNK_BYTES, "right")))
+        base = start[at]
+        c = running(data[base:end[stop - 1]])
+        hashes[at:stop] = span_hash(c, start[at:stop] - base, end[at:stop] - base)
+        at = stop
     ends = np.cumsum(sizes + 1)
     counts = np.diff(np.searchsorted(start, ends), prepend=0)
-    return span_hash(c, start, end), counts
+    return hashes, counts
 
 
 def chunks(batch: pa.RecordBatch, column: str = "text", fold: bool = False) -> Iterator[tuple[int, list[bytes]]]:
