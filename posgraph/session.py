@@ -29,10 +29,11 @@ DEFAULT_CONF = {
 
 def get_session(master: str | None = None, app_name: str = "posgraph",
                 shuffle_partitions: int | None = None,
-                extra: dict | None = None) -> SparkSession:
+                extra: dict | None = None, input_bytes: int | None = None) -> SparkSession:
     """The active session if there is one (left as configured), else a new one.
 
-    A new session gets ``DEFAULT_CONF`` and ``extra``; an existing session
+    A new session gets ``DEFAULT_CONF``, ``recommended_conf(input_bytes)`` where
+    the input volume is given, and ``extra``; an existing session
     (a cluster's) is never reconfigured, except that a checkpoint directory is
     set when none is named.
     """
@@ -44,7 +45,8 @@ def get_session(master: str | None = None, app_name: str = "posgraph",
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-    for k, v in DEFAULT_CONF.items():
+    sized = recommended_conf(input_bytes) if input_bytes else {}
+    for k, v in (DEFAULT_CONF | sized).items():
         builder = builder.config(k, v)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
