@@ -4,17 +4,17 @@ from posgraph.llm.common import tokenizer_path
 
 from tests.conftest import SF_SMALL
 from tests.llm import test_decontaminate, test_exact, test_neardup, test_packing
-from tests.llm.util import documents
+from tests.llm.util import docs, documents
 
 
 def test_stages_against_brute_force(spark, tmp_path):
-    docs, seen = documents(spark), documents(spark).count()
+    left, seen = documents(spark), documents(spark).count()
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        before = {r["doc_id"]: r for r in docs.collect()}
-        stage(spark, docs, SF_SMALL).write.parquet(str(tmp_path / name))
-        docs = spark.read.parquet(str(tmp_path / name))
-        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-        after = {r["doc_id"]: r for r in docs.collect()}
+        before = {r["doc_id"]: r for r in left.collect()}
+        stage(spark, left, SF_SMALL).write.parquet(str(tmp_path / name))
+        left = spark.read.parquet(str(tmp_path / name))
+        assert left.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        after = {r["doc_id"]: r for r in left.collect()}
         assert all(before[d] == r for d, r in after.items()) and len(after) <= seen
         pairs = [(d, r["text"]) for d, r in before.items()]
         if name == "exact":
@@ -33,21 +33,41 @@ def test_stages_against_brute_force(spark, tmp_path):
                 test_decontaminate.brute_score_fast(i, w(t or "")) >= len(i) for i in bench)}
             assert set(after) == clean
         seen = len(after)
-    rows = corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).collect()
-    test_packing.check(rows, {r["doc_id"]: r["text"] for r in docs.collect()})
+    rows = corpus_pipeline.STAGES[-1][1](spark, left, SF_SMALL).collect()
+    test_packing.check(rows, {r["doc_id"]: r["text"] for r in left.collect()})
 
 
 def test_run_equals_its_stages(spark):
     got = corpus_pipeline.run(spark, SF_SMALL)
     assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    docs = documents(spark)
+    left = documents(spark)
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, SF_SMALL)
-    want = packing.best_fit(docs, tokenizer_path())
+        left = stage(spark, left, SF_SMALL)
+    want = packing.best_fit(left, tokenizer_path())
     cols = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
 
 
+def test_odd_rows_and_clashing_columns(spark, tmp_path):
+    long = " ".join(f"word{i}" for i in range(9_000))
+    good = [(i, f"A plain sentence with words, number {i}. It goes on for a while here.") for i in range(30)]
+    df = docs(spark, good + [(50, None), (51, ""), (52, long), (53, long + " end"), (54, good[3][1] + "  "), (2, good[2][1]),
+                             (None, "One more plain sentence without an id. It stays as it is.")], clashes=True)
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        columns = df.columns
+        stage(spark, df, str(tmp_path)).write.parquet(str(tmp_path / name))
+        df = spark.read.parquet(str(tmp_path / name))
+        assert df.columns == columns
+    left = sorted(r["doc_id"] if r["doc_id"] is not None else -1 for r in df.collect())
+    assert left == [-1, *range(30), 50, 52]  # 51 equals 50, 53 is near 52, 54 equals 3, 2 came twice
+    packed = corpus_pipeline.STAGES[-1][1](spark, df, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in packed} == {None, *range(30), 50, 52}
+    kept = corpus_pipeline.STAGES[0][1](spark, df, str(tmp_path))
+    assert kept.columns == df.columns and kept.count() <= len(left)
+
+
 def test_empty_documents(spark, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF_SMALL}/{t}.parquet").limit(0).write.parquet(str(tmp_path / f"{t}.parquet"))
