@@ -4,6 +4,12 @@ Each stage takes (spark, docs, sf_dir) and returns the documents that it keeps,
 with all their columns; the last returns the packed pieces.  ``run`` writes
 every stage's result as Parquet under the shared scratch folder and reads it
 again, so a lost executor repeats no earlier stage.
+
+Odd rows go by the operators' rules: null and empty texts are scored, compared
+and packed like any other; a row without ``doc_id`` cannot be linked or reported
+and stays (but for its score, or an equal text with an id); of repeated rows one
+stays; extra columns, whatever their names, are carried through up to packing;
+empty tables give empty results.
 """
 
 from __future__ import annotations
