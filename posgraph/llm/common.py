@@ -57,14 +57,23 @@ def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.orderBy(F.xxhash64(key), F.col(key)).limit(n)
 
 
+def _bitmaps(positions: DataFrame) -> DataFrame:
+    """(_bucket, _bits): bitmaps of 4 kB over the positive longs in ``p``.
+
+    Positions are dealt out by bucket before they are gathered, so the shuffle
+    carries positions, not a set of bitmaps from every task.
+    """
+    return (positions.select("p", F.bitmap_bucket_number("p").alias("_bucket")).repartition("_bucket")
+            .groupBy("_bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_bits")))
+
+
 def bitmap(df: DataFrame, col: str, bits: int = FILTER_BITS) -> np.ndarray:
     """Packed bits with bit ``value mod bits`` set for every value of a long column."""
-    p = F.pmod(F.col(col), F.lit(bits)) + 1
-    maps = df.groupBy(F.bitmap_bucket_number(p).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(p)).alias("m"))
+    maps = _bitmaps(df.select((F.pmod(F.col(col), F.lit(bits)) + 1).alias("p")))
     size = 4096  # bytes of one bitmap: at most bits / 8 / 4096 of them reach the driver
     out = np.zeros(bits // 8, np.uint8)
     for r in maps.collect():
-        out[(r["k"] - 1) * size:r["k"] * size] = np.frombuffer(r["m"], np.uint8)
+        out[(r["_bucket"] - 1) * size:r["_bucket"] * size] = np.frombuffer(r["_bits"], np.uint8)
     return out
 
 
@@ -78,9 +87,7 @@ def may_contain(df: DataFrame, key: Column, ids: DataFrame) -> DataFrame:
     """
     def slot(c: Column) -> Column:
         return F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)) + 1
-    maps = (ids.select(slot(F.col(ids.columns[0])).alias("p"))
-            .groupBy(F.bitmap_bucket_number("p").alias("_bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_bits")))
+    maps = _bitmaps(ids.select(slot(F.col(ids.columns[0])).alias("p")))
     at = F.bitmap_bit_position("_slot")
     byte = F.conv(F.hex(F.expr("substring(_bits, cast(bitmap_bit_position(_slot) div 8 as int) + 1, 1)")), 16, 10)
     bit = F.getbit(byte.cast("int"), (at % 8).cast("int")) == 1

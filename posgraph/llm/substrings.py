@@ -44,9 +44,9 @@ WINDOW, ANCHOR = 50, 16
 _SPAN = WINDOW - ANCHOR + 1          # anchors inside a window
 _STRETCH = WINDOW + _SPAN - 1        # longest text around one anchor's windows
 HASH_BYTES = 1 << 18                 # bytes hashed at once (the arrays stay in the cache)
-CHUNK = 1 << 22                      # bytes of text settled together inside a task
+CHUNK = 1 << 21                      # bytes of text settled together inside a task
 BUCKET_BYTES = 1 << 22               # text per bucket of anchors
-BLOCK = 1 << 18                      # windows sorted at once
+BLOCK = 1 << 17                      # windows sorted at once
 BITMAP_BITS = 1 << 27                # 16 MB, whatever the input
 _U = np.uint64
 _LOW = (1 << 24) - 1
