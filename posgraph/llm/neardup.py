@@ -154,10 +154,11 @@ def _bands(sketch: DataFrame) -> DataFrame:
 
 def _labelled(members: DataFrame, comp: DataFrame) -> DataFrame:
     """Members of regions that still hold more than one component, with their component."""
-    known = (members.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-             .withColumn("component", F.coalesce("component", "doc_id")))
-    open_regions = (known.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                    .where("lo <> hi").select("region"))
+    known = stored(members.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+                   .withColumn("component", F.coalesce("component", "doc_id")), "labelled")
+    # Stored, so that the join below has a plain exchange on each side, which AQE splits for a hot region.
+    open_regions = stored(known.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                          .where("lo <> hi").select("region"), "open-regions")
     return known.join(open_regions, "region")
 
 
