@@ -29,14 +29,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written under the shared scratch folder and read back (cuts lineage)."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    before = {k: spark.conf.get(k) for k in _BATCH}
+    before = {k: spark.conf.get(k, None) for k in _BATCH}
     try:
         for k, v in _BATCH.items():
             spark.conf.set(k, v)
         df.write.parquet(path)
     finally:
         for k, v in before.items():
-            spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -63,7 +63,8 @@ def _bitmaps(positions: DataFrame) -> DataFrame:
     Positions are dealt out by bucket before they are gathered, so the shuffle
     carries positions, not a set of bitmaps from every task.
     """
-    return (positions.select("p", F.bitmap_bucket_number("p").alias("_bucket")).repartition("_bucket")
+    once = positions.select("p").distinct()  # an id on many rows counts once
+    return (once.select("p", F.bitmap_bucket_number("p").alias("_bucket")).repartition("_bucket")
             .groupBy("_bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_bits")))
 
 

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from posgraph.llm.common import drop_rows, may_contain, stored
 from posgraph.session import scratch_path
 
+ROWS_PER_SALT = 1000
 ARRIVAL = "doc_id long, sha binary, loc struct<file:long,row:long>"
 # State on disk; a partition's store is closed when its task ends, so an executor holds few at a time.
 _STATE_CONF = {
@@ -116,8 +117,14 @@ def decide(rows: DataFrame, digest_bytes: int = 32) -> DataFrame:
     texts = (texts.where("_may").select("loc", normalized(F.col("text")).cast("binary").alias("norm"))
              .join(hits, "loc"))
     texts = stored(texts, "exact-hits")
-    keepers = texts.where("loc = keep_loc").select("digest", F.col("norm").alias("keep_norm"))
-    compared = texts.join(keepers, "digest").withColumn("same", F.col("norm") == F.col("keep_norm"))
+    # A group of n rows is spread over n / ROWS_PER_SALT salts; the text that stays is repeated for each.
+    salts = F.ceil(F.col("n") / ROWS_PER_SALT).cast("int")
+    keepers = texts.where("loc = keep_loc").select(
+        "digest", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.col("norm").alias("keep_norm"))
+    salted = texts.withColumn("salt", F.pmod(_loc_key("loc"), salts).cast("int"))
+    same = F.col("norm") == F.col("keep_norm")
+    compared = stored(salted.join(keepers, ["digest", "salt"]).withColumn("same", same).drop("keep_norm", "salt")
+                      .withColumn("norm", F.when(~F.col("same"), F.col("norm"))), "exact-compared")
     other = compared.where("not same")  # equal digest, different text
     by_text = (other.groupBy("digest", "norm").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "loc")).alias("f"), F.count(F.lit(1)).alias("m")))

@@ -376,6 +376,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
                                F.sha2(F.col("text").cast("binary"), 256).alias("sha")), "facts")
     first = facts.where(f"doc_id is not null and n_bytes >= {WINDOW}").groupBy("sha").agg(
         F.min("doc_id").alias("first_id"), F.max("doc_id").alias("hi")).where("first_id <> hi").drop("hi")
+    first = stored(first, "first")  # a plain exchange on each side of the join: AQE splits a hot text
     copies = stored(facts.join(first, "sha").where("doc_id > first_id").select("doc_id", "th").distinct(), "copies")
 
     total = facts.agg(F.sum("n_bytes")).first()[0] or 0
