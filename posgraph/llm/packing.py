@@ -50,9 +50,8 @@ class Encoder:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.exact = Tokenizer.from_file(path)
+        self.path, self._exact = path, None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec["pre_tokenizer"] or {}
@@ -67,6 +66,14 @@ class Encoder:
             pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
             self.fast = tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
+    @property
+    def exact(self):
+        """The ``tokenizers`` object; loaded when a text needs it."""
+        if self._exact is None:
+            from tokenizers import Tokenizer
+            self._exact = Tokenizer.from_file(self.path)
+        return self._exact
+
     def ids(self, text: str) -> np.ndarray:
         if self.fast is not None and not (len(text) > 50000 and _LONG_BLANK.search(text)):
             try:
