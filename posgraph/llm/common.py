@@ -22,7 +22,7 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 # Rows and bytes that go to a Python worker at once while a table is stored.
-_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

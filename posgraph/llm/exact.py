@@ -36,8 +36,9 @@ _STATE_CONF = {
     "stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "stateStore.unloadOnCommit": "true",
     "stateStore.rocksdb.boundedMemoryUsage": "true",
-    "stateStore.rocksdb.maxMemoryUsageMB": "200",
-    "stateStore.rocksdb.writeBufferSizeMB": "8",
+    "stateStore.rocksdb.maxMemoryUsageMB": "64",
+    "stateStore.rocksdb.writeBufferSizeMB": "2",
+    "stateStore.rocksdb.blockCacheSizeMB": "2",
     "minBatchesToRetain": "2",
 }
 
