@@ -1,13 +1,13 @@
-"""Operator 5: benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
+"""Operator 5: benchmark decontamination by n-gram seeds and Smith-Waterman alignment.
 
 Words are runs of letters and digits (lower-cased), so case and punctuation do not
 hide a copy.  Four-word grams of the test items are looked up in every
 document: a bitmap of fixed size, broadcast to the tasks, lets through the
-grams that may occur in an item, and a join keeps those that do.  Their
-document frequencies over the whole corpus tell the rare ones: a gram is a
-seed unless it is more than ``COMMON`` times as frequent as the median gram of
-its item.  Every stretch of a document that a seed points to is aligned with
-the item on words (match 2, mismatch -1, gap -1); the score is that of the best
+grams that may occur in an item, and a join keeps those that do.  Each of them
+is a seed, however frequent it is: a copy may have kept only common grams.
+Every stretch of a document that a seed points to is aligned with the item on
+words (match 2, mismatch -1, gap -1), unless fewer than half of the item's words
+occur in it, which no score of 0.5 allows; the score is that of the best
 local alignment over that of the whole item, and 0.5 or more is contamination.
 
 Rows: one per contaminated (document, item).  A null or empty text, or an item
@@ -32,7 +32,6 @@ from posgraph.llm.common import FILTER_BITS, bitmap, drop_ids, may_contain, stor
 from posgraph.llm.words import PUNCTUATION, chunks, ngram_hashes, word_hashes
 
 GRAM = 4
-COMMON = 8
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, 1, 1
 _FOUND = "doc_id long, gram long, pos long"
@@ -106,6 +105,8 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 last_text, words = text, word_hashes([text], PUNCTUATION)[0]
             item, n = np.array(item, np.int64).view(np.uint64), len(item)
             lo, hi = max(0, (block - 1) * n), min(len(words), (block + 3) * n)
+            if np.isin(item, words[lo:hi]).sum() < THRESHOLD * n:
+                continue  # even with every word matched and no gap the score is too low
             score, end = smith_waterman(item, words[lo:hi])
             if score >= THRESHOLD * MATCH * n:
                 _, back = smith_waterman(item[::-1], words[lo:lo + end][::-1])
@@ -129,14 +130,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(place, "gram"))
     found = stored(docs.mapInArrow(_lookup(bits), _FOUND), "found")
 
-    df = found.join(place.select("gram").distinct(), "gram", "left_semi").groupBy("gram", "doc_id").agg(
-        F.lit(1).alias("one")).groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    known = place.join(df, "gram")
-    typical = known.groupBy("item").agg(F.percentile("df", 0.5).alias("typical"))
-    seeds = known.join(typical, "item").where(F.col("df") <= COMMON * F.col("typical")).select("item", "n", "at", "gram")
-
     block = F.floor((F.col("pos") - F.col("at")) / F.col("n")).alias("block")
-    stretches = found.join(seeds, "gram").select("doc_id", "item", block).distinct()
+    stretches = found.join(place, "gram").select("doc_id", "item", block).distinct()
     stretches = stored(stretches.join(items, "item").select("doc_id", "item_id", "words", "block"), "stretches")
     marked = may_contain(docs, F.col("doc_id"), stretches.select("doc_id")).where("_may").select("doc_id", "text")
     aligned = (stretches.join(marked, "doc_id").select("doc_id", "text", "item_id", "words", "block")

@@ -80,6 +80,17 @@ def test_edited_hot_and_clean(spark):
     assert {(r["score"], r["start_word"], r["end_word"]) for r in exact} == {(1.0, 20, 60)}
 
 
+def test_edited_copies_with_common_grams_only(spark):
+    item = [f"w{k}" for k in range(1, 21)]
+    edited = [f"z{k}" if k in (3, 8, 13) else w for k, w in enumerate(item)]
+    pairs = [(0, " ".join(item))] + [(d, f"a{d} b{d} " + " ".join(edited) + f" c{d}") for d in range(1, 1001)]
+    # The copy keeps common grams only; a rare gram of the item stands alone elsewhere in the document.
+    pairs.append((1001, " ".join(item[:5] + [f"f{k}" for k in range(200)] + edited)))
+    pairs.append((1002, " ".join(item[-5:])))
+    got = dc.contaminated(docs(spark, pairs), items(spark, [(7, " ".join(item))]))
+    assert {r["doc_id"]: r["score"] for r in got.collect()} == {0: 1.0} | dict.fromkeys(range(1, 1002), 0.775)
+
+
 def test_nulls_short_items_long_texts_and_clashing(spark):
     p = " ".join(passage(9))
     pairs = [(1, p), (1, p), (2, None), (3, ""), (None, p), (4, "w " * 100_000 + p), (5, "nothing here")]
