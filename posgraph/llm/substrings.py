@@ -16,9 +16,14 @@ significant digit first, and leave the sort as soon as they are alone:
    then, for those first ones, per bucket over the whole corpus.  Groups that
    are equal through 50 bytes are exactly the repeated windows.
 
-A passage in a third of all documents reaches a bucket once per task chunk,
-not once per document.  The bitmap only saves traffic: when it fills up, more
-stretches are sorted, never fewer.
+Equal stretches of a passage in a third of all documents reach a bucket once per
+task chunk, not once per document.  Those at its edges (and around short common
+phrases) differ from document to document, so an anchor can have one per
+document: anchors are counted in ``SLOTS`` slots a bucket, and a slot with more
+than ``HOT`` stretches goes to no bucket.  Its windows are dealt out one by one:
+the smallest id of every (anchor, 128-bit hash of the 50 bytes) is a partial
+aggregate, joined back to the windows.  The bitmap only saves traffic: when it
+fills up, more stretches are sorted, never fewer.
 
 Rows: every input row gives one row.  A null text is empty.  A null ``doc_id``
 is neither smaller nor larger than others, so nothing is removed from that row
@@ -46,11 +51,13 @@ _STRETCH = WINDOW + _SPAN - 1        # longest text around one anchor's windows
 HASH_BYTES = 1 << 18                 # bytes hashed at once (the arrays stay in the cache)
 CHUNK = 1 << 21                      # bytes of text settled together inside a task
 BUCKET_BYTES = 1 << 22               # text per bucket of anchors
+SLOTS = 64                           # parts of a bucket in which stretches are counted (some 4,000 in each at most, if evenly)
+HOT = 1 << 13                        # stretches of a slot above which it is settled window by window
 BLOCK = 1 << 17                      # windows sorted at once
 BITMAP_BITS = 1 << 27                # 16 MB, whatever the input
 _U = np.uint64
 _LOW = (1 << 24) - 1
-_PIECE = "doc_id long, th long, start long, stop long, bucket long, anchor long, lead int, body binary"
+_PIECE = "doc_id long, th long, start long, stop long, slot long, anchor long, lead int, body binary"
 _SPANS = "doc_id long, th long, start long, stop long"
 
 
@@ -308,14 +315,14 @@ def _pieces(bits, buckets: int):
                        "start": np.concatenate([start[rows] + first, start[ship]]),
                        "stop": np.concatenate([start[rows] + last + WINDOW, start[ship] + size[ship]])}
                 none = lambda k: nothing.cast(k)
-                tail = [pa.chunked_array([none(pa.int64()), pa.array((h[ship] % _U(buckets)).astype(np.int64))]),
+                tail = [pa.chunked_array([none(pa.int64()), pa.array((h[ship] % _U(buckets * SLOTS)).astype(np.int64))]),
                         pa.chunked_array([none(pa.int64()), pa.array(h[ship].view(np.int64))]),
                         pa.chunked_array([none(pa.int32()), pa.array(lead[ship].astype(np.int32))]),
                         pa.chunked_array([none(pa.binary()), pa.array([body[i, :size[i]].tobytes() for i in ship], pa.binary())])]
                 if n + m:
                     yield pa.RecordBatch.from_arrays([pa.array(v) for v in col.values()]
                                                      + [t.combine_chunks() for t in tail],
-                                                     [*col, "bucket", "anchor", "lead", "body"])
+                                                     [*col, "slot", "anchor", "lead", "body"])
     return make
 
 
@@ -329,6 +336,19 @@ def _settle_bucket(table: pa.Table) -> pa.Table:
                      "stop": start[rows] + last + WINDOW})
 
 
+def _settle_windows(pieces: DataFrame) -> DataFrame:
+    """The removed windows of stretches, settled by one aggregate and a join; no group is held together."""
+    window = F.expr(f"substring(body, i + 1, {WINDOW})")
+    keys = [F.xxhash64(window).alias("k1"), F.xxhash64(F.lit(1), window).alias("k2")]
+    windows = pieces.select("doc_id", "th", "start", "anchor", "body",
+                            F.explode(F.sequence(F.lit(0), F.octet_length("body") - WINDOW)).alias("i"))
+    windows = windows.select("doc_id", "th", (F.col("start") + F.col("i")).alias("start"), "anchor", *keys)
+    low = windows.groupBy("anchor", "k1", "k2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    low = stored(low.where("low <> high").drop("high"), "lowest")  # a plain exchange on each side of the join
+    return (windows.join(low, ["anchor", "k1", "k2"]).where("doc_id > low")
+            .select("doc_id", "th", "start", (F.col("start") + WINDOW).alias("stop")))
+
+
 def cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
     """(what is left of ``text`` without the spans, number of maximal spans)."""
     kept, at, runs, end = [], 0, 0, -1
@@ -364,8 +384,16 @@ def repeated_spans(docs: DataFrame, total_bytes: int) -> DataFrame:
     seen = keys.groupBy("bucket").applyInArrow(_repeated, "p long")
     bits = spark.sparkContext.broadcast(bitmap(stored(seen, "anchors"), "p", BITMAP_BITS))
     pieces = stored(docs.mapInArrow(_pieces(bits, buckets), _PIECE), "stretches")
-    local = pieces.where("bucket is null").select("doc_id", "th", "start", "stop")
-    return local.unionAll(pieces.where("bucket is not null").groupBy("bucket").applyInArrow(_settle_bucket, _SPANS))
+    local = pieces.where("slot is null").select("doc_id", "th", "start", "stop")
+    rest = pieces.where("slot is not null")
+    hot = stored(rest.groupBy("slot").count().where(F.col("count") > HOT).select("slot"), "hot")
+    if not hot.isEmpty():
+        # The bitmap tells slots apart, so all stretches of an anchor go the same way.
+        marked = may_contain(rest, F.col("slot"), hot)
+        local = local.unionAll(_settle_windows(marked.where("_may")))
+        rest = marked.where("not _may").drop("_may")
+    rest = rest.withColumn("bucket", F.col("slot") % buckets)
+    return local.unionAll(rest.groupBy("bucket").applyInArrow(_settle_bucket, _SPANS))
 
 
 def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:

@@ -48,6 +48,26 @@ def test_passages_at_and_around_the_threshold(spark, monkeypatch):
     assert rows(substrings.remove_repeats(docs(spark, pairs)), *COLS) == brute(pairs)
 
 
+def test_stretches_of_a_hot_anchor_are_not_held_together(spark, monkeypatch):
+    """A passage whose edges differ in every document: its edge anchors have a stretch per document."""
+    settle_bucket = substrings._settle_bucket
+
+    def held(table):
+        most = np.unique(table["anchor"].to_numpy(), return_counts=True)[1].max()
+        if most > 40:
+            raise ValueError(f"{most} stretches of one anchor in one table")
+        return settle_bucket(table)
+    monkeypatch.setattr(substrings, "HOT", 40, raising=False)
+    monkeypatch.setattr(substrings, "CHUNK", 2000)
+    monkeypatch.setattr(substrings, "_settle_bucket", held)
+    rng = random.Random(4)
+    some = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
+    passage, phrase, rare = some(130), some(30), some(90)
+    pairs = [(d * 7 % 300, some(60) + passage + some(60) + phrase + some(60) + (rare if d % 30 == 0 else "")) for d in range(300)]
+    pairs += [(5, pairs[9][1] + "x"), (400, pairs[9][1])]
+    assert rows(substrings.remove_repeats(docs(spark, pairs)), *COLS) == brute(pairs)
+
+
 def test_nulls_short_long_repeated_and_clashing(spark):
     text = "The quick brown fox jumps over the lazy dog and runs away from it. "
     pairs = [(3, text), (1, text + "x"), (2, None), (4, ""), (None, text), (5, text[:49]), (6, text[:50]), (6, text[:50]),
