@@ -1,7 +1,8 @@
 """Operator 5: benchmark decontamination by n-gram seeds and Smith-Waterman alignment.
 
-Words are runs of letters and digits (lower-cased), so case and punctuation do not
-hide a copy.  Four-word grams of the test items are looked up in every
+Words are runs of letters and digits (lower-cased), so case and punctuation (ASCII
+or not) do not hide a copy; in scripts written without blanks (Han, kana, Thai,
+Lao, Khmer, Myanmar) every character is a word.  Four-word grams of the test items are looked up in every
 document: a bitmap of fixed size, broadcast to the tasks, lets through the
 grams that may occur in an item, and a join keeps those that do.  Each of them
 is a seed, however frequent it is: a copy may have kept only common grams.
@@ -10,8 +11,9 @@ words (match 2, mismatch -1, gap -1), unless fewer than half of the item's words
 occur in it, which no score of 0.5 allows; the score is that of the best
 local alignment over that of the whole item, and 0.5 or more is contamination.
 
-Rows: one per contaminated (document, item).  A null or empty text, or an item
-with fewer than four words, matches nothing.  A null ``doc_id`` cannot be
+Rows: one per contaminated (document, item).  An item of one to
+three words counts only where all of it occurs as one gram (score 1).  A null
+text, or one without a word, matches nothing.  A null ``doc_id`` cannot be
 reported and stays; rows that repeat a ``doc_id`` count as one document (best
 score), as do items that repeat an ``item_id``.  Of equal scores the first
 stretch is reported.  Empty tables give no rows; extra columns are ignored by
@@ -38,9 +40,23 @@ _FOUND = "doc_id long, gram long, pos long"
 _ALIGNED = "doc_id long, item_id long, score double, start_word long, end_word long"
 
 
+_UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
+_SIGN = r"[^\p{L}\p{M}\p{N}\p{C}\x00-\x7F]"  # punctuation, symbols and blanks beyond ASCII
+
+
+def _spaced(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """``batch`` with its text lower-cased and blanks for signs and around unspaced characters."""
+    text = pc.utf8_lower(batch["text"])
+    odd = pc.fill_null(pc.match_substring_regex(text, f"{_UNSPACED}|{_SIGN}"), False)
+    if pc.any(odd).as_py():
+        some = pc.replace_substring_regex(text.filter(odd), f"{_SIGN}+", " ")
+        text = pc.replace_with_mask(text, odd, pc.replace_substring_regex(some, f"({_UNSPACED})", r" \1 "))
+    return batch.set_column(batch.schema.get_field_index("text"), "text", text)
+
+
 def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for first, texts in chunks(batch, fold=True):
+        for first, texts in chunks(_spaced(batch)):
             words, counts = word_hashes(texts, PUNCTUATION)
             edges = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([
@@ -49,32 +65,33 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every gram of every item with its place; ``n`` is the number of words of the item."""
+    """Every gram of every item with its place (a short item is one gram); ``n`` is the number of words of the item."""
     for batch in batches:
         for item, words in zip(batch["item"].to_pylist(), batch["words"].to_pylist(), strict=True):
-            g = ngram_hashes(np.array(words, np.int64).view(np.uint64), GRAM).view(np.int64)
+            g = ngram_hashes(np.array(words, np.int64).view(np.uint64), min(GRAM, len(words))).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(g), item)), pa.array(np.full(len(g), len(words))),
                  pa.array(np.arange(len(g))), pa.array(g)], ["item", "n", "at", "gram"])
 
 
-def _lookup(bits):
-    """Grams of the documents that the bitmap lets through, with their places."""
+def _lookup(bits, sizes: list[int]):
+    """Grams (of ``sizes`` words) of the documents that the bitmap lets through, with their places."""
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch["doc_id"].cast(pa.int64())
-            for first, texts in chunks(batch, fold=True):
+            for first, texts in chunks(_spaced(batch)):
                 words, counts = word_hashes(texts, PUNCTUATION)
-                g = ngram_hashes(words, GRAM)
-                slot = (g & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-                at = np.flatnonzero(bits.value[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
                 ends = np.cumsum(counts)
-                doc = np.searchsorted(ends, at, "right")
-                inside = at + GRAM <= ends[doc]
-                at, doc = at[inside], doc[inside]
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(first + doc)), pa.array(g[at].view(np.int64)),
-                     pa.array(at - (ends - counts)[doc])], ["doc_id", "gram", "pos"])
+                for size in sizes:
+                    g = ngram_hashes(words, size)
+                    slot = (g & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+                    at = np.flatnonzero(bits.value[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
+                    doc = np.searchsorted(ends, at, "right")
+                    inside = at + size <= ends[doc]
+                    at, doc = at[inside], doc[inside]
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(pa.array(first + doc)), pa.array(g[at].view(np.int64)),
+                         pa.array(at - (ends - counts)[doc])], ["doc_id", "gram", "pos"])
     return look
 
 
@@ -99,7 +116,7 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for doc_id, text, item_id, item, block in zip(
-                batch["doc_id"].to_pylist(), pc.utf8_lower(batch["text"]).cast(pa.binary()).to_pylist(),
+                batch["doc_id"].to_pylist(), _spaced(batch)["text"].cast(pa.binary()).to_pylist(),
                 batch["item_id"].to_pylist(), batch["words"].to_pylist(), batch["block"].to_pylist(), strict=True):
             if text != last_text:
                 last_text, words = text, word_hashes([text], PUNCTUATION)[0]
@@ -122,20 +139,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     items = (benchmark.select("item_id", "text").where(F.col("item_id").isNotNull())
              .mapInArrow(_item_words, "item_id long, words array<long>")
-             .where(F.size("words") >= GRAM).distinct())
+             .where(F.size("words") > 0).distinct())
     items = stored(items.withColumn("item", F.xxhash64("item_id", "words")), "items")
 
     place = stored(items.select("item", "words").mapInArrow(_grams, "item long, n long, at long, gram long"), "places")
 
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(place, "gram"))
-    found = stored(docs.mapInArrow(_lookup(bits), _FOUND), "found")
+    short = place.where(F.col("n") < GRAM)
+    sizes = [GRAM, *sorted(r["n"] for r in short.select("n").distinct().collect())]  # at most GRAM of them
+    found = stored(docs.mapInArrow(_lookup(bits, sizes), _FOUND), "found")
 
     block = F.floor((F.col("pos") - F.col("at")) / F.col("n")).alias("block")
-    stretches = found.join(place, "gram").select("doc_id", "item", block).distinct()
+    stretches = found.join(place.where(F.col("n") >= GRAM), "gram").select("doc_id", "item", block).distinct()
     stretches = stored(stretches.join(items, "item").select("doc_id", "item_id", "words", "block"), "stretches")
     marked = may_contain(docs, F.col("doc_id"), stretches.select("doc_id")).where("_may").select("doc_id", "text")
     aligned = (stretches.join(marked, "doc_id").select("doc_id", "text", "item_id", "words", "block")
                .mapInArrow(_align, _ALIGNED))
+    if len(sizes) > 1:
+        first = found.join(short.select("gram").distinct(), "gram", "left_semi").groupBy("doc_id", "gram").agg(F.min("pos").alias("pos"))
+        whole = first.join(short, "gram").join(items.select("item", "item_id"), "item")
+        aligned = aligned.unionAll(whole.select("doc_id", "item_id", F.lit(1.0), "pos", F.col("pos") + F.col("n")))
     best = F.max(F.struct("score", (-F.col("start_word")).alias("s"), "end_word")).alias("m")
     return stored(aligned.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", "m.score", (-F.col("m.s")).alias("start_word"), "m.end_word"), "contaminated")

@@ -103,6 +103,20 @@ def test_nulls_short_items_long_texts_and_clashing(spark):
     assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, 2, 3, 5]
 
 
+def test_unspaced_scripts_signs_and_short_items(spark):
+    chinese, thai = "北京大学的学生在图书馆里读书写字", "ภาษาไทยเป็นภาษาที่มีระดับเสียงของคำ"
+    bench = [(1, chinese), (2, thai), (3, "one two three four five"), (4, "lonely"), (5, "Rare pair"), (6, "three short words"), (7, "东京")]
+    pairs = [(1, "前言很短。" + chinese + "，后面还有"), (2, "x " + thai + " y"), (3, "“one”—two…three\u3000four“five”"),
+             (4, "a LONELY, word"), (5, "some rare—pair, rare pair"), (6, "three short words"), (7, "去东京玩"),
+             (8, "rare short three lonelyness pair words"), (9, chinese[:3] + "不同的内容"), (10, "东 和 京"), (11, "three short"),
+             (12, "short words")]
+    got = dc.contaminated(docs(spark, pairs), items(spark, bench)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(k, k) for k in range(1, 8)}
+    assert all(r["score"] == 1 for r in got)
+    assert {r["doc_id"]: (r["start_word"], r["end_word"]) for r in got if r["doc_id"] in (1, 4, 5, 7)} == {
+        1: (4, 20), 4: (1, 2), 5: (1, 3), 7: (1, 3)}
+
+
 def test_empty_tables(spark):
     assert dc.contaminated(docs(spark, []), items(spark, [(1, "a b c d e")])).count() == 0
     assert dc.contaminated(docs(spark, [(1, "a b c d e")]), items(spark, [])).count() == 0
