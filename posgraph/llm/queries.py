@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from posgraph.llm import decontaminate, exact, language, licenses, neardup, packing, pii, quality, substrings, urls
+from posgraph.llm import (conversations, decontaminate, divergence, exact, language, licenses, neardup, packing, pii, quality,
+                          simhash, substrings, urls)
 from posgraph.llm.common import table, tokenizer_path
+from posgraph.llm.repair_sql import repair_sql
 
 
 def op1_near_duplicates(spark, sf_dir):
@@ -48,7 +50,22 @@ def op10_quality(spark, sf_dir):
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_language, op3_licenses, op4_pii, op5_decontaminate, op6_urls, op7_substrings, op8_packing, op9_exact, op10_quality)}
+def op11_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_conversations(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair(conversations.damage(rows), rows)
+
+
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_language, op3_licenses, op4_pii, op5_decontaminate, op6_urls,
+                                   op7_substrings, op8_packing, op9_exact, op10_quality, op11_source_divergence,
+                                   op12_simhash, op13_conversations)}
 
 ORACLE = {
     "op1_near_duplicates": r"""
@@ -117,4 +134,30 @@ ORACLE = {
              g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY norm)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
         FROM t JOIN g USING (norm)""",
+    "op11_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+        w AS (SELECT r, lang, source, unnest(ws) AS term FROM d),
+        t AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM w GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+        l AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(n) AS total FROM t GROUP BY lang),
+        c AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM w SEMI JOIN t USING (lang, term) GROUP BY ALL),
+        s AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+        g AS (SELECT lang, source, coalesce(total, 0) AS total
+              FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN s USING (lang, source)),
+        p AS (SELECT g.lang, g.source, t.term, coalesce(c.n, 0) AS n,
+                     1 + 1000000000 * (coalesce(c.n, 0) + 5) // (g.total + 5 * l.v) AS p,
+                     1 + 1000000000 * (t.n + 5) // (l.total + 5 * l.v) AS q
+              FROM g JOIN t USING (lang) JOIN l USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = t.term),
+        f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+              FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+                  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+                  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+        own AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p WHERE n > 0 AND p > q),
+        o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS k
+              FROM (SELECT * FROM pairs UNION ALL SELECT * FROM own))
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(k AS INTEGER) AS rank
+        FROM o WHERE part = 'pair' OR k <= 50""",
+    "op13_conversations": repair_sql(),
 }

@@ -10,7 +10,7 @@ from tests.conftest import SF_SMALL
 
 def test_one_query_per_operator_and_the_pipeline():
     names = list(E.queries())
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")) == list(range(1, 14))
     assert "pipeline" in names and set(ORACLE) <= set(QUERIES)
 
 

@@ -1,0 +1,120 @@
+import numpy as np
+import pytest
+import xxhash
+from posgraph.llm import golay, simhash
+
+from tests.llm.util import docs, documents, words
+
+
+def fingerprint(text):
+    ws = words(text)
+    shingles = [" ".join(ws[i:i + 3]) for i in range(len(ws) - 2)] if len(ws) >= 3 else [" ".join(ws)] if ws else []
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute(rows):
+    """doc_id -> (fingerprint, component) by comparing every pair of fingerprints."""
+    prints = {i: fingerprint(t) for i, t in rows}
+    distinct = np.array(sorted(set(prints.values())), np.uint64)
+    label = np.arange(len(distinct))
+    for k, f in enumerate(distinct):
+        near = label[np.bitwise_count(distinct ^ f) <= 3]
+        label[np.isin(label, near)] = near.min()
+    of = dict(zip(distinct.tolist(), label.tolist(), strict=True))
+    low = {}
+    for i, f in prints.items():
+        low[of[f]] = min(low.get(of[f], i), i)
+    return {i: (f"{f:016x}", low[of[f]]) for i, f in prints.items()}
+
+
+def result(df):
+    return {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in df.collect()}
+
+
+def edited(n, size=400, seed=1):
+    """A text and copies with a few words replaced: fingerprints some bits apart."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{rng.integers(0, 5000)}" for _ in range(size)]
+    out = []
+    for _ in range(n):
+        copy = list(base)
+        for at in rng.integers(0, size, rng.integers(0, 5)):
+            copy[at] = f"x{rng.integers(0, 10**6)}"
+        out.append(" ".join(copy))
+    return out
+
+
+def test_golay_codewords_near_a_segment():
+    x = np.random.default_rng(2).integers(0, 1 << 23, 300).astype(np.uint32)
+    code = [c for c in (m << 11 for m in range(1 << 12))]
+    code = np.array([c | golay._remainder(c) for c in code], np.uint32)
+    found, there = golay.near_codewords(x)
+    for k in range(len(x)):
+        distance = np.bitwise_count(code ^ x[k])
+        assert set(found[k][there[k]]) == set((code[distance <= 4] >> 11).tolist())
+        assert distance.min() <= 3 and found[k, 0] == code[distance.argmin()] >> 11
+
+
+def test_linked_fingerprints_share_a_key_of_their_own():
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 1 << 64, 3000, np.uint64)
+    b = a.copy()
+    for k in range(len(b)):
+        for place in rng.choice(64, k % 4, replace=False):
+            b[k] ^= np.uint64(1) << np.uint64(place)
+    held = [{}, {}]
+    for side, prints in enumerate((a, b)):
+        for r, key, own in zip(*[v.tolist() for v in simhash.keys(prints)], strict=True):
+            held[side].setdefault(r, {})[key] = own
+    for k in range(len(a)):
+        shared = held[0][k].keys() & held[1][k].keys()
+        assert any(held[0][k][key] or held[1][k][key] for key in shared)
+
+
+@pytest.mark.parametrize("clashes", [False, True])
+def test_equals_brute_force(spark, clashes):
+    rows = [(r["doc_id"], r["text"]) for r in documents(spark).collect()]
+    rows += [(10_000 + i, t) for i, t in enumerate(edited(150))]
+    rows += [(20_000 + i, t) for i, t in enumerate(["", None, " \t", "one", "one two", "ONE  two", "one two three", "\x00", "日本 語"])]
+    got = result(simhash.near_duplicates(docs(spark, rows, clashes)))
+    want = brute(rows)
+    assert got == want
+    assert len({c for i, (_, c) in got.items() if 10_000 <= i < 20_000}) < len({got[i][0] for i in range(10_000, 10_150)})
+
+
+def test_chains_of_fingerprints(spark):
+    """Components that hold only through others, found behind hot keys: many fingerprints that share segments."""
+    rng = np.random.default_rng(8)
+    prints = {0}
+    at = 0
+    for _ in range(300):
+        at ^= sum(1 << int(b) for b in rng.choice(np.arange(0, 22), 3, replace=False))
+        prints.add(at)
+    prints |= {int(x) for x in rng.integers(0, 1 << 22, 300)}
+    prints = np.array(sorted(prints), np.uint64)
+    df = spark.createDataFrame([(int(np.int64(p.view(np.int64))),) for p in prints], "fp long")
+    none = spark.createDataFrame([], "a long, b long")
+    got = {r["id"]: r["component"] for r in simhash.links(df, none).collect()}
+    label = np.arange(len(prints))
+    for k, f in enumerate(prints):
+        near = label[np.bitwise_count(prints ^ f) <= 3]
+        label[np.isin(label, near)] = near.min()
+    assert [got.get(int(p), int(p)) for p in prints] == [int(prints[k]) for k in label]
+
+
+def test_odd_rows(spark):
+    assert simhash.near_duplicates(docs(spark, [])).collect() == []
+    text = "a b c d e"
+    rows = [(None, text), (5, text), (3, text), (7, "far other words here"), (7, text), (9, "far other words here"), (None, None)]
+    got = sorted((tuple(r) for r in simhash.near_duplicates(docs(spark, rows)).collect()), key=repr)
+    f, g = f"{fingerprint(text):016x}", f"{fingerprint('far other words here'):016x}"
+    assert got == sorted([(None, f, None), (5, f, 3), (3, f, 3), (7, g, 3), (7, f, 3), (9, g, 3), (None, "0" * 16, None)], key=repr)
+
+
+def test_long_texts_in_blocks(monkeypatch):
+    text = " ".join(f"Word{i % 97}" for i in range(3000))
+    want = fingerprint(text)
+    assert simhash.fingerprint(text.encode()) == want
+    monkeypatch.setattr(simhash, "_PIECE", 40)
+    assert simhash.fingerprint(text.encode()) == want
