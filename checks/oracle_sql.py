@@ -504,6 +504,61 @@ ORDER BY a.score DESC NULLS LAST, a.product_id ASC NULLS FIRST LIMIT 10""",
 )
 
 
+# Searches for every id divisible by 50.
+_MINE = ("mine", "SELECT person_id AS target_id, product_id FROM b WHERE TRY_CAST(person_id AS BIGINT) % 50 = 0")
+_SIMILAR = ("sims_of", """SELECT target_id, person_id, common, CAST(common AS DOUBLE) / CAST(t.n + o.n - common AS DOUBLE) AS similarity
+      FROM (SELECT m.target_id, b.person_id, count(*) AS common FROM mine m JOIN b ON b.product_id = m.product_id
+            AND b.person_id <> m.target_id GROUP BY ALL) c
+      JOIN (SELECT person_id, count(*) AS n FROM b GROUP BY ALL) o USING (person_id)
+      JOIN (SELECT person_id AS target_id, count(*) AS n FROM b GROUP BY ALL) t USING (target_id)""")
+_DEG = ("deg", "SELECT product_id, count(*) AS deg FROM purchase_t GROUP BY product_id")
+
+Q["similar_persons_batch"] = g("""
+SELECT target_id, person_id, common, round(similarity, 6) AS similarity FROM sims_of WHERE similarity >= 0.05""",
+    _B, _MINE, _SIMILAR)
+
+Q["user_recommendations_batch"] = g("""
+SELECT top.target_id, top.rank, top.product_id, p.name AS product_name, p.major_category AS category,
+ round(top.score, 6) AS recommendation_score, top.purchase_count, cand.person_id AS similar_user_id,
+ round(cand.similarity, 6) AS similarity
+FROM top JOIN cand USING (target_id, product_id) JOIN product_t p ON p.id = top.product_id""",
+    _B, _MINE, _SIMILAR,
+    ("cand", """SELECT s.target_id, b.product_id, s.person_id, s.similarity FROM b JOIN sims_of s USING (person_id)
+      WHERE s.similarity >= 0.03 AND NOT EXISTS (SELECT 1 FROM mine m WHERE m.target_id = s.target_id AND m.product_id = b.product_id)"""),
+    ("agg", """SELECT target_id, product_id, count(*) AS purchase_count,
+      CAST(sum(CAST(similarity AS DECIMAL(38,18))) AS DOUBLE) * ln(count(*) + 1) AS score FROM cand GROUP BY ALL"""),
+    ("top", """SELECT *, CAST(row_number() OVER (PARTITION BY target_id ORDER BY score DESC NULLS LAST, product_id) AS INT) AS rank
+      FROM agg QUALIFY rank <= 10"""))
+
+Q["item_recommendations_batch"] = g("""
+SELECT a.target_id, a.rank, a.product_id, p.name AS product_name, p.major_category AS category,
+ round(a.score, 6) AS recommendation_score, a.related_items_count
+FROM top a JOIN product_t p ON p.id = a.product_id""",
+    _DEG,
+    ("em", "SELECT person_id, product_id, count(*) AS m FROM purchase_t GROUP BY person_id, product_id"),
+    ("hist", f"""SELECT target_id, h, count(*) AS rep FROM (
+       SELECT person_id AS target_id, product_id AS h FROM purchase_t WHERE TRY_CAST(person_id AS BIGINT) % 50 = 0
+       QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY {_NEWEST}, product_id ASC NULLS FIRST, id ASC NULLS FIRST) <= 10)
+      GROUP BY ALL"""),
+    ("paths", """SELECT e1.product_id AS h, e2.product_id AS c, sum(e1.m * e2.m) AS paths FROM em e1 JOIN em e2 USING (person_id)
+      WHERE e1.product_id IN (SELECT h FROM hist) GROUP BY ALL"""),
+    ("sims", """SELECT target_id, c, CAST(rep * paths AS DOUBLE) / NULLIF(CAST(dh.deg + dc.deg - rep * paths AS DOUBLE), 0) AS s
+      FROM hist JOIN paths USING (h) JOIN deg dh ON dh.product_id = h JOIN deg dc ON dc.product_id = c
+      WHERE NOT EXISTS (SELECT 1 FROM hist x WHERE x.target_id = hist.target_id AND x.h = c)"""),
+    ("agg", """SELECT target_id, c AS product_id, count(*) AS related_items_count,
+      CAST(sum(CAST(s AS DECIMAL(38,18))) AS DOUBLE) * ln(count(*) + 1) AS score FROM sims WHERE s >= 0.02 GROUP BY ALL"""),
+    ("top", """SELECT *, CAST(row_number() OVER (PARTITION BY target_id ORDER BY score DESC NULLS LAST, product_id) AS INT) AS rank
+      FROM agg QUALIFY rank <= 10"""))
+
+Q["related_products_batch"] = g("""
+SELECT top.target_id, top.rank, top.product_id, p.name AS product_name, p.major_category AS category, top.frequency
+FROM top JOIN product_t p ON p.id = top.product_id""",
+    _B,
+    ("top", """SELECT *, CAST(row_number() OVER (PARTITION BY target_id ORDER BY frequency DESC, product_id) AS INT) AS rank FROM (
+       SELECT m.product_id AS target_id, b.product_id, count(*) AS frequency FROM b m JOIN b USING (person_id)
+       WHERE TRY_CAST(m.product_id AS BIGINT) % 50 = 0 AND b.product_id <> m.product_id GROUP BY ALL) QUALIFY rank <= 5"""))
+
+
 def _rules(limit: str) -> str:
     rank = """CAST(row_number() OVER (ORDER BY r.lift DESC NULLS LAST, r.antecedent_id ASC NULLS FIRST,
  r.consequent_id ASC NULLS FIRST) AS INT) AS rank, """ if limit else ""

@@ -21,9 +21,13 @@ self-join costs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+PAIR_BUCKETS = 1 << 22  # hash buckets of the first count: its bitmap has 512 kB, whatever the input
+
 
 def basket_pairs(baskets: DataFrame, person: str = "person_id", item: str = "product_id",
                  chunk: int = 2048, counts: DataFrame | None = None) -> DataFrame:
@@ -56,3 +60,28 @@ def basket_pairs(baskets: DataFrame, person: str = "person_id", item: str = "pro
         person,
         F.least("item_a", "item_b").alias("item_a"),
         F.greatest("item_a", "item_b").alias("item_b"))
+
+
+def count_pairs(pairs: DataFrame, enough: Callable[[Column], Column] | None = None, buckets: int = PAIR_BUCKETS) -> DataFrame:
+    """(item_a, item_b, n_both) of the pairs whose count is ``enough`` (of all without it).
+
+    With ``enough`` (a test that holds for every larger count too) the pairs are
+    counted twice.  The first count is by hash bucket, combined map-side to at
+    most ``buckets`` rows a task; a pair can only be frequent if its bucket is, so
+    the second, exact count sees the pairs whose bucket's bit is set.  The
+    bitmap is broadcast: ``buckets / 8`` bytes.  Where all buckets are frequent (many
+    more pairs than buckets) the result is the same and nothing is saved.
+    """
+    def counted(df: DataFrame) -> DataFrame:
+        return df.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("n_both"))
+    if enough is None:
+        return counted(pairs)
+    slot = F.pmod(F.xxhash64("item_a", "item_b"), F.lit(buckets)) + 1
+    frequent = pairs.groupBy(slot.alias("_slot")).agg(F.count(F.lit(1)).alias("n")).where(enough(F.col("n")))
+    maps = (frequent.groupBy(F.bitmap_bucket_number("_slot").alias("_bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits")))
+    at = F.bitmap_bit_position("_slot")
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(bitmap_bit_position(_slot) div 8 as int) + 1, 1)")), 16, 10)
+    likely = (pairs.withColumn("_slot", slot).withColumn("_bucket", F.bitmap_bucket_number("_slot"))
+              .join(F.broadcast(maps), "_bucket").where(F.getbit(byte.cast("int"), (at % 8).cast("int")) == 1))
+    return counted(likely.select("item_a", "item_b")).where(enough(F.col("n_both")))

@@ -16,6 +16,8 @@ size.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +29,8 @@ def rows_per_task(df: DataFrame) -> int:
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, counts: DataFrame, how: str = "inner",
-                per_task: int | None = None) -> DataFrame:
-    """``big`` join ``small`` on ``key`` with hot keys spread over several tasks.
+                per_task: int | None = None, on: Sequence[str] = ()) -> DataFrame:
+    """``big`` join ``small`` on ``key`` (and the columns ``on``) with hot keys spread over several tasks.
 
     ``counts`` is (key, n): an upper bound of the rows ``big`` has per key.
     ``how`` is ``inner`` or ``left_semi`` (rows of ``big`` are never duplicated).
@@ -45,5 +47,5 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, counts: DataFrame, h
     s = (small.join(hot, key, "left")
          .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
          .drop("_salts"))
-    return b.join(s, [key, "_salt"], how).drop("_salt")
+    return b.join(s, [key, "_salt", *on], how).drop("_salt")
 

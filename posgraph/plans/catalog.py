@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from posgraph.operators import edges, graph, lookups, nodes, recommend, reports
+from posgraph.operators import edges, graph, lookups, nodes, recommend, reports, similarity
 from posgraph.plans import pipeline
 from posgraph.plans.fixture import stored_graph
 from posgraph.session import scratch_path
@@ -298,6 +298,38 @@ def q_association_rules_all(spark, sf_dir):
     return _round(rules, "support", "confidence", "lift")
 
 
+# Searches for every id divisible by 50, against all rows.
+SIMILAR_AT, USER_CF_AT, ITEM_CF_AT = 0.05, 0.03, 0.02
+
+
+def _targets(nodes_table: DataFrame) -> DataFrame:
+    return nodes_table.where(F.col("id").try_cast("bigint") % 50 == 0).select("id")
+
+
+def q_similar_persons_batch(spark, sf_dir):
+    g = stored_graph(spark, sf_dir)
+    return _round(similarity.similar_persons(g, _targets(g.person), SIMILAR_AT), "similarity")
+
+
+def q_user_recommendations_batch(spark, sf_dir):
+    g = stored_graph(spark, sf_dir)
+    out = recommend.user_recommendations_batch(g, _targets(g.person), 10, USER_CF_AT)
+    return _round(out, "recommendation_score", "similarity")
+
+
+def q_item_recommendations_batch(spark, sf_dir):
+    """From a stored index of the history items."""
+    g = stored_graph(spark, sf_dir)
+    items = recommend.target_history(g, _targets(g.person)).select("h")
+    index = store.write_item_index(g, items, scratch_path(spark, "item-paths"))
+    return _round(recommend.item_recommendations_batch(g, _targets(g.person), 10, ITEM_CF_AT, index=index), "recommendation_score")
+
+
+def q_related_products_batch(spark, sf_dir):
+    g = stored_graph(spark, sf_dir)
+    return recommend.related_products_batch(g, _targets(g.product), 5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pos_sales": q_pos_sales,
     "pos_day_range": q_pos_day_range,
@@ -337,6 +369,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_recommendations": q_user_recommendations,
     "user_recommendations_similar": q_user_recommendations_similar,
     "item_recommendations": q_item_recommendations,
+    "similar_persons_batch": q_similar_persons_batch,
+    "user_recommendations_batch": q_user_recommendations_batch,
+    "item_recommendations_batch": q_item_recommendations_batch,
+    "related_products_batch": q_related_products_batch,
     "association_rules": q_association_rules,
     "association_rules_all": q_association_rules_all,
 }

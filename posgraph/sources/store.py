@@ -75,6 +75,15 @@ def write_graph(g: Graph, root: str) -> str:
     return root
 
 
+def write_item_index(g: Graph, items: DataFrame, path: str, counting: str = "paths") -> DataFrame:
+    """The item-item path counts of ``items``, stored sorted by item and read back (``recommend.item_recommendations_batch``)."""
+    from posgraph.operators.similarity import item_paths
+
+    rows = item_paths(g, items, counting)
+    rows.repartitionByRange("h", "c").sortWithinPartitions("h", "c").write.mode("overwrite").parquet(path)
+    return g.purchase.sparkSession.read.schema("h string, c string, paths bigint").parquet(path)
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(os.path.join(root, name))
 
