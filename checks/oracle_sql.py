@@ -379,6 +379,24 @@ SELECT * REPLACE (CAST(amount + 1 AS DECIMAL(18,2)) AS amount) FROM upd_t UNION
 SELECT * FROM base_t b WHERE NOT EXISTS (
   SELECT 1 FROM upd_t u WHERE u.person_id = b.person_id AND u.product_id = b.product_id AND u.id = b.id)""")
 
+Q["upsert_graph"] = with_(base(
+    ("person_t", _persons_of("sales")), ("product_t", _products_of("sales")),
+    ("person_e", _persons_of(_EARLY)), ("product_e", _products_of(_EARLY)), ("product_l", _products_of(_LATE)),
+    ("lines_e", _from(purchase_lines("line"), _EARLY)),
+    ("lines_l", _from(purchase_lines("line"), _LATE)),
+    ("base_t", purchase_t("lines_e", "person_e", "product_e")),
+    ("upd_t", purchase_t("lines_l")),
+    ("names", "SELECT id, name FROM product_l UNION ALL SELECT id, name FROM product_e WHERE id NOT IN (SELECT id FROM product_l)"),
+    ("merged", """SELECT * REPLACE (CAST(amount + 1 AS DECIMAL(18,2)) AS amount) FROM upd_t UNION ALL
+      SELECT * FROM base_t b WHERE NOT EXISTS (
+      SELECT 1 FROM upd_t u WHERE u.person_id = b.person_id AND u.product_id = b.product_id AND u.id = b.id)"""),
+    ("deg", "SELECT person_id, count(*) AS n, count(DISTINCT product_id) AS items FROM merged GROUP BY person_id"),
+), """
+SELECT m.product_id, any_value(names.name) AS name, count(*) AS edges, count(DISTINCT m.person_id) AS buyers, count(*) AS copied,
+ CAST(sum(m.amount) AS DECIMAL(28,2)) AS amount, count(*) AS "rows", CAST(sum(deg.n) AS BIGINT) AS buyer_edges,
+ CAST(sum(deg.items) AS BIGINT) AS buyer_items
+FROM merged m JOIN deg USING (person_id) JOIN names ON names.id = m.product_id GROUP BY m.product_id""")
+
 Q["load_twice"] = with_(base(
     ("person_e", _persons_of(_EARLY)), ("product_e", _products_of(_EARLY)),
     ("lines_e", _from(purchase_lines("line"), _EARLY)),

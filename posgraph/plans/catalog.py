@@ -222,6 +222,29 @@ def q_upsert_edges(spark, sf_dir):
     return store.upsert_table(spark, f"{root}/v1", f"{root}/v2", "purchase", updates)
 
 
+def q_upsert_graph(spark, sf_dir):
+    """The graph of the early days with the later batch merged in, as its queries see it.
+
+    Edges and buyers come from the degree index, copies and amounts from the reverse
+    copy, the rest from the edge table itself.
+    """
+    early, late = _split_days(spark, sf_dir)
+    root = scratch_path(spark, "upsert-graph")
+    pipeline.materialize_graph(early, root, stage_lines=True)
+    person, product = graph.person_props(nodes.persons(late))[0], graph.product_props(nodes.products(late))[0]
+    everyone = store.read_graph(spark, root)
+    lines, _ = graph.purchase_edges(edges.purchase_lines(late, "line"), everyone.person.unionByName(person),
+                                    everyone.product.unionByName(product))
+    lines = lines.withColumn("amount", (F.col("amount") + 1).cast("decimal(18,2)"))  # so that an update shows
+    g = store.upsert_graph(spark, root, {"person": person, "product": product, "purchase": lines})
+    copied = g.purchases_of_products().groupBy("product_id").agg(
+        F.count(F.lit(1)).alias("copied"), F.sum("amount").cast("decimal(28,2)").alias("amount"))
+    own = g.purchase.join(g.person_degree.select("person_id", "n", "items"), "person_id").groupBy("product_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("n").alias("buyer_edges"), F.sum("items").alias("buyer_items"))
+    return (g.product.select(F.col("id").alias("product_id"), "name").join(g.product_degree, "product_id")
+            .join(copied, "product_id").join(own, "product_id"))
+
+
 # ---------------------------------------------------------------- stage 3
 
 def q_person_purchases(spark, sf_dir):
@@ -357,6 +380,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_lines_load": q_json_lines_load,
     "upsert_nodes": q_upsert_nodes,
     "upsert_edges": q_upsert_edges,
+    "upsert_graph": q_upsert_graph,
     "person_purchases": q_person_purchases,
     "person_purchases_all": q_person_purchases_all,
     "product_purchasers": q_product_purchasers,

@@ -29,7 +29,7 @@ def sales(spark: SparkSession, sf_dir: str):
 def graph_root(spark: SparkSession, sf_dir: str, purchase_grain: str = "line") -> str:
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), purchase_grain)
     root = _BUILT.get(key)
-    if root is None or not path_exists(spark, os.path.join(root, "visit")):
+    if root is None or not path_exists(spark, root):
         root = materialize_graph(sales(spark, sf_dir), scratch_path(spark, "graph"), purchase_grain,
                                  stage_lines=True)
         _BUILT[key] = root

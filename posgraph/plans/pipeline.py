@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,7 +72,7 @@ def _flat_files(spark: SparkSession, node_dir: str, relation_dir: str
     return flat, bad
 
 
-def _stored_nodes(persons: DataFrame, products: DataFrame, stores: DataFrame, root: str
+def _stored_nodes(persons: DataFrame, products: DataFrame, stores: DataFrame, root: str, buckets: int | None = None
                   ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Node tables written under ``root`` and read back, and their rejects.
 
@@ -81,21 +82,29 @@ def _stored_nodes(persons: DataFrame, products: DataFrame, stores: DataFrame, ro
     spark = persons.sparkSession
     made = {"person": graph.person_props(persons), "product": graph.product_props(products),
             "store": graph.store_props(stores)}
-    _write_all({k: good for k, (good, _) in made.items()}, root)
+    _write_all({k: good for k, (good, _) in made.items()}, root, buckets)
     return {k: store.read_table(spark, root, k) for k in made}, {k: bad for k, (_, bad) in made.items()}
 
 
-def _graph(frames: dict[str, DataFrame], root: str) -> tuple[Graph, dict[str, DataFrame]]:
+def _graph(frames: dict[str, DataFrame], root: str, buckets: int | None = None) -> tuple[Graph, dict[str, DataFrame]]:
     """Stored nodes and lazy edges of flat stage-1 frames."""
-    n, rejects = _stored_nodes(frames["persons"], frames["products"], frames["stores"], root)
+    n, rejects = _stored_nodes(frames["persons"], frames["products"], frames["stores"], root, buckets)
     purchase, rejects["purchase"] = graph.purchase_edges(frames["purchases"], n["person"], n["product"])
     visit, rejects["visit"] = graph.visit_edges(frames["visits"], n["person"], n["store"])
     return Graph(n["person"], n["product"], n["store"], purchase, visit), rejects
 
 
-def _write_edges(g: Graph, root: str) -> None:
-    _write_all({"purchase": g.purchase, "visit": g.visit}, root)
-    store.write_indexes(store.read_table(g.purchase.sparkSession, root, "purchase"), root)
+def _write_edges(g: Graph, root: str, buckets: int | None = None) -> None:
+    _write_all({"purchase": g.purchase, "visit": g.visit}, root, buckets)
+    store.write_indexes(store.read_table(g.purchase.sparkSession, root, "purchase"), root, buckets)
+
+
+@contextmanager
+def _new_version(spark: SparkSession, root: str, buckets: int) -> Iterator[str]:
+    """The folder of a new version of the graph, committed when the block ends without an error."""
+    before, version = store.current(spark, root), store.new_version(root)
+    yield os.path.join(root, version)
+    store.commit(spark, root, store.whole_version(version), buckets, before)
 
 
 def graph_from_files(spark: SparkSession, node_dir: str, relation_dir: str
@@ -110,11 +119,13 @@ def graph_from_files(spark: SparkSession, node_dir: str, relation_dir: str
     return g, rejects | bad
 
 
-def load_files(spark: SparkSession, node_dir: str, relation_dir: str, root: str) -> dict[str, DataFrame]:
-    """C7 into ``root``, replacing all tables and indexes there; returns the rejects."""
+def load_files(spark: SparkSession, node_dir: str, relation_dir: str, root: str,
+               buckets: int = store.BUCKETS) -> dict[str, DataFrame]:
+    """C7 into ``root``, replacing all tables and indexes there by one commit; returns the rejects."""
     flat, bad = _flat_files(spark, node_dir, relation_dir)
-    g, rejects = _graph(flat, root)
-    _write_edges(g, root)
+    with _new_version(spark, root, buckets) as folder:
+        g, rejects = _graph(flat, folder, buckets)
+        _write_edges(g, folder, buckets)
     return rejects | bad
 
 
@@ -137,19 +148,14 @@ def _flat_pos(pos: DataFrame, purchase_grain: str, visit_grain: str) -> dict[str
             "purchases": lines, "visits": edges.visits(pos, visit_grain)}
 
 
-def _write_all(tables: dict[str, DataFrame], root: str) -> None:
-    """Write independent tables as concurrent Spark jobs (one driver thread each)."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-        futures = [pool.submit(store.write_table, df, f"{root}/{name}", name) for name, df in tables.items()]
-        for f in futures:
-            f.result()
+def _write_all(tables: dict[str, DataFrame], root: str, buckets: int | None = None) -> None:
+    """Write independent tables as concurrent Spark jobs."""
+    store.in_parallel(*[partial(store.write_table, df, f"{root}/{name}", name, buckets=buckets) for name, df in tables.items()])
 
 
 def materialize_graph(pos: DataFrame, root: str, purchase_grain: str = "line",
-                      visit_grain: str = "store_day", stage_lines: bool = False) -> str:
-    """Build and write the graph tables under ``root`` in stages, replacing what is there.
+                      visit_grain: str = "store_day", stage_lines: bool = False, buckets: int = store.BUCKETS) -> str:
+    """Build and write the graph tables under ``root`` in stages, replacing what is there by one commit.
 
     1. with ``stage_lines``, the sales lines are written to a scratch table
        that is removed at the end (for lines that come out of joins);
@@ -161,8 +167,9 @@ def materialize_graph(pos: DataFrame, root: str, purchase_grain: str = "line",
        written.
 
     Tables of one step are independent and are written as concurrent jobs.
+    Readers of ``root`` see what was there until all tables are written.
     """
-    with _staged(pos, stage_lines) as lines:
-        g, _ = _graph(_flat_pos(lines, purchase_grain, visit_grain), root)
-        _write_edges(g, root)
+    with _staged(pos, stage_lines) as lines, _new_version(pos.sparkSession, root, buckets) as folder:
+        g, _ = _graph(_flat_pos(lines, purchase_grain, visit_grain), folder, buckets)
+        _write_edges(g, folder, buckets)
     return root

@@ -121,3 +121,29 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file through the Hadoop file system, whole or not at all; one that exists raises."""
+    jvm = spark.sparkContext._jvm
+    target, part = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, os.path.join(os.path.dirname(path), f".{uuid.uuid4().hex}")))
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(part, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if fs.exists(target) or not fs.rename(part, target):
+        fs.delete(part, False)
+        raise FileExistsError(f"{path} exists: another writer was first")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file through the Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

@@ -1,39 +1,58 @@
-"""Graph store: the five flat tables as parquet, with upserts.
-
-Layout: ``{root}/{table}/part-*.parquet``.  Purchase edges are clustered by
-person (range partitioned and sorted on person and product) so a point
-lookup on a person reads few files and row groups, and the tables written by one
-build are a durable cut of lineage: a lost executor re-reads them instead of
-recomputing the POS joins.
-
-A second copy of the purchase edges, clustered by (product, person), is
-the reverse adjacency: reads filtered by product skip most row groups there.
-
-Upserts never overwrite the table being read: the merged table is written to
-a new root and the caller moves on to it (insert-or-replace by key, the last
-batch wins, like MERGE ... SET).
+"""Graph store: the five flat tables and their indexes as parquet, in versions.
+
+Layout: ``{root}/{version}/{table}/bucket=k/part-*.parquet`` and one small file
+per commit, ``{root}/_commits/{number}.json``, which names the folders that make
+up each table.  A load writes a new version folder and commits it last, so
+readers see the old graph whole until then and a failed load changes
+nothing.  Of two writers that start from the same commit the second fails.
+
+Buckets are hashes of a table's key column (purchases and visits by person, the
+product-clustered copy by product, nodes by id, degrees by their id).  Within a
+bucket edges are range partitioned and sorted on (person, product), so a
+lookup reads few row groups, and a person holding a third of all edges is
+spread over several files.  The second copy of the purchase edges, clustered
+by (product, person), is the reverse adjacency; the degree index holds edges
+and products per person, edges and buyers per product.
+
+``upsert_graph`` merges a batch (insert-or-replace by key, the last batch wins,
+like MERGE ... SET): only the buckets that hold keys of the batch are read and
+written; all others stay in the folders where they are.  The reverse copy is
+merged the same way, the degrees by the difference that the new edges make.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from posgraph.operators.dedupe import keep_one
-from posgraph.operators.graph import Graph, conform_table
+from posgraph.operators.graph import Graph, conform_table, person_degree, product_degree
 from posgraph.schemas import TABLE_KEYS, TABLES
-from posgraph.session import path_exists
+from posgraph.session import matching_paths, path_exists, put_text, read_text, remove_path, scratch_path
 
 CLUSTER = {"purchase": ["person_id", "product_id", "id"], "visit": ["person_id", "store_id", "id"]}
 BY_PRODUCT = "purchase_by_product"
 BY_PRODUCT_CLUSTER = ["product_id", "person_id", "id"]
+DEGREE_SCHEMAS = {"person_degree": "person_id string, n bigint, items bigint",
+                  "product_degree": "product_id string, edges bigint, buyers bigint"}
+NODES, EDGES = ("person", "product", "store"), ("purchase", "visit")
+BUCKET_KEY = {**dict.fromkeys(NODES, "id"), **dict.fromkeys(EDGES, "person_id"), BY_PRODUCT: "product_id",
+              "person_degree": "person_id", "product_degree": "product_id"}
+BUCKETS = 8  # by default; a batch rewrites whole buckets, so large graphs want thousands
 
 
-def write_table(df: DataFrame, path: str, name: str, cluster: list[str] | None = None) -> str:
+def write_table(df: DataFrame, path: str, name: str, cluster: list[str] | None = None, buckets: int | None = None,
+                key: str | None = None) -> str:
+    """A graph table sorted on its cluster columns, cut into ``buckets`` by ``key`` if given."""
     df = conform_table(df, name)
     cluster = cluster or CLUSTER.get(name)
+    if buckets:
+        return _write_buckets(df, path, cluster or [], key or BUCKET_KEY[name], buckets)
     if cluster:
         # Range partitioning on (key, second key, id): files hold contiguous
         # key ranges, and a key or a pair with a third of all edges is split
@@ -43,63 +62,138 @@ def write_table(df: DataFrame, path: str, name: str, cluster: list[str] | None =
     return path
 
 
-DEGREE_SCHEMAS = {"person_degree": "person_id string, n bigint, items bigint",
-                  "product_degree": "product_id string, edges bigint, buyers bigint"}
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _write_buckets(df: DataFrame, path: str, cluster: list[str], key: str, buckets: int) -> str:
+    order = ["bucket", *(cluster or [key])]
+    df = df.withColumn("bucket", bucket_of(key, buckets))
+    if cluster:
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    else:  # nodes and degrees: one row a key
+        df = df.repartition("bucket").sortWithinPartitions(*order)
+    df.write.mode("overwrite").partitionBy("bucket").parquet(path)
+    return path
 
 
-def write_indexes(purchase: DataFrame, root: str) -> None:
+def write_indexes(purchase: DataFrame, root: str, buckets: int | None = None) -> None:
     """Reverse adjacency and degree index of stored purchase edges, as concurrent jobs."""
-    from concurrent.futures import ThreadPoolExecutor
-    from posgraph.operators.graph import person_degree, product_degree
-
-    jobs = [
-        lambda: write_purchases_by_product(purchase, root),
-        lambda: person_degree(purchase).write.mode("overwrite").parquet(os.path.join(root, "person_degree")),
-        lambda: product_degree(purchase).write.mode("overwrite").parquet(os.path.join(root, "product_degree")),
-    ]
+    def degree(df: DataFrame, name: str) -> None:
+        path = os.path.join(root, name)
+        if buckets:
+            _write_buckets(df, path, [], BUCKET_KEY[name], buckets)
+        else:
+            df.write.mode("overwrite").parquet(path)
+    in_parallel(lambda: write_table(purchase, os.path.join(root, BY_PRODUCT), "purchase", BY_PRODUCT_CLUSTER, buckets,
+                                    BUCKET_KEY[BY_PRODUCT]),
+                lambda: degree(person_degree(purchase), "person_degree"),
+                lambda: degree(product_degree(purchase), "product_degree"))
+
+
+def in_parallel(*jobs) -> list:
+    """Independent Spark jobs, one driver thread each."""
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        for f in [pool.submit(j) for j in jobs]:
-            f.result()
+        return [f.result() for f in [pool.submit(j) for j in jobs]]
 
 
-def write_purchases_by_product(purchase: DataFrame, root: str) -> str:
-    """The reverse adjacency: purchase edges clustered by (product, person)."""
-    return write_table(purchase, os.path.join(root, BY_PRODUCT), "purchase", BY_PRODUCT_CLUSTER)
+# ------------------------------------------------------------------ versions
 
+def new_version(root: str) -> str:
+    """The name of a version folder, to be written and then committed."""
+    return f"v-{uuid.uuid4().hex[:12]}"
 
-def write_graph(g: Graph, root: str) -> str:
-    """S9 + load: replace everything under ``root``, the tables and the indexes made from them."""
+
+def _commits(spark: SparkSession, root: str) -> list[str]:
+    return sorted(matching_paths(spark, os.path.join(root, "_commits", "*.json")))
+
+
+def current(spark: SparkSession, root: str) -> dict | None:
+    """The latest commit: its number, bucket count and the folders of every table (None before the first)."""
+    found = _commits(spark, root)
+    return json.loads(read_text(spark, found[-1])) if found else None
+
+
+def commit(spark: SparkSession, root: str, tables: dict[str, list[str]], buckets: int | None, before: dict | None) -> int:
+    """Make ``tables`` (name -> folders under ``root``) the graph, if ``before`` is still the latest commit."""
+    number = before["number"] + 1 if before else 1
+    text = json.dumps({"number": number, "buckets": buckets, "tables": tables})
+    put_text(spark, os.path.join(root, "_commits", f"{number:012d}.json"), text)
+    return number
+
+
+def whole_version(version: str) -> dict[str, list[str]]:
+    """The tables of a version folder that a full load has written."""
+    return {name: [f"{version}/{name}"] for name in (*NODES, *EDGES, BY_PRODUCT, *DEGREE_SCHEMAS)}
+
+
+def write_graph(g: Graph, root: str, buckets: int = BUCKETS) -> str:
+    """S9 + load: a new version of everything under ``root``, the tables and the indexes made from them."""
+    spark = g.purchase.sparkSession
+    before, version = current(spark, root), new_version(root)
+    folder = os.path.join(root, version)
     for name, df in g.tables().items():
-        write_table(df, os.path.join(root, name), name)
-    write_indexes(read_table(g.purchase.sparkSession, root, "purchase"), root)
+        write_table(df, os.path.join(folder, name), name, buckets=buckets)
+    write_indexes(read_table(spark, folder, "purchase"), folder, buckets)
+    commit(spark, root, whole_version(version), buckets, before)
     return root
 
 
-def write_item_index(g: Graph, items: DataFrame, path: str, counting: str = "paths") -> DataFrame:
-    """The item-item path counts of ``items``, stored sorted by item and read back (``recommend.item_recommendations_batch``)."""
-    from posgraph.operators.similarity import item_paths
+def expire(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete the version folders that none of the last ``keep`` commits uses; returns their names.
+
+    Only while no load is under way: a version that is being written is in no commit yet.
+    """
+    found = _commits(spark, root)
+    tables = [json.loads(read_text(spark, c))["tables"] for c in found[-keep:]]
+    used = {folder.split("/")[0] for t in tables for folders in t.values() for folder in folders}
+    gone = [p for p in matching_paths(spark, os.path.join(root, "v-*")) if os.path.basename(p) not in used]
+    for path in [*gone, *found[:-keep]]:
+        remove_path(spark, path)
+    return [os.path.basename(p) for p in gone]
 
-    rows = item_paths(g, items, counting)
-    rows.repartitionByRange("h", "c").sortWithinPartitions("h", "c").write.mode("overwrite").parquet(path)
-    return g.purchase.sparkSession.read.schema("h string, c string, paths bigint").parquet(path)
+
+def _schema(name: str):
+    return DEGREE_SCHEMAS.get(name) or TABLES["purchase" if name == BY_PRODUCT else name]
+
+
+def _read_folders(spark: SparkSession, root: str, name: str, folders: list[str]) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], _schema(name))
+    df = spark.read.schema(_schema(name)).parquet(*[os.path.join(root, f) for f in folders])
+    return df.drop("bucket")
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLES[name]).parquet(os.path.join(root, name))
+    """A table of the current graph, or of a plain folder without commits."""
+    now = current(spark, root)
+    return _read_folders(spark, root, name, now["tables"][name] if now else [name])
 
 
 def read_graph(spark: SparkSession, root: str) -> Graph:
-    g = Graph(*[read_table(spark, root, n) for n in ("person", "product", "store", "purchase", "visit")])
-    by_product = os.path.join(root, BY_PRODUCT)
-    if path_exists(spark, by_product):
-        g.purchase_by_product = spark.read.schema(TABLES["purchase"]).parquet(by_product)
-    for name, schema in DEGREE_SCHEMAS.items():
-        path = os.path.join(root, name)
-        if path_exists(spark, path):
-            setattr(g, name, spark.read.schema(schema).parquet(path))
+    """The graph of the latest commit (of a plain folder of tables if there is none)."""
+    now = current(spark, root)
+    tables = now["tables"] if now else {n: [n] for n in (*NODES, *EDGES, BY_PRODUCT, *DEGREE_SCHEMAS)
+                                        if n in TABLES or path_exists(spark, os.path.join(root, n))}
+    read = {name: _read_folders(spark, root, name, folders) for name, folders in tables.items()}
+    g = Graph(*[read[n] for n in (*NODES, *EDGES)])
+    g.purchase_by_product = read.get(BY_PRODUCT)
+    for name in DEGREE_SCHEMAS:
+        setattr(g, name, read.get(name))
     return g
 
 
+def write_item_index(g: Graph, items: DataFrame, path: str, counting: str = "paths") -> DataFrame:
+    """The item-item path counts of ``items``, stored sorted by item and read back (``recommend.item_recommendations_batch``)."""
+    from posgraph.operators.similarity import item_paths
+
+    rows = item_paths(g, items, counting)
+    rows.repartitionByRange("h", "c").sortWithinPartitions("h", "c").write.mode("overwrite").parquet(path)
+    return g.purchase.sparkSession.read.schema("h string, c string, paths bigint").parquet(path)
+
+
+# ------------------------------------------------------------------ upserts
+
 def upsert(base: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     """Insert-or-replace by key: all update rows (one per key) plus base rows whose key is new.
 
@@ -117,6 +211,108 @@ def upsert_table(spark: SparkSession, root: str, new_root: str, name: str, updat
     return spark.read.schema(TABLES[name]).parquet(path)
 
 
+class _Merge:
+    """One upsert under way: a new version folder and the folders of every table after it."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+        self.before = current(spark, root)
+        if not self.before or not self.before["buckets"]:
+            raise ValueError(f"no committed graph with buckets under {root}")
+        self.buckets: int = self.before["buckets"]
+        self.tables: dict[str, list[str]] = {k: list(v) for k, v in self.before["tables"].items()}
+        self.version = new_version(root)
+
+    def folders(self, name: str) -> dict[int, str]:
+        """Bucket -> folder under the root, of the table as it now is."""
+        out = {}
+        for folder in self.tables[name]:
+            inside = [folder] if "/bucket=" in folder else [
+                f"{folder}/{os.path.basename(p)}" for p in matching_paths(self.spark, os.path.join(self.root, folder, "bucket=*"))]
+            out.update({int(f.rsplit("=", 1)[1]): f for f in inside})
+        return out
+
+    def touched(self, name: str, updates: DataFrame) -> tuple[list[int], DataFrame]:
+        """The buckets of the updates' keys (at most ``buckets`` numbers) and the rows that these now hold."""
+        rows = updates.select(bucket_of(BUCKET_KEY[name], self.buckets).alias("b")).distinct().collect()
+        have = self.folders(name)
+        numbers = sorted(r["b"] for r in rows)
+        return numbers, _read_folders(self.spark, self.root, name, [have[b] for b in numbers if b in have])
+
+    def replace(self, name: str, numbers: list[int], rows: DataFrame) -> None:
+        """Write the new rows of the buckets ``numbers``; all other buckets stay where they are."""
+        if not numbers:
+            return
+        path = os.path.join(self.root, self.version, name)
+        if name in DEGREE_SCHEMAS:
+            _write_buckets(rows, path, [], BUCKET_KEY[name], self.buckets)
+        else:
+            cluster = BY_PRODUCT_CLUSTER if name == BY_PRODUCT else None
+            write_table(rows, path, "purchase" if name == BY_PRODUCT else name, cluster, self.buckets, BUCKET_KEY[name])
+        written = {b: f"{self.version}/{name}/bucket={b}" for b in numbers}
+        self.tables[name] = [f for _, f in sorted((self.folders(name) | written).items())]
+
+    def table(self, name: str) -> DataFrame:
+        return _read_folders(self.spark, self.root, name, self.tables[name])
+
+
+def upsert_graph(spark: SparkSession, root: str, updates: dict[str, DataFrame]) -> Graph:
+    """Merge batches of node and edge rows into the graph under ``root``; one commit at the end.
+
+    ``updates`` maps table names to rows with the table's columns.  Nodes come first;
+    edges without end nodes in the merged graph are left out, as in a load.  The
+    reverse copy and the degrees follow the purchases, so every query answers
+    as on a full rebuild.
+    """
+    unknown = set(updates) - set(TABLES)
+    if unknown:
+        raise ValueError(f"no such tables: {', '.join(sorted(unknown))}")
+    m = _Merge(spark, root)
+    for name in NODES:
+        if name in updates:
+            _upsert_buckets(m, name, _staged(keep_one(conform_table(updates[name], name), TABLE_KEYS[name])))
+    for name, other in (("purchase", "product"), ("visit", "store")):
+        if name in updates:
+            rows = keep_one(conform_table(updates[name], name), TABLE_KEYS[name])
+            for node in ("person", other):
+                rows = rows.join(m.table(node).select(F.col("id").alias(f"{node}_id")), f"{node}_id", "left_semi")
+            rows = _staged(conform_table(rows, name))
+            if name == "purchase":
+                _upsert_degrees(m, rows)
+                _upsert_buckets(m, BY_PRODUCT, rows)
+            _upsert_buckets(m, name, rows)
+    commit(spark, root, m.tables, m.buckets, m.before)
+    return read_graph(spark, root)
+
+
+def _staged(rows: DataFrame) -> DataFrame:
+    """A scratch copy of a batch, which several merges read."""
+    path = scratch_path(rows.sparkSession, "batch")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _upsert_buckets(m: _Merge, name: str, rows: DataFrame) -> None:
+    numbers, base = m.touched(name, rows)
+    keys = TABLE_KEYS["purchase" if name == BY_PRODUCT else name]
+    m.replace(name, numbers, rows.unionByName(base.join(rows.select(*keys), keys, "left_anti")))
+
+
+def _upsert_degrees(m: _Merge, rows: DataFrame) -> None:
+    """Add what the batch changes: edges with new keys, and (person, product) pairs not seen before."""
+    _, base = m.touched("purchase", rows)
+    keys = TABLE_KEYS["purchase"]
+    fresh = rows.join(base.select(*keys), keys, "left_anti").groupBy("person_id", "product_id").agg(F.count(F.lit(1)).alias("edges"))
+    known = base.select("person_id", "product_id", F.lit(True).alias("known")).distinct()
+    fresh = fresh.join(known, ["person_id", "product_id"], "left").withColumn("pair", F.col("known").isNull().cast("long"))
+    fresh = _staged(fresh.drop("known"))
+    for name, (key, edges, pairs) in (("person_degree", ("person_id", "n", "items")), ("product_degree", ("product_id", "edges", "buyers"))):
+        delta = fresh.groupBy(key).agg(F.sum("edges").alias(edges), F.sum("pair").alias(pairs))
+        numbers, old = m.touched(name, delta)
+        both = old.unionByName(delta).groupBy(key).agg(F.sum(edges).alias(edges), F.sum(pairs).alias(pairs))
+        m.replace(name, numbers, both)
+
+
 def edge_ends_missing(g: Graph) -> DataFrame:
     """Integrity check: edges whose person/product/store node is absent -> (table, id)."""
     pid = g.person.select(F.col("id").alias("person_id"))
