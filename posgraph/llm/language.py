@@ -16,25 +16,25 @@ with a letter is that language.  Extra columns are ignored.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from posgraph.llm.common import id_mod
 
 DIMS = 1 << 11
-TRAIN_PER_LANG = 400   # bounds on the texts learned from
-TRAIN_TOTAL = 4000
-MAX_LANGS = 400        # languages learned, the most frequent ones
+TRAIN_PER_LANG = 400   # bounds on the texts learned from, per language
+TRAIN_TOTAL = 4000     # and in all, but one of every language at least
 UNKNOWN = "und"
 _BLOCK = 1 << 18       # bytes of a text looked at together
 HELD_OUT_REST = 2
 MARGIN = 0.15          # relative loss gap below which a decision is ambiguous
-_LETTER = re.compile(r"[^\W\d_]")
+LETTER = r"\p{L}"      # one rule for learning and predicting
+_LETTER = regex.compile(LETTER)
 
 
 def ngrams(text: str) -> np.ndarray:
@@ -117,23 +117,24 @@ def _gram_udf():
 
 
 def train(docs: DataFrame) -> Codebook:
-    """Learn from a hash sample of the labelled texts outside the held-out fold.
+    """Learn from a hash sample of the labelled texts with a letter, outside the held-out fold.
 
-    At most ``TRAIN_PER_LANG`` texts a language and ``TRAIN_TOTAL`` in all; the
-    feature vectors of that sample (8 kB each) are all the driver receives.
+    At most ``TRAIN_PER_LANG`` texts a language and ``TRAIN_TOTAL`` in all (but one
+    of every language); the feature vectors of that sample (8 kB each) are all
+    the driver receives.
     """
-    known = (docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
-                        & (id_mod("doc_id", 4) != HELD_OUT_REST)).select("doc_id", "lang"))
-    langs = [r["lang"] for r in known.groupBy("lang").count()
-             .orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
+    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(LETTER)
+                       & (id_mod("doc_id", 4) != HELD_OUT_REST))
+    langs = known.select("lang").distinct().count()
     if not langs:
         return fit(np.zeros((0, DIMS), np.float32), [])
-    per = max(1, min(TRAIN_PER_LANG, TRAIN_TOTAL // len(langs)))
+    per = max(1, min(TRAIN_PER_LANG, TRAIN_TOTAL // langs))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit("lang")), "doc_id")
-    ids = (known.where(F.col("lang").isin(langs)).withColumn("rn", F.row_number().over(order))
-           .where(F.col("rn") <= per).select("doc_id", "lang").distinct())
-    rows = (docs.select("doc_id", "lang", "text").where(F.col("text").rlike(r"\p{L}"))
-            .join(F.broadcast(ids), ["doc_id", "lang"])  # at most TRAIN_TOTAL ids
+    ids = (known.select("doc_id", "lang").distinct().withColumn("rn", F.row_number().over(order))
+           .where(F.col("rn") <= per).select("doc_id", "lang"))
+    if langs <= TRAIN_TOTAL:
+        ids = F.broadcast(ids)  # at most TRAIN_TOTAL ids
+    rows = (known.select("doc_id", "lang", "text").join(ids, ["doc_id", "lang"])
             .select("doc_id", "lang", _gram_udf()("text").alias("x"))
             .groupBy("doc_id", "lang").agg(F.min("x").alias("x")).orderBy("lang", "doc_id").collect())
     x = np.array([np.frombuffer(r["x"], np.float32) for r in rows]).reshape(-1, DIMS)

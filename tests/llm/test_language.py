@@ -66,3 +66,17 @@ def test_without_labels_and_empty(spark):
 def test_labels_of_the_held_out_fold_are_not_learned(spark):
     d = [(i, t, "zz" if fold(i) else s) for i, t, s in train_rows()]
     assert "zz" not in language.train(docs(spark, d)).langs
+
+
+def test_signs_that_are_no_letters(spark):
+    d = docs(spark, train_rows() + [(2001, "½²"), (2002, "①Ⅷ٣"), (2003, "½ x"), (2004, "ª")])
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identify(d, language.train(d)).collect()}
+    assert got[2001] == got[2002] == ("und", 0.0) and got[2003][0] != "und" and got[2004][0] != "und"
+
+
+def test_every_language_is_learned(spark):
+    """More languages than any bound on their number, and rows without a letter before those with one."""
+    known = [i for i in range(6000) if not fold(i)]
+    pairs = [(known[2 * k + j], f"{chr(0x4E00 + 7 * k) * 9} {chr(0x4E00 + 7 * k + 1) * 5}", f"l{k:03d}") for k in range(450) for j in (0, 1)]
+    book = language.train(docs(spark, pairs + [(known[1000 + i], "12 !", "rare") for i in range(600)] + [(known[1700], "a b c", "rare")]))
+    assert book.langs == [f"l{k:03d}" for k in range(450)] + ["rare"]
