@@ -82,3 +82,11 @@ def test_empty_table(spark):
 def test_plan_has_no_python(spark):
     plan = pii.scan(documents(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_digits_late_in_a_run(spark):
+    """A run is a candidate wherever its first digit stands."""
+    late, none = "Ab" * 225 + "9x7Y3", "Ab" * 300
+    pairs = [(i, f'token = "{late}{i}"') for i in range(30)] + [(100, f'token = "{none}"')]
+    got = {r["doc_id"]: (r["spans"], r["n_secret"]) for r in pii.scan(docs(spark, pairs)).collect()}
+    assert got[3] == (f"secret:9:{9 + len(late) + 1}", 1) and got[100] == ("", 0)
