@@ -25,7 +25,7 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 _BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written under the shared scratch folder and read back (cuts lineage)."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
@@ -33,7 +33,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     try:
         for k, v in _BATCH.items():
             spark.conf.set(k, v)
-        df.write.parquet(path)
+        df.write.option("compression", compression).parquet(path)
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -19,11 +19,14 @@ significant digit first, and leave the sort as soon as they are alone:
 Equal stretches of a passage in a third of all documents reach a bucket once per
 task chunk, not once per document.  Those at its edges (and around short common
 phrases) differ from document to document, so an anchor can have one per
-document: anchors are counted in ``SLOTS`` slots a bucket, and a slot with more
-than ``HOT`` stretches goes to no bucket.  Its windows are dealt out one by one:
-the smallest id of every (anchor, 128-bit hash of the 50 bytes) is a partial
-aggregate, joined back to the windows.  The bitmap only saves traffic: when it
-fills up, more stretches are sorted, never fewer.
+document.  Anchors are counted in ``SLOTS`` slots a bucket; stretches of slots with
+more than ``HOT`` of them are split by their next digit (``split_hot``): into runs of
+``STEP`` windows, keyed by the 44 bytes that all windows of a run share, at most
+``_SPAN / STEP`` = 5 rows each, and sorted in the buckets of these keys.  Runs whose
+44 bytes are still that frequent (the edges of a very frequent passage) are dealt
+out window by window: the smallest id of every (anchor, 128-bit hash of the 50
+bytes) is a partial aggregate, joined back.  Every input takes these steps.  The
+anchors' bitmap only saves traffic: when it fills up, more stretches are sorted, never fewer.
 
 Rows: every input row gives one row.  A null text is empty.  A null ``doc_id``
 is neither smaller nor larger than others, so nothing is removed from that row
@@ -52,12 +55,13 @@ HASH_BYTES = 1 << 18                 # bytes hashed at once (the arrays stay in
 CHUNK = 1 << 21                      # bytes of text settled together inside a task
 BUCKET_BYTES = 1 << 22               # text per bucket of anchors
 SLOTS = 64                           # parts of a bucket in which stretches are counted (some 4,000 in each at most, if evenly)
-HOT = 1 << 13                        # stretches of a slot above which it is settled window by window
+HOT = 1 << 13                        # stretches of a slot above which its anchors are split by their next digit
+STEP = 7                             # windows of a split stretch; divides _SPAN
 BLOCK = 1 << 17                      # windows sorted at once
 BITMAP_BITS = 1 << 27                # 16 MB, whatever the input
 _U = np.uint64
 _LOW = (1 << 24) - 1
-_PIECE = "doc_id long, th long, start long, stop long, slot long, anchor long, lead int, body binary"
+_PIECE = "doc_id long, th long, start long, stop long, anchor long, lead int, body binary"
 _SPANS = "doc_id long, th long, start long, stop long"
 
 
@@ -262,10 +266,10 @@ def _key_rows(buckets: int):
                 order = np.argsort(bucket, kind="stable")
                 h, bucket = h[order], bucket[order]
                 low = np.ascontiguousarray(h).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-                cut = np.searchsorted(bucket, np.arange(buckets + 1))
-                used = np.flatnonzero(np.diff(cut))
+                used, cut = np.unique(bucket, return_index=True)
+                cut = np.append(cut, len(bucket))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(used), pa.array([low[cut[b]:cut[b + 1]].tobytes() for b in used], pa.binary())],
+                    [pa.array(used), pa.array([low[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary())],
                     ["bucket", "keys"])
     return make
 
@@ -285,7 +289,7 @@ def _probes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (h & m).astype(np.int64), ((h >> _U(13)) & m).astype(np.int64)
 
 
-def _pieces(bits, buckets: int):
+def _pieces(bits):
     """Stretches around repeated anchors: removed windows that the chunk settles, and the rows left to compare."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = bits.value
@@ -315,14 +319,13 @@ def _pieces(bits, buckets: int):
                        "start": np.concatenate([start[rows] + first, start[ship]]),
                        "stop": np.concatenate([start[rows] + last + WINDOW, start[ship] + size[ship]])}
                 none = lambda k: nothing.cast(k)
-                tail = [pa.chunked_array([none(pa.int64()), pa.array((h[ship] % _U(buckets * SLOTS)).astype(np.int64))]),
-                        pa.chunked_array([none(pa.int64()), pa.array(h[ship].view(np.int64))]),
+                tail = [pa.chunked_array([none(pa.int64()), pa.array(h[ship].view(np.int64))]),
                         pa.chunked_array([none(pa.int32()), pa.array(lead[ship].astype(np.int32))]),
                         pa.chunked_array([none(pa.binary()), pa.array([body[i, :size[i]].tobytes() for i in ship], pa.binary())])]
                 if n + m:
                     yield pa.RecordBatch.from_arrays([pa.array(v) for v in col.values()]
                                                      + [t.combine_chunks() for t in tail],
-                                                     [*col, "slot", "anchor", "lead", "body"])
+                                                     [*col, "anchor", "lead", "body"])
     return make
 
 
@@ -336,6 +339,34 @@ def _settle_bucket(table: pa.Table) -> pa.Table:
                      "stop": start[rows] + last + WINDOW})
 
 
+def split_hot(pieces: DataFrame) -> DataFrame:
+    """Stretches cut by their next digit.
+
+    Windows at the same place relative to their anchor come in runs of ``STEP``.
+    All windows of a run cover its core of ``WINDOW - STEP + 1`` bytes, so equal windows
+    have equal cores: the run, with the bytes that its windows cover, becomes a
+    stretch of its own whose anchor is the hash of (anchor, run, core).
+    """
+    runs, last = _SPAN // STEP, f"octet_length(body) - {WINDOW}"
+    begin = f"lead - {_SPAN - 1} + {STEP} * k"
+    parts = F.expr(f"""filter(transform(sequence(0, {runs - 1}), k -> named_struct('k', k, 'begin', {begin},
+        'lo', greatest(0, {begin}), 'hi', least({last}, {begin} + {STEP - 1}))), p -> p.lo <= p.hi)""")
+    core = F.expr(f"substring(body, p.begin + {STEP}, {WINDOW - STEP + 1})")
+    cut = pieces.withColumn("p", F.explode(parts)).select(
+        "doc_id", "th", F.expr("start + p.lo").alias("start"),
+        F.xxhash64("anchor", "p.k", core).alias("anchor"), F.expr("p.lo - p.begin").alias("lead"),
+        F.expr(f"substring(body, p.lo + 1, p.hi - p.lo + {WINDOW})").alias("body"))
+    return cut
+
+
+def _hot_and_rest(pieces: DataFrame, slots: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """The stretches of slots that hold more than ``HOT`` of them, and all others."""
+    pieces = pieces.withColumn("slot", F.pmod("anchor", F.lit(slots)))
+    hot = stored(pieces.groupBy("slot").count().where(F.col("count") > HOT).select("slot"), name)
+    marked = may_contain(pieces, F.col("slot"), hot)  # it tells slots apart: all stretches of an anchor go the same way
+    return marked.where("_may").drop("_may"), marked.where("not _may").drop("_may")
+
+
 def _settle_windows(pieces: DataFrame) -> DataFrame:
     """The removed windows of stretches, settled by one aggregate and a join; no group is held together."""
     window = F.expr(f"substring(body, i + 1, {WINDOW})")
@@ -383,16 +414,12 @@ def repeated_spans(docs: DataFrame, total_bytes: int) -> DataFrame:
     keys = docs.mapInArrow(_key_rows(buckets), "bucket long, keys binary")
     seen = keys.groupBy("bucket").applyInArrow(_repeated, "p long")
     bits = spark.sparkContext.broadcast(bitmap(stored(seen, "anchors"), "p", BITMAP_BITS))
-    pieces = stored(docs.mapInArrow(_pieces(bits, buckets), _PIECE), "stretches")
-    local = pieces.where("slot is null").select("doc_id", "th", "start", "stop")
-    rest = pieces.where("slot is not null")
-    hot = stored(rest.groupBy("slot").count().where(F.col("count") > HOT).select("slot"), "hot")
-    if not hot.isEmpty():
-        # The bitmap tells slots apart, so all stretches of an anchor go the same way.
-        marked = may_contain(rest, F.col("slot"), hot)
-        local = local.unionAll(_settle_windows(marked.where("_may")))
-        rest = marked.where("not _may").drop("_may")
-    rest = rest.withColumn("bucket", F.col("slot") % buckets)
+    pieces = stored(docs.mapInArrow(_pieces(bits), _PIECE), "stretches", "zstd")
+    local = pieces.where("body is null").select("doc_id", "th", "start", "stop")
+    hot, cold = _hot_and_rest(pieces.where("body is not null").drop("stop"), buckets * SLOTS, "hot")
+    still, split = _hot_and_rest(stored(split_hot(hot), "split", "zstd"), buckets * SLOTS, "still-hot")
+    local = local.unionAll(_settle_windows(still))
+    rest = cold.unionAll(split).withColumn("bucket", F.col("slot") % buckets).drop("slot")
     return local.unionAll(rest.groupBy("bucket").applyInArrow(_settle_bucket, _SPANS))
 
 
