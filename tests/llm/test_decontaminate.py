@@ -91,6 +91,48 @@ def test_edited_copies_with_common_grams_only(spark):
     assert {r["doc_id"]: r["score"] for r in got.collect()} == {0: 1.0} | dict.fromkeys(range(1, 1002), 0.775)
 
 
+def test_grams_that_many_items_share(spark, monkeypatch):
+    rng = random.Random(4)
+    phrase = ["which", "of", "the", "following", "is", "right"]
+    word = lambda: f"u{rng.randrange(10**6)}"
+    bench = [[word() for _ in range(rng.randrange(3, 9))] + phrase + [word() for _ in range(14)] for _ in range(200)]
+    texts_ = [[word() for _ in range(30)] + phrase + [word() for _ in range(30)] for _ in range(300)]
+    want = set()
+    for d in range(0, 40):  # copies that keep the common phrase as their only run of four words
+        i = bench[d * 3]
+        start = i.index("which")
+        copy = [w if start <= k < start + 6 or k % 4 else f"e{d}x{k}" for k, w in enumerate(i)]
+        texts_[d][20:20] = copy
+        want.add((d, d * 3))
+    pairs = [(d, " ".join(t)) for d, t in enumerate(texts_)]
+    made, real = {}, dc.stored
+
+    def counted(df, name, *rest):
+        out = real(df, name, *rest)
+        made[name] = out
+        return out
+    monkeypatch.setattr(dc, "stored", counted)
+    results = []
+    for shared in (0, dc.SHARED, 10**9):
+        got = dc.contaminated(docs(spark, pairs), items(spark, [(k, " ".join(i)) for k, i in enumerate(bench)]), shared)
+        results.append(sorted(tuple(r) for r in got.collect()))
+        if shared == dc.SHARED:
+            assert made["stretches"].count() < 3 * len(pairs)
+    assert results[0] == results[1] == results[2]
+    assert {r[:2] for r in results[0]} == want
+    some = range(0, len(texts_), 20)  # some of them copies, against every item
+    assert {(d, k) for d in some for k, i in enumerate(bench) if brute_score_fast(i, texts_[d]) >= len(i)} == {
+        w for w in want if w[0] in some}
+
+
+def test_equal_items_and_a_long_shared_one(spark):
+    p = passage(21)
+    bench = [(k, " ".join(p)) for k in range(6)] + [(10 + k, " ".join(p[:30] + passage(30 + k, 400))) for k in range(6)]
+    pairs = [(1, " ".join(["a"] + p + ["b"])), (2, " ".join(p[:30] + passage(33, 400))), (3, " ".join(p[:9]))]
+    got = rows(dc.contaminated(docs(spark, pairs), items(spark, bench)), "doc_id", "item_id")
+    assert set(got) == {(d, k) for d in (1, 2) for k in range(6)} | {(2, 13)} and len(got) == 13
+
+
 def test_nulls_short_items_long_texts_and_clashing(spark):
     p = " ".join(passage(9))
     pairs = [(1, p), (1, p), (2, None), (3, ""), (None, p), (4, "w " * 100_000 + p), (5, "nothing here")]
