@@ -114,11 +114,11 @@ def judge(pages: DataFrame, rules: DataFrame, model) -> DataFrame:
                          lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     fits = (places.withColumn("rule_host", F.explode(suffix)).join(rules, "rule_host")
             .where(F.col("path").startswith(F.col("rule_path"))))
-    name = F.concat("rule_host", "rule_path")
-    # the largest: longest, then block, then alphabetically first
-    first = F.max_by(F.struct(name.alias("rule"), "rule_verdict"),
-                     F.struct(F.length(name), F.col("rule_verdict") == "block"))
-    ruled = fits.groupBy("host", "path").agg(first.alias("r")).select("host", "path", "r.*")
+    # the longest rule; of equally long ones a block, then the alphabetically first name
+    order = F.struct((-F.length(F.concat("rule_host", "rule_path"))).alias("shortness"),
+                     (F.col("rule_verdict") != "block").alias("allows"),
+                     F.concat("rule_host", "rule_path").alias("rule"), "rule_verdict")
+    ruled = fits.groupBy("host", "path").agg(F.min(order).alias("r")).select("host", "path", "r.rule", "r.rule_verdict")
     if model is None:
         scored = places.withColumn("score", F.lit(0.0))
     else:

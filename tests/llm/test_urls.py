@@ -72,6 +72,13 @@ def test_equally_long_rules_block_first(spark):
     assert [(r["rule"], r["verdict"]) for r in got] == [("a.org/x", "block")]
 
 
+def test_equally_long_rules_by_name(spark):
+    for order in (1, -1):
+        rules = urls.rule_table(spark, [("z.com", "/xy", "block"), ("a.z.com", "/", "block")][::order])
+        got = urls.judge(pages(spark, [(1, "http://a.z.com/xy")]), rules, None).collect()
+        assert [(r["rule"], r["verdict"]) for r in got] == [("a.z.com/", "block")]
+
+
 def test_plan_has_no_python(spark):
     plan = judged(spark, spark.read.parquet(f"{SF_SMALL}/pages.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
