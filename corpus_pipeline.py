@@ -42,8 +42,8 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of what is left, packed into sequences."""
-    return packing.best_fit(docs, tokenizer_path())
+    """Token pieces (with their ids) of what is left, packed into sequences; ``packing.sequences`` joins them."""
+    return packing.best_fit(docs, tokenizer_path(), with_ids=True)
 
 
 STAGES = [("quality", quality_stage), ("exact", exact_stage), ("near", near_stage),

@@ -148,16 +148,22 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
 def pack(rows: DataFrame, length: int = LENGTH, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """``rows`` (stored pieces) with sequence_id and offset."""
     shards = max(1, -(-rows.count() // shard_pieces))
-    names = [c for c in rows.columns if c != "_key"]
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "_key")
+    names = [c for c in rows.columns if c != "ids"]
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "ids")
 
     def place(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["length", "_key"], ascending=[False, True], kind="stable", ignore_index=True)
         seq, offset = sum_of_squares(group["length"].to_numpy(np.int64), length)
         shard = int(group["_shard"].iat[0])
         return group[names].assign(sequence_id=seq * shards + shard, offset=offset)
-    return (rows.withColumn("_shard", F.pmod(F.col("_key"), F.lit(shards))).groupBy("_shard")
-            .applyInPandas(place, kinds + ", sequence_id long, offset long"))
+    placed = (rows.select(names).withColumn("_shard", F.pmod(F.col("_key"), F.lit(shards))).groupBy("_shard")
+              .applyInPandas(place, kinds + ", sequence_id long, offset long"))
+    if "ids" not in rows.columns:
+        return placed.drop("_key")
+    # Token ids meet their piece after the placing, so that no shard holds them.
+    ids = rows.select("_key", F.col("doc_id").alias("_doc"), F.col("piece").alias("_piece"), "ids")
+    same = (placed["_key"] == ids["_key"]) & placed["doc_id"].eqNullSafe(ids["_doc"]) & (placed["piece"] == ids["_piece"])
+    return placed.join(ids, same).select(*names[:-1], "ids", "sequence_id", "offset")
 
 
 def best_fit(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID,

@@ -2,6 +2,8 @@ import corpus_pipeline
 from posgraph.llm import packing, quality
 from posgraph.llm.common import tokenizer_path
 
+from tokenizers import Tokenizer
+
 from tests.conftest import SF_SMALL
 from tests.llm import test_decontaminate, test_exact, test_neardup, test_packing
 from tests.llm.util import docs, documents
@@ -39,7 +41,7 @@ def test_stages_against_brute_force(spark, tmp_path):
 
 def test_run_equals_its_stages(spark):
     got = corpus_pipeline.run(spark, SF_SMALL)
-    assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset"]
     left = documents(spark)
     for _, stage in corpus_pipeline.STAGES[:-1]:
         left = stage(spark, left, SF_SMALL)
@@ -48,6 +50,21 @@ def test_run_equals_its_stages(spark):
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
 
 
+def test_sequences_hold_the_ids_of_the_tokenizer(spark):
+    df = documents(spark).limit(150).unionAll(docs(spark, [(None, "no id"), (None, None), (7, "twice"), (7, "twice")])
+                                              .select(documents(spark).columns))
+    packed = corpus_pipeline.packing_stage(spark, df, SF_SMALL)
+    rows = packed.collect()
+    exact = Tokenizer.from_file(tokenizer_path())
+    want = sorted((r["doc_id"] or 0, exact.encode(r["text"] or "", add_special_tokens=False).ids + [0]) for r in df.collect())
+    seqs = {r["sequence_id"]: r["ids"] for r in packing.sequences(packed).collect()}
+    assert all(len(i) <= packing.LENGTH for i in seqs.values())
+    assert sum(map(len, seqs.values())) == sum(len(i) for _, i in want) == sum(r["length"] for r in rows)
+    assert all(seqs[r["sequence_id"]][r["offset"]:r["offset"] + r["length"]] == r["ids"] for r in rows)
+    whole = {d for d, i in want if len(i) <= packing.LENGTH}
+    assert sorted((r["doc_id"] or 0, r["ids"]) for r in rows if (r["doc_id"] or 0) in whole) == [w for w in want if w[0] in whole]
+
+
 def test_odd_rows_and_clashing_columns(spark, tmp_path):
     long = " ".join(f"word{i}" for i in range(9_000))
     good = [(i, f"A plain sentence with words, number {i}. It goes on for a while here.") for i in range(30)]
