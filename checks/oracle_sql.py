@@ -202,6 +202,7 @@ Q["pos_day_range"] = with_(base(), f"SELECT * FROM sales WHERE SALES_YMD BETWEEN
 _DAYS = f"SALES_YMD BETWEEN {DAY_LO} AND {DAY_HI}"
 Q["pos_days_read"] = with_(base(), f"""SELECT CUSTOMER_ID, ITEM_CD_UNIQUE, SHOP_CD, SALES_YMD, SALES_AMT, RECEIPT_NO,
  SALES_DETAIL_NO FROM sales WHERE {_DAYS}""")
+Q["pos_days_types"] = Q["pos_days_read"]
 Q["pos_company"] = with_(base(), f"SELECT * FROM sales WHERE {_DAYS} AND COMPANY_CD_UNIQUE = '3'")
 Q["persons"] = with_(base(("person_lines", PERSON_LINES)), PERSONS)
 Q["products"] = with_(base(("product_lines", PRODUCT_LINES)), PRODUCTS)

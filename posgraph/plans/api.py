@@ -70,8 +70,9 @@ def import_graph(spark: SparkSession, node_dir: str, relation_dir: str, root: st
     """Node and relation JSON lines -> graph tables under ``root`` (replaced).
 
     Returns the five counts (name, count) of the written tables and the
-    rejects (malformed lines, rows missing a required field); ``reject_counts``
-    counts them.
+    rejects (malformed lines, rows missing a required field), which
+    ``reject_counts`` counts.  The load reads the files once and stores both, so
+    tables and rejects are counted from their footers, without another scan.
     """
     rejects = pipeline.load_files(spark, node_dir, relation_dir, root)
     return graph_counts(store.read_graph(spark, root)), rejects

@@ -60,6 +60,18 @@ def q_pos_days_read(spark, sf_dir):
                                  cols=DAY_COLS, dir_prefix="SALES_YMD=", skip_missing=True)
 
 
+def q_pos_days_types(spark, sf_dir):
+    """The same window from day directories where some files of a day store the amount as text."""
+    base = scratch_path(spark, "days")
+    lines = pos_src.in_day_range(pos_from_tpch(spark, sf_dir), DAY_RANGE_START, DAY_RANGE_PERIODS)
+    as_text = F.crc32(F.col("RECEIPT_NO").cast("binary")) % 2 == 0
+    drifted = lines.where(as_text).withColumn("SALES_AMT", F.col("SALES_AMT").cast("string"))
+    for part in (lines.where(~as_text), drifted):
+        part.repartition("SALES_YMD").write.mode("append").partitionBy("SALES_YMD").parquet(base)
+    return pos_src.read_pos_days(spark, base, DAY_RANGE_START, DAY_RANGE_PERIODS,
+                                 cols=DAY_COLS, dir_prefix="SALES_YMD=", skip_missing=True)
+
+
 def q_pos_company(spark, sf_dir):
     """Day directories scanned by glob, one company, all columns."""
     return pos_src.read_pos_days(spark, _day_directories(spark, sf_dir), DAY_RANGE_START, DAY_RANGE_PERIODS,
@@ -357,6 +369,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pos_sales": q_pos_sales,
     "pos_day_range": q_pos_day_range,
     "pos_days_read": q_pos_days_read,
+    "pos_days_types": q_pos_days_types,
     "pos_company": q_pos_company,
     "persons": q_persons,
     "products": q_products,

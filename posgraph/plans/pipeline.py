@@ -62,16 +62,26 @@ def pos_to_files(pos: DataFrame, node_dir: str, relation_dir: str, purchase_grai
     return reports.analyze_relationships(purchases, visits)
 
 
-def _flat_files(spark: SparkSession, node_dir: str, relation_dir: str
+def _flat_files(spark: SparkSession, node_dir: str, relation_dir: str, staged: str
                 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """The five flat frames of the JSON lines, and the lines that do not parse."""
+    """The five flat frames of the JSON lines, and the lines that do not parse, each set parsed once into ``staged``."""
+    dirs = {"persons": node_dir, "products": node_dir, "stores": node_dir,
+            "purchases": relation_dir, "visits": relation_dir}
     flat, bad = {}, {}
-    for kind, d in (("persons", node_dir), ("products", node_dir), ("stores", node_dir),
-                    ("purchases", relation_dir), ("visits", relation_dir)):
-        flat[kind], bad[f"{kind}_lines"] = jsonl.read_flat(spark, os.path.join(d, f"{kind}.json"), kind)
+
+    def stage(kind: str, d: str) -> None:
+        flat[kind], bad[f"{kind}_lines"] = jsonl.read_flat(spark, os.path.join(d, f"{kind}.json"), kind,
+                                                           f"{staged}/{kind}")
+    store.in_parallel(*[partial(stage, kind, d) for kind, d in dirs.items()])
     return flat, bad
 
 
+def _kept_rejects(spark: SparkSession, rejects: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """The rejects as tables under ``folder``: their counts come from footers."""
+    store.in_parallel(*[partial(df.write.parquet, f"{folder}/{name}") for name, df in rejects.items()])
+    return {name: spark.read.schema(df.schema).parquet(f"{folder}/{name}") for name, df in rejects.items()}
+
+
 def _stored_nodes(persons: DataFrame, products: DataFrame, stores: DataFrame, root: str, buckets: int | None = None
                   ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Node tables written under ``root`` and read back, and their rejects.
@@ -109,24 +119,33 @@ def _new_version(spark: SparkSession, root: str, buckets: int) -> Iterator[str]:
 
 def graph_from_files(spark: SparkSession, node_dir: str, relation_dir: str
                      ) -> tuple[Graph, dict[str, DataFrame]]:
-    """Load the JSON lines of stage 1 into graph tables (nodes in scratch tables, edges lazy).
+    """Load the JSON lines of stage 1 into graph tables (parsed lines and nodes in scratch tables, edges lazy).
 
     Returns (graph, rejects); rejects holds malformed lines (``*_lines``) and
     rows missing a required field, per table.
     """
-    flat, bad = _flat_files(spark, node_dir, relation_dir)
+    flat, bad = _flat_files(spark, node_dir, relation_dir, scratch_path(spark, "json-lines"))
     g, rejects = _graph(flat, scratch_path(spark, "nodes"))
     return g, rejects | bad
 
 
 def load_files(spark: SparkSession, node_dir: str, relation_dir: str, root: str,
                buckets: int = store.BUCKETS) -> dict[str, DataFrame]:
-    """C7 into ``root``, replacing all tables and indexes there by one commit; returns the rejects."""
-    flat, bad = _flat_files(spark, node_dir, relation_dir)
-    with _new_version(spark, root, buckets) as folder:
-        g, rejects = _graph(flat, folder, buckets)
-        _write_edges(g, folder, buckets)
-    return rejects | bad
+    """C7 into ``root``, replacing all tables and indexes there by one commit; returns the rejects.
+
+    The JSON files are read and parsed by one job a set; the parse is a scratch
+    table that is removed at the end, the rejects are kept beside the tables
+    of the version (``rejects/``).
+    """
+    staged = scratch_path(spark, "json-lines")
+    try:
+        flat, bad = _flat_files(spark, node_dir, relation_dir, staged)
+        with _new_version(spark, root, buckets) as folder:
+            g, rejects = _graph(flat, folder, buckets)
+            _write_edges(g, folder, buckets)
+            return _kept_rejects(spark, rejects | bad, f"{folder}/rejects")
+    finally:
+        remove_path(spark, staged)
 
 
 def graph_from_pos(pos: DataFrame, purchase_grain: str = "line",

@@ -21,6 +21,7 @@ from posgraph.functions.columns import flatten, nest
 from posgraph.schemas import NESTED
 
 CORRUPT = "_corrupt_record"
+BROKEN = "broken"
 
 
 def write_json(nested_df: DataFrame, path: str) -> str:
@@ -36,13 +37,10 @@ def write_frames(flat_frames: dict[str, DataFrame], out_dir: str) -> dict[str, s
     return paths
 
 
-def read_json_lines(spark: SparkSession, path: str, kind: str) -> tuple[DataFrame, DataFrame]:
-    """(good nested rows, rejected raw lines) of one node/edge set.
+def _parsed(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """Every line that is not blank: the declared fields in ``r``, its file, its text and whether it is broken.
 
-    The files are scanned as text and parsed with ``from_json`` against the
-    declared schema; a line that does not parse keeps its raw text in
-    ``_corrupt_record`` and goes to the reject frame.  The parse stands in a
-    generator, so the filter on its result does not repeat it.
+    The parse stands in a generator, so a filter on its result does not repeat it.
     """
     schema = T.StructType(NESTED[kind].fields + [T.StructField(CORRUPT, T.StringType(), True)])
     lines = (spark.read.option("pathGlobFilter", "*.json").text(path)
@@ -51,12 +49,39 @@ def read_json_lines(spark: SparkSession, path: str, kind: str) -> tuple[DataFram
         F.explode(F.array(F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})))
         .alias("r"), F.col("value"))
     is_bad = F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull()
-    good = parsed.where(~is_bad).select("r.*").drop(CORRUPT)
-    bad = parsed.where(is_bad).select(F.input_file_name().alias("file"), F.col("value").alias(CORRUPT))
-    return good, bad
+    return parsed.select("r", F.input_file_name().alias("file"), "value", is_bad.alias(BROKEN))
+
+
+def read_json_lines(spark: SparkSession, path: str, kind: str) -> tuple[DataFrame, DataFrame]:
+    """(good nested rows, rejected raw lines) of one node/edge set.
+
+    The files are scanned as text and parsed with ``from_json`` against the
+    declared schema; a line that does not parse keeps its raw text in
+    ``_corrupt_record`` and goes to the reject frame.  Both frames are lazy and
+    each reads the files; ``stage_json_lines`` reads them once for both.
+    """
+    parsed = _parsed(spark, path, kind)
+    good = parsed.where(~F.col(BROKEN)).select("r.*").drop(CORRUPT)
+    return good, parsed.where(BROKEN).select("file", F.col("value").alias(CORRUPT))
+
+
+def stage_json_lines(spark: SparkSession, path: str, kind: str, out: str) -> tuple[DataFrame, DataFrame]:
+    """``read_json_lines`` with one read and one parse: a single job writes good
+    rows and rejected lines to two partitions of a table at ``out``.
+
+    Every frame and count made from it reads columns of that table, or only its
+    footers.  Counts come from the files, not from accumulators or observed
+    metrics, which count a task twice that a lost executor makes Spark repeat.
+    """
+    good = F.when(~F.col(BROKEN), F.col("r").dropFields(CORRUPT)).alias("r")
+    raw = F.when(F.col(BROKEN), F.col("value")).alias(CORRUPT)
+    rows = _parsed(spark, path, kind).select(good, "file", raw, BROKEN)
+    rows.write.partitionBy(BROKEN).parquet(out)
+    staged = spark.read.schema(rows.schema).parquet(out)
+    return staged.where(~F.col(BROKEN)).select("r.*"), staged.where(BROKEN).select("file", CORRUPT)
 
 
-def read_flat(spark: SparkSession, path: str, kind: str) -> tuple[DataFrame, DataFrame]:
-    """Like ``read_json_lines`` but returns the flat (leaf-column) shape."""
-    good, bad = read_json_lines(spark, path, kind)
+def read_flat(spark: SparkSession, path: str, kind: str, staged: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Like ``read_json_lines`` (``stage_json_lines`` with ``staged``) but returns the flat (leaf-column) shape."""
+    good, bad = stage_json_lines(spark, path, kind, staged) if staged else read_json_lines(spark, path, kind)
     return flatten(good, NESTED[kind]), bad

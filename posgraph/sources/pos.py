@@ -8,13 +8,25 @@ Two layouts are supported for day selection:
 * a table partitioned by ``SALES_YMD`` (or any table with that column):
   ``in_day_range`` is a plain predicate, which Catalyst turns into partition
   pruning and parquet row-group skipping.
+
+Files are grouped by the schema in their footers (``schema_groups``) and each
+distinct schema is one scan, so ten years of days plan like one day, and a
+column whose type changes, also inside one day, is converted to its declared type.
 """
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+import hashlib
+import os
+import re
+from collections import defaultdict
+from collections.abc import Collection, Iterator, Sequence
 from functools import reduce
+from urllib.parse import quote
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,34 +91,119 @@ def in_day_range(df: DataFrame, campaign_start_date: str, periods: int = 1,
     return df.where(F.col(day_col).between(lo, hi))
 
 
+def _plain(path: str) -> str:
+    """A path without scheme, authority and closing slash."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path).rstrip("/")
+
+
+def _schema_digest(path: str) -> str:
+    if path.startswith("file:"):
+        files, name = pafs.LocalFileSystem(), _plain(path)
+    else:
+        files, name = pafs.FileSystem.from_uri(quote(path, safe="/:@"))
+    with files.open_input_file(name) as f:
+        schema = pq.read_schema(f)
+    spark_types = (schema.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata", b"")
+    return hashlib.md5(str(schema.remove_metadata()).encode() + spark_types).hexdigest()
+
+
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The digest of each file's schema; null for a file that the worker's own file systems cannot open."""
+    for batch in batches:
+        keys = []
+        for path in batch["path"].to_pylist():
+            try:
+                keys.append(_schema_digest(path))
+            except (pa.ArrowException, OSError):
+                keys.append(None)
+        yield pa.RecordBatch.from_arrays([batch["path"], pa.array(keys, pa.string())], ["path", "digest"])
+
+
+def schema_groups(spark: SparkSession, roots: Sequence[str]) -> list[tuple[list[str], str | None]]:
+    """What to scan together: (paths, base path) for each distinct schema of the files under ``roots``.
+
+    The tasks of one job read the footers; the driver gets a path and a digest
+    a file, no more than the file listing that it holds for any scan.  A folder
+    whose files agree is named as a whole; of a folder with several schemas the
+    files are named, with the folder as base path where it holds partition
+    folders.  Files that the workers cannot open by themselves (a store only
+    Spark has the credentials for) form one group a folder, with the schema
+    that Spark finds there.  A root without files raises ``FileNotFoundError``.
+    """
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(roots))
+              .select("path").mapInArrow(_footers, "path string, digest string").collect())
+    by_plain = {_plain(r): r for r in roots}
+    files: dict[str, dict[str, str | None]] = {r: {} for r in by_plain}
+    for path, digest in listed:
+        root = _plain(path)
+        while root not in files and root != os.path.dirname(root):
+            root = os.path.dirname(root)
+        files[root][path] = digest
+    empty = [by_plain[r] for r, found in files.items() if not found]
+    if empty:
+        raise FileNotFoundError(f"no POS files under {', '.join(sorted(empty))}")
+    groups: dict[tuple, list[str]] = defaultdict(list)
+    for root, found in files.items():
+        folders = tuple(sorted({part.partition("=")[0] for path in found
+                                for part in _plain(path)[len(root):].split("/")[:-1] if "=" in part}))
+        whole = len(set(found.values())) == 1
+        for path, digest in found.items():
+            own = digest is None or (folders and not whole)
+            group = groups[digest, folders, root if own else None, None if whole or not folders else by_plain[root]]
+            if not whole:
+                group.append(path)
+            elif not group or group[-1] != by_plain[root]:
+                group.append(by_plain[root])
+    return [(paths, base) for (_, _, _, base), paths in groups.items()]
+
+
 def read_pos(spark: SparkSession, paths: str | Sequence[str], cols: Sequence[str] | None = None,
              comp_cd: str | None = None, base_path: str | None = None, optional: Collection[str] = ()) -> DataFrame:
     """Scan POS parquet (any number of paths/globs), conform, keep sales rows.
 
-    Every path is read with the types of its own files and conformed to the
-    declared schema before the union, so a column whose type changes from one
-    day to the next is converted, not misread.  The filter is applied on the
-    conformed columns; where a column is stored with the declared type it
-    reaches the scan as ``PushedFilters``.  With ``cols`` only those and the
-    filter columns need to exist.
+    Files are read with the types of their own footers, one scan for each
+    distinct schema, and conformed to the declared schema before the union, so
+    a column whose type changes from one file to the next is converted, not
+    misread.  The filter is applied on the conformed columns; where a column is
+    stored with the declared type it reaches the scan as ``PushedFilters``.
+    With ``cols`` only those and the filter columns need to exist.  A path that
+    is named twice is read once; one that matches nothing raises.
     """
     if isinstance(paths, str):
         paths = [paths]
+    found = {p: matching_paths(spark, p) for p in dict.fromkeys(paths)}
+    gone = [p for p, m in found.items() if not m]
+    if gone or not found:
+        raise FileNotFoundError(f"no POS files at {', '.join(gone)}")
+    return _read(spark, list(dict.fromkeys(r for m in found.values() for r in m)), cols, comp_cd, base_path, optional)
+
+
+def _read(spark: SparkSession, roots: Sequence[str], cols: Sequence[str] | None, comp_cd: str | None,
+          base_path: str | None, optional: Collection[str]) -> DataFrame:
     needed = None if not cols else [*cols, *[c for c in FILTER_COLUMNS if c not in cols]]
     parts = []
-    for path in paths:
-        reader = spark.read.option("basePath", base_path) if base_path else spark.read
-        parts.append(sales_rows(conform(reader.parquet(path), needed, optional), comp_cd))
+    for group, base in schema_groups(spark, roots):
+        base = base_path or base
+        reader = spark.read.option("basePath", base) if base else spark.read
+        parts.append(sales_rows(conform(reader.parquet(*group), needed, optional), comp_cd))
     df = reduce(DataFrame.unionByName, parts)
     return df.select(*cols) if cols else df
 
 
+def _day_folders(spark: SparkSession, base: str, days: Sequence[str], dir_prefix: str) -> dict[str, list[str]]:
+    """The folders of each day that hold something, from one listing of the base."""
+    found = matching_paths(spark, f"{base.rstrip('/')}/{dir_prefix}{{{','.join(days)}}}*/*")
+    folders: dict[str, list[str]] = {day: [] for day in days}
+    for folder in dict.fromkeys(os.path.dirname(p) for p in found):
+        folders[os.path.basename(folder)[len(dir_prefix):][:8]].append(folder)
+    return folders
+
+
 def missing_days(spark: SparkSession, base: str, campaign_start_date: str, periods: int = 1,
                  dir_prefix: str = "") -> list[str]:
     """The days of the window that have no files."""
-    days = day_list(campaign_start_date, periods)
-    globs = day_paths(base, campaign_start_date, periods, dir_prefix)
-    return [day for day, g in zip(days, globs, strict=True) if not matching_paths(spark, g)]
+    folders = _day_folders(spark, base, day_list(campaign_start_date, periods), dir_prefix)
+    return [day for day, found in folders.items() if not found]
 
 
 def read_pos_days(spark: SparkSession, base: str, campaign_start_date: str, periods: int = 1,
@@ -117,13 +214,11 @@ def read_pos_days(spark: SparkSession, base: str, campaign_start_date: str, peri
     A day without files raises ``FileNotFoundError``; with ``skip_missing`` the
     days that exist are read (``missing_days`` tells which do not).
     """
-    gone = missing_days(spark, base, campaign_start_date, periods, dir_prefix)
+    folders = _day_folders(spark, base, day_list(campaign_start_date, periods), dir_prefix)
+    gone = [day for day, found in folders.items() if not found]
     if gone and not skip_missing:
         raise FileNotFoundError(f"no POS files under {base} for {', '.join(gone)}")
-    days = day_list(campaign_start_date, periods)
-    globs = day_paths(base, campaign_start_date, periods, dir_prefix)
-    dirs = [d for day, g in zip(days, globs, strict=True) if day not in gone
-            for d in matching_paths(spark, g.removesuffix("/*"))]
-    if not dirs:
+    roots = [folder for found in folders.values() for folder in found]
+    if not roots:
         return spark.createDataFrame([], POS_SCHEMA).select(*(cols or POS_SCHEMA.fieldNames()))
-    return read_pos(spark, dirs, cols, comp_cd, base_path=base if dir_prefix else None, optional=optional)
+    return _read(spark, roots, cols, comp_cd, base if dir_prefix else None, optional)

@@ -178,6 +178,51 @@ def test_a_column_that_changes_type_between_days(spark):
         pos_src.read_pos_days(spark, base, "20241211", periods=1, cols=["CUSTOMER_ID"])
 
 
+def _scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+
+
+def test_one_scan_for_each_schema(spark):
+    """Many days plan as many scans as they have schemas, also where one day holds two."""
+    base = tempfile.mkdtemp(prefix="pos-schemas-", dir="/tmp")
+    df = pos_frame(spark, [{"MASTER_PRICE": 7}])
+    for day in range(20241201, 20241213):
+        price = F.lit("8.5") if day % 2 else F.lit(Decimal("7"))
+        df.withColumn("SALES_YMD", F.lit(day)).withColumn(
+            "MASTER_PRICE", price.cast("string" if day % 2 else "decimal(14,2)")).write.parquet(f"{base}/{day} a")
+    cols = ["SALES_YMD", "MASTER_PRICE"]
+    got = pos_src.read_pos_days(spark, base, "20241212", periods=12, cols=cols)
+    want = [(d, Decimal("8.50") if d % 2 else Decimal("7.00")) for d in range(20241201, 20241213)]
+    assert sorted(map(tuple, got.collect())) == want
+    assert _scans(got) == 2
+    # a type that changes inside one day: its files join the scans of their schemas
+    df.withColumn("SALES_YMD", F.lit(20241212)).withColumn("MASTER_PRICE", F.lit("9.25")).write.mode("append").parquet(
+        f"{base}/20241212 a")
+    got = pos_src.read_pos_days(spark, base, "20241212", periods=12, cols=cols)
+    assert sorted(map(tuple, got.collect())) == sorted([*want, (20241212, Decimal("9.25"))])
+    assert _scans(got) == 2
+    # partition folders inside a day keep their columns, in whole and in mixed folders
+    odd = tempfile.mkdtemp(prefix="pos-nested-", dir="/tmp")
+    line = df.withColumn("SALES_YMD", F.lit(20241201))
+    line.write.partitionBy("SHOP_CD").parquet(f"{odd}/20241201")
+    line.withColumn("MASTER_PRICE", F.lit("3")).write.mode("append").partitionBy("SHOP_CD").parquet(f"{odd}/20241201")
+    line.withColumn("SALES_YMD", F.lit(20241202)).write.partitionBy("SHOP_CD").parquet(f"{odd}/20241202")
+    got = pos_src.read_pos_days(spark, odd, "20241202", periods=2, cols=["SHOP_CD", "MASTER_PRICE"])
+    assert sorted(map(tuple, got.collect())) == [("S1", Decimal("3.00")), ("S1", Decimal("7.00")), ("S1", Decimal("7.00"))]
+
+
+def test_files_that_workers_cannot_open_are_read_with_sparks_schema(spark, monkeypatch):
+    base = tempfile.mkdtemp(prefix="pos-closed-", dir="/tmp")
+    for day in (20241201, 20241202):
+        pos_frame(spark, [{"SALES_YMD": day}]).write.parquet(f"{base}/{day}")
+    monkeypatch.setattr(pos_src, "_footers", lambda batches: (
+        b.append_column("digest", pos_src.pa.nulls(b.num_rows, pos_src.pa.string())) for b in batches))
+    got = pos_src.read_pos(spark, f"{base}/*", cols=["SALES_YMD"])
+    assert sorted(r.SALES_YMD for r in got.collect()) == [20241201, 20241202]
+    with pytest.raises(FileNotFoundError, match="nothing"):
+        pos_src.read_pos(spark, [f"{base}/*", f"{base}/nothing"])
+
+
 def test_checkpoint_folder_is_private_on_local_masters_only():
     from types import SimpleNamespace
     from posgraph.session import ensure_checkpoint_dir

@@ -99,6 +99,37 @@ def test_json_roundtrip_and_broken_lines(spark):
     assert good.schema["membership"].dataType["start_date"].dataType.typeName() == "timestamp_ntz"
 
 
+def test_a_load_parses_once_and_keeps_its_rejects(spark):
+    """Counts and rejects of a load come from its tables: they stay when the JSON files are gone."""
+    import shutil
+
+    from posgraph.plans.api import import_graph, reject_counts
+    root = _tmp()
+    pipeline.pos_to_files(pos_frame(spark, [{"CUSTOMER_ID": "C1"}, {"CUSTOMER_ID": "C2", "RECEIPT_NO": "2"}]),
+                          f"{root}/node", f"{root}/relation")
+    with open(f"{root}/node/persons.json/zz.json", "w") as fh:
+        fh.write('\n{not json\n{"gender": "1"}\n')
+    counts, rejects = import_graph(spark, f"{root}/node", f"{root}/relation", f"{root}/graph")
+    shutil.rmtree(f"{root}/node")
+    assert {r.name: r["count"] for r in counts.collect()}["Person nodes"] == 2
+    lost = {r.name: r["count"] for r in reject_counts(rejects).collect()}
+    assert {k: n for k, n in lost.items() if n} == {"persons_lines": 1, "person": 1} and len(lost) == 10
+    line = rejects["persons_lines"].first()
+    assert line[jsonl.CORRUPT] == "{not json" and line.file.endswith("zz.json")
+    assert rejects["person"].first().gender == "1"
+
+
+def test_staged_lines_equal_read_lines(spark):
+    root = _tmp()
+    df = pos_frame(spark, [{"CUSTOMER_ID": f"C{i}"} for i in range(5)])
+    pipeline.pos_to_files(df, f"{root}/node", f"{root}/relation")
+    path = f"{root}/node/persons.json"
+    good, bad = jsonl.read_json_lines(spark, path, "persons")
+    staged, broken = jsonl.stage_json_lines(spark, path, "persons", f"{root}/staged")
+    assert staged.schema == good.schema and sorted(map(str, staged.collect())) == sorted(map(str, good.collect()))
+    assert broken.columns == bad.columns and broken.isEmpty()
+
+
 def test_unique_violations_and_counts(spark):
     person = table(spark, "person", [{"id": "A"}, {"id": "A"}, {"id": "B"}])
     g = graph.Graph(person, table(spark, "product", [{"id": "P"}]), table(spark, "store", []),
