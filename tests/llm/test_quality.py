@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 from posgraph.llm import quality
+from pyspark.sql import functions as F
 
 from tests.llm.util import docs
 
@@ -60,3 +61,29 @@ def test_without_both_labels_and_empty(spark):
     assert {r["score"] for r in quality.score(d, model).collect()} == {0.5}
     assert quality.score(docs(spark, []), quality.train(docs(spark, []), labels)).count() == 0
     assert quality.keep_good(d, labels.limit(0)).count() == d.count()
+
+
+def test_every_labelled_document_counts(spark):
+    """Documents behind the first 3,000 hashes of their label move the model."""
+    ids = spark.range(9000).where("crc32(cast(cast(id as string) as binary)) % 5 <> 0").withColumnRenamed("id", "doc_id")
+    labels = ids.selectExpr("doc_id", "cast(doc_id % 2 = 0 as int) AS quality", "0 AS toxic")
+    late = [r["doc_id"] for r in ids.where("doc_id % 2 = 0").orderBy(F.xxhash64("doc_id")).offset(3000).collect()]
+    assert len(late) > 100
+    plain = ids.selectExpr("doc_id", "if(doc_id % 2 = 0, 'Plain words, in order ', 'BUY!! ') || doc_id AS text")
+    odd = plain.selectExpr("doc_id", f"if(doc_id in ({', '.join(map(str, late))}), '|||| | ' || doc_id, text) AS text")
+    a, b = quality.train(plain, labels), quality.train(odd, labels)
+    assert abs(a.mean - b.mean).max() > 1e-4 and abs(a.weights - b.weights).max() > 1e-3
+
+
+def test_all_pairs_are_fitted():
+    rng = np.random.default_rng(3)
+    n = len(quality.FEATURES)
+    good, bad = rng.normal(size=(70, n)) + 0.3, rng.normal(size=(50, n))
+    r = quality.bradley_terry(good, bad, 0.6)
+    d = ((good[:, None] - bad[None]) / r.scale).reshape(-1, n)
+    w = np.zeros(n)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-d @ w))
+        hess = (d * (p * (1 - p))[:, None]).T @ d / len(d) + 1e-3 * np.eye(n)
+        w += np.linalg.solve(hess, d.T @ (1 - p) / len(d) - 1e-3 * w)
+    assert np.abs(w - r.weights).max() < 1e-3
