@@ -26,6 +26,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from posgraph.operators.bitmaps import slot_of, with_set_slots
+
 PAIR_BUCKETS = 1 << 22  # hash buckets of the first count: its bitmap has 512 kB, whatever the input
 
 
@@ -37,12 +39,12 @@ def basket_pairs(baskets: DataFrame, person: str = "person_id", item: str = "pro
     degree index); without it the baskets are counted.
     """
     # Only baskets larger than ``chunk`` need more than one slice.  Their
-    # persons are few (at most rows / chunk), and AQE broadcasts them from
-    # their measured size.
+    # persons are few (at most rows / chunk) and are broadcast: planned from
+    # the size of ``counts``, all baskets would be shuffled once more for them.
     if counts is None:
         counts = baskets.groupBy(person).agg(F.count(F.lit(1)).alias("n"))
-    heavy = (counts.where(F.col("n") > F.lit(chunk))
-             .select(person, F.ceil(F.col("n") / F.lit(chunk)).cast("int").alias("_s")))
+    heavy = F.broadcast(counts.where(F.col("n") > F.lit(chunk))
+                        .select(person, F.ceil(F.col("n") / F.lit(chunk)).cast("int").alias("_s")))
     sliced = (baskets.join(heavy, person, "left")
               .withColumn("_s", F.coalesce(F.col("_s"), F.lit(1)))
               .withColumn("_c", F.pmod(F.xxhash64(F.col(item)), F.col("_s")).cast("int")))
@@ -76,12 +78,7 @@ def count_pairs(pairs: DataFrame, enough: Callable[[Column], Column] | None = No
         return df.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("n_both"))
     if enough is None:
         return counted(pairs)
-    slot = F.pmod(F.xxhash64("item_a", "item_b"), F.lit(buckets)) + 1
+    slot = slot_of(buckets, "item_a", "item_b")
     frequent = pairs.groupBy(slot.alias("_slot")).agg(F.count(F.lit(1)).alias("n")).where(enough(F.col("n")))
-    maps = (frequent.groupBy(F.bitmap_bucket_number("_slot").alias("_bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits")))
-    at = F.bitmap_bit_position("_slot")
-    byte = F.conv(F.hex(F.expr("substring(_bits, cast(bitmap_bit_position(_slot) div 8 as int) + 1, 1)")), 16, 10)
-    likely = (pairs.withColumn("_slot", slot).withColumn("_bucket", F.bitmap_bucket_number("_slot"))
-              .join(F.broadcast(maps), "_bucket").where(F.getbit(byte.cast("int"), (at % 8).cast("int")) == 1))
+    likely = with_set_slots(pairs, slot, frequent.select("_slot"))
     return counted(likely.select("item_a", "item_b")).where(enough(F.col("n_both")))

@@ -10,8 +10,8 @@ side gets ``ceil(n / rows_per_task)`` salts; each big-side row takes one salt
 (a hash of the row), each small-side row of that key is replicated once per
 salt, and the join runs on (key, salt).  Keys under the budget keep a single
 salt, so the ordinary case is the plain shuffle join.  The hot keys are at
-most ``total rows / rows_per_task``; AQE broadcasts them from their measured
-size.
+most ``total rows / rows_per_task`` and are broadcast: planned from the size of
+``counts`` they would shuffle both sides once more, whatever their number.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from posgraph.operators.bitmaps import likely_in
+
 DEFAULT_ROWS_PER_TASK = 2_000_000
 
 
@@ -29,17 +31,22 @@ def rows_per_task(df: DataFrame) -> int:
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, counts: DataFrame, how: str = "inner",
-                per_task: int | None = None, on: Sequence[str] = ()) -> DataFrame:
+                per_task: int | None = None, on: Sequence[str] = (), few: bool = False) -> DataFrame:
     """``big`` join ``small`` on ``key`` (and the columns ``on``) with hot keys spread over several tasks.
 
     ``counts`` is (key, n): an upper bound of the rows ``big`` has per key.
     ``how`` is ``inner`` or ``left_semi`` (rows of ``big`` are never duplicated).
+    With ``few`` (``small`` is expected to name few of the keys) a bitmap of its
+    keys keeps the other rows of ``big`` out of the shuffle.
     """
     if how not in ("inner", "left_semi"):
         raise ValueError("how must be 'inner' or 'left_semi'")
+    if few:
+        big = likely_in(big, key, small.select(key))
+        small, how = (small.select(key).distinct(), "inner") if how == "left_semi" else (small, how)
     r = per_task or rows_per_task(big)
-    hot = (counts.where(F.col("n") > F.lit(r))
-           .select(key, F.ceil(F.col("n") / F.lit(r)).cast("int").alias("_salts")))
+    hot = F.broadcast(counts.where(F.col("n") > F.lit(r))
+                      .select(key, F.ceil(F.col("n") / F.lit(r)).cast("int").alias("_salts")))
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     b = (big.join(hot, key, "left")
          .withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), salts).cast("int"))
