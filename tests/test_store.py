@@ -142,3 +142,24 @@ def test_point_lookup_reads_few_buckets_worth_of_files(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     files = g.purchase.where("person_id = 'H'").select(F.input_file_name().alias("f")).distinct().collect()
     assert len(files) > 1 and len({r.f.split("bucket=")[1].split("/")[0] for r in files}) == 1
+
+
+def test_merge_in_the_range_shuffle(spark, tmp_path):
+    """Rows of a merge key become one while the table is put in order: updates before base, then the total order."""
+    edge = {"person_id": "p", "product_id": "q", "id": "1", "store_id": "s", "datetime": "d"}
+    base = table(spark, "purchase", [edge | {"amount": 1}, edge | {"id": "2", "amount": 5}])
+    updates = table(spark, "purchase", [edge | {"amount": 9}, edge | {"amount": 8}, edge | {"id": "3", "amount": 7}])
+    both = store._both(base, updates)
+    plan = store._ranged(both, store.CLUSTER["purchase"], merge=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
+    for buckets in (None, 4):
+        path = str(tmp_path / f"b{buckets}")
+        store.write_table(both, path, "purchase", buckets=buckets, merge=True)
+        got = {(r["id"], int(r["amount"])) for r in spark.read.parquet(path).collect()}
+        assert got == {("1", 8), ("2", 5), ("3", 7)}
+
+
+def test_merged_edges_are_not_sorted_before_their_shuffle(spark):
+    lines = table(spark, "purchase", [{"person_id": "p", "product_id": "q", "id": "1"}])
+    plan = graph._merged(lines, "purchase")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.rindex("WindowGroupLimit") < plan.index("Exchange")
