@@ -56,6 +56,7 @@ CHUNK = 1 << 21                      # bytes of text settled together inside a t
 BUCKET_BYTES = 1 << 22               # text per bucket of anchors
 SLOTS = 64                           # parts of a bucket in which stretches are counted (some 4,000 in each at most, if evenly)
 HOT = 1 << 13                        # stretches of a slot above which its anchors are split by their next digit
+ANCHOR_BITS = 24                     # of an anchor that are shuffled with a stretch
 STEP = 7                             # windows of a split stretch; divides _SPAN
 BLOCK = 1 << 17                      # windows sorted at once
 BITMAP_BITS = 1 << 27                # 16 MB, whatever the input
@@ -363,8 +364,8 @@ def _hot_and_rest(pieces: DataFrame, slots: int, name: str) -> tuple[DataFrame,
     """The stretches of slots that hold more than ``HOT`` of them, and all others."""
     pieces = pieces.withColumn("slot", F.pmod("anchor", F.lit(slots)))
     hot = stored(pieces.groupBy("slot").count().where(F.col("count") > HOT).select("slot"), name)
-    marked = may_contain(pieces, F.col("slot"), hot)  # it tells slots apart: all stretches of an anchor go the same way
-    return marked.where("_may").drop("_may"), marked.where("not _may").drop("_may")
+    hot = F.broadcast(hot)  # at most one number for every HOT stretches
+    return pieces.join(hot, "slot", "left_semi"), pieces.join(hot, "slot", "left_anti")
 
 
 def _settle_windows(pieces: DataFrame) -> DataFrame:
@@ -419,7 +420,9 @@ def repeated_spans(docs: DataFrame, total_bytes: int) -> DataFrame:
     hot, cold = _hot_and_rest(pieces.where("body is not null").drop("stop"), buckets * SLOTS, "hot")
     still, split = _hot_and_rest(stored(split_hot(hot), "split", "zstd"), buckets * SLOTS, "still-hot")
     local = local.unionAll(_settle_windows(still))
-    rest = cold.unionAll(split).withColumn("bucket", F.col("slot") % buckets).drop("slot")
+    # Windows are compared byte by byte, so ANCHOR_BITS of an anchor are enough to sort it out inside a bucket.
+    short = F.shiftrightunsigned("anchor", 64 - ANCHOR_BITS).alias("anchor")
+    rest = cold.unionByName(split).select("doc_id", "th", "start", short, "lead", "body", (F.col("slot") % buckets).alias("bucket"))
     return local.unionAll(rest.groupBy("bucket").applyInArrow(_settle_bucket, _SPANS))
 
 

@@ -94,3 +94,29 @@ def test_radix_groups_are_the_equal_rows():
     for i in range(0, 500, 7):
         if label[i] >= 0:
             assert ((label == label[i]) == (back == back[i])).all()
+
+
+def test_hot_slots_are_split_off_without_an_outer_join(spark, monkeypatch):
+    """Each stretch goes one way, by the exact slots, also where some slots are hot and others not."""
+    monkeypatch.setattr(substrings, "HOT", 40, raising=False)
+    pieces = spark.range(400).selectExpr("id as doc_id", "if(id < 100, 8, 8 * id + 3) as anchor")
+    hot, cold = substrings._hot_and_rest(pieces, 1 << 20, "hot")
+    assert "LeftOuter" not in hot.unionByName(cold)._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["doc_id"] for r in hot.collect()) == list(range(100))
+    assert sorted(r["doc_id"] for r in cold.collect()) == list(range(100, 400))
+
+
+def test_stretches_are_shuffled_with_short_anchors(spark, monkeypatch):
+    settle_bucket = substrings._settle_bucket
+
+    def short(table):
+        if table["anchor"].to_numpy().max() >> 24:
+            raise ValueError("a whole anchor is shuffled")
+        return settle_bucket(table)
+    monkeypatch.setattr(substrings, "_settle_bucket", short)
+    monkeypatch.setattr(substrings, "CHUNK", 500)
+    rng = random.Random(2)
+    some = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
+    passage = some(120)
+    pairs = [(d, some(60) + passage[d % 9:] + some(60)) for d in range(40)]
+    assert rows(substrings.remove_repeats(docs(spark, pairs)), *COLS) == brute(pairs)
