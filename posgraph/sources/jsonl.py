@@ -12,6 +12,7 @@ directory raises.
 from __future__ import annotations
 
 import os
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 
 from posgraph.functions.columns import flatten, nest
 from posgraph.schemas import NESTED
+from posgraph.sources.store import in_parallel
 
 CORRUPT = "_corrupt_record"
 BROKEN = "broken"
@@ -30,11 +32,10 @@ def write_json(nested_df: DataFrame, path: str) -> str:
 
 
 def write_frames(flat_frames: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
-    """Write flat stage-1 frames as nested JSON lines, ``{out_dir}/{name}.json``."""
-    paths = {}
-    for name, flat in flat_frames.items():
-        paths[name] = write_json(nest(flat, NESTED[name]), os.path.join(out_dir, f"{name}.json"))
-    return paths
+    """Write flat stage-1 frames as nested JSON lines, ``{out_dir}/{name}.json``, as concurrent jobs."""
+    def write(name: str, flat: DataFrame) -> str:
+        return write_json(nest(flat, NESTED[name]), os.path.join(out_dir, f"{name}.json"))
+    return dict(zip(flat_frames, in_parallel(*[partial(write, name, flat) for name, flat in flat_frames.items()])))
 
 
 def _parsed(spark: SparkSession, path: str, kind: str) -> DataFrame:

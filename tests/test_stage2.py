@@ -99,6 +99,25 @@ def test_json_roundtrip_and_broken_lines(spark):
     assert good.schema["membership"].dataType["start_date"].dataType.typeName() == "timestamp_ntz"
 
 
+def test_the_five_sinks_are_written_at_the_same_time(spark, monkeypatch):
+    """Each sink waits until all five are under way: one after another they would never start."""
+    import threading
+
+    together, write = threading.Barrier(5, timeout=60), jsonl.write_json
+
+    def waiting(nested_df, path):
+        together.wait()
+        return write(nested_df, path)
+    monkeypatch.setattr(jsonl, "write_json", waiting)
+    root = _tmp()
+    pipeline.pos_to_files(pos_frame(spark, [{"CUSTOMER_ID": "C1"}, {"CUSTOMER_ID": "C2", "RECEIPT_NO": "2"}]),
+                          f"{root}/node", f"{root}/relation")
+    for kind, folder, n in (("persons", "node", 2), ("products", "node", 1), ("stores", "node", 1),
+                            ("purchases", "relation", 2), ("visits", "relation", 1)):
+        good, bad = jsonl.read_flat(spark, f"{root}/{folder}/{kind}.json", kind)
+        assert good.count() == n and bad.isEmpty()
+
+
 def test_a_load_parses_once_and_keeps_its_rejects(spark):
     """Counts and rejects of a load come from its tables: they stay when the JSON files are gone."""
     import shutil
