@@ -4,12 +4,13 @@ import glob
 import os
 import time
 
+from pyspark.sql import functions as F
 
 from posgraph.operators import graph
-from posgraph.plans import pipeline
+from posgraph.plans import catalog, pipeline
 from posgraph.session import shuffles_dropped
 from posgraph.sources import store
-from tests.conftest import table
+from tests.conftest import SF_SMALL, table
 from tests.test_store import edge, lines
 
 
@@ -91,3 +92,16 @@ def test_node_ids_are_not_broadcast(spark, tmp_path):
     df = graph.with_ends(edges, {"person_id": nodes})
     before = df._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin [person_id" in before and "LeftAnti" in before and "BroadcastHashJoin [person_id" not in before
+
+
+def test_upserts_read_the_lines_of_the_joins_once(spark, monkeypatch):
+    seen = []
+    upsert = store.upsert_table
+
+    def watched(s, root, new_root, name, updates):
+        seen.append(updates.inputFiles())
+        return upsert(s, root, new_root, name, updates)
+    monkeypatch.setattr(store, "upsert_table", watched)
+    out = catalog.q_upsert_edges(spark, SF_SMALL)
+    assert seen and seen[0] and not [f for f in seen[0] if "lineitem" in f]
+    assert out.where(F.col("amount").isNull()).count() == 0
