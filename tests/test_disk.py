@@ -79,6 +79,9 @@ def test_edges_are_not_shuffled_to_find_their_ends(spark, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = graph.with_ends(spark.read.parquet(str(tmp_path / "e")), {"person_id": person, "product_id": product})
+        first = df._jdf.queryExecution().executedPlan().toString()
+        below = first[first.rindex("LeftSemi"):]  # the exact joins meet only rows that passed a bitmap
+        assert first.count("LeftSemi") == 2 and ("getbit" in below or "bit_get" in below)
         assert len(df.collect()) == 50
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
